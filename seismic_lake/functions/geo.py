@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from seismic_lake.functions.text import to_number
 from seismic_lake.vocab import EARTH_RADIUS_KM, Box
 
 # Fixed value: latitude, longitude and optional depth in metres, e.g. "+32.0+131.4-10000/".
@@ -34,7 +33,7 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 def point_part(text: Column, group: int) -> Column:
     """One number of a point text; NULL when the text is no point or the part is absent."""
-    return to_number(F.regexp_extract(text, POINT_TEXT, group))
+    return F.nullif(F.regexp_extract(text, POINT_TEXT, group), F.lit("")).try_cast("double")
 
 
 def point_depth_km(text: Column) -> Column:

@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Plain decimal numbers only: keeps Spark from accepting suffixes such as '1.5d' or '2f'.
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-NAN_OR_INF = r"(?i)^[+-]?(nan|inf|infinity)$"
+# Plain decimal numbers (or nan/inf), with spaces around them. Keeps Spark from accepting suffixes
+# such as '1.5d', and blank text from reaching the cast, where every failure costs an exception.
+NUMBER = (
+    r"^[\s\u3000\u00a0]*(?:[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:[+-]?(?:nan|inf|infinity)))"
+    r"[\s\u3000\u00a0]*$"
+)
+DATED = r"^[\s\u3000\u00a0]*\d{4,6}-\d"
 
 
 def plain_spaces(col: Column) -> Column:
@@ -23,8 +27,7 @@ def clean_text(col: Column) -> Column:
 
 def to_number(col: Column) -> Column:
     """Text to double; anything but a plain decimal number (or nan/inf) is NULL."""
-    text = clean_text(col)
-    return F.when(text.rlike(NUMBER) | text.rlike(NAN_OR_INF), text.try_cast("double"))
+    return F.when((F.length(col) > 0) & col.rlike(NUMBER), plain_spaces(col).try_cast("double"))
 
 
 def to_integer(col: Column) -> Column:
@@ -33,8 +36,8 @@ def to_integer(col: Column) -> Column:
 
 
 def to_timestamp(col: Column) -> Column:
-    """ISO text to timestamp; text without an offset is read in the session zone (UTC)."""
-    return clean_text(col).try_cast("timestamp")
+    """ISO date and time to timestamp; text without an offset is read in the session zone (UTC)."""
+    return F.when(col.rlike(DATED), plain_spaces(col).try_cast("timestamp"))
 
 
 def typed(col: Column, kind: T.DataType) -> Column:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismic_lake.functions.text import plain_spaces, to_number
+from seismic_lake.functions.text import plain_spaces
 from seismic_lake.functions.times import fixed_offset_local
 
 # Where a page declares its charset, what counts as a tag, and the shape of a line:
@@ -86,14 +86,15 @@ def parse_daily(lines: DataFrame) -> DataFrame:
     named = parts.select("day", *[F.col("p")[i].alias(name) for i, name in enumerate(DAILY_PARTS)])
 
     def number(name: str):
-        return to_number(F.col(name))
+        # The pattern admits only digits here, or '-' for a value that was not determined.
+        return F.nullif(F.col(name), F.lit("-")).try_cast("double")
 
     def whole(name: str):
         return F.col(name).try_cast("int")
 
     def coordinate(deg: str, minutes: str, side: str, negative: str):
-        size = number(deg) + number(minutes) / F.lit(60.0)
-        return F.when(F.col(side) == negative, -size).otherwise(size)
+        sign = F.when(F.col(side) == negative, -1.0).otherwise(1.0)
+        return sign * (number(deg) + number(minutes) / F.lit(60.0))
 
     return named.select(
         fixed_offset_local(
@@ -101,7 +102,7 @@ def parse_daily(lines: DataFrame) -> DataFrame:
         ).alias("event_time"),
         coordinate("lat_deg", "lat_min", "ns", "S").alias("latitude"),
         coordinate("lon_deg", "lon_min", "ew", "W").alias("longitude"),
-        number("depth").alias("depth_km"),  # '-' is not a number, so NULL
+        number("depth").alias("depth_km"),
         number("magnitude").alias("mag"),
         "region",
         "day",

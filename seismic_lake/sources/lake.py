@@ -48,6 +48,13 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder."""
+    target = _hadoop_path(spark, path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(target).getLength())
+
+
 @dataclass(frozen=True)
 class Build:
     """One recorded build of a table."""

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from seismic_lake.session import configure
+from seismic_lake.sources.lake import input_bytes
 
 # Tokens: `a // b` whole division; US(c) epoch microseconds of a timestamp column; AT(x) timestamp
 # from epoch microseconds; YMD(c), DAY(c) date text.
@@ -314,9 +315,20 @@ def _render(expression: str, rules: list[tuple[str, str]]) -> str:
     return expression
 
 
+# A file below this size may be a single row group, which one task reads however many cores wait.
+SPREAD_BELOW = 64 << 20
+SPREAD_ABOVE = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. Small single-file tables are dealt out to all cores before any work;
+    tables of more than one scan split per core are read as they are, with no shuffle."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if SPREAD_ABOVE < input_bytes(spark, path) < SPREAD_BELOW:
+        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
 
 
 def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
