@@ -30,8 +30,8 @@ def event_key(ts: Column, lat: Column, lon: Column) -> Column:
 
 def magnitude_band(mag: Column, cap: int | None = None) -> Column:
     """Whole magnitude, optionally with everything above ``cap`` in one band."""
-    band = F.floor(mag)
-    return (F.least(band, F.lit(cap).cast("bigint")) if cap is not None else band).cast("int")
+    band = F.floor(mag).cast("int")
+    return band if cap is None else F.when(band > cap, cap).otherwise(band)
 
 
 def _banded(value: Column, bands: list[tuple[float | None, str]]) -> Column:

@@ -96,12 +96,27 @@ def merge_steps(steps: DataFrame, decimals: int = DECIMALS, chunk: int = STEPS_P
     )
 
 
-def assemble_lines(points: DataFrame) -> DataFrame:
-    """One row per line with its ordered points, for drawing. Lines must fit in one value."""
+def assemble_lines(points: DataFrame, chunk: int = STEPS_PER_CHUNK) -> DataFrame:
+    """Ordered point arrays for drawing: (boundary, type, line_no, part, points).
+
+    A line is one row unless it runs over more than one chunk of sequence numbers; then it has one
+    row per chunk, each starting at the last point of the one before, so it draws unbroken and no
+    array outgrows a chunk.
+    """
+    keys = ["boundary", "type", "line_no"]
+    part = F.floor(F.col("point_no") / (2 * chunk)).cast("bigint")
+    placed = points.withColumn("part", part)
     ordered = F.array_sort(F.collect_list(F.struct("point_no", "lon", "lat")))
-    return points.groupBy("boundary", "type", "line_no").agg(
+    shapes = placed.groupBy(*keys, "part").agg(
         F.transform(ordered, lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("points")
     )
+    tails = placed.groupBy(*keys, "part").agg(F.max_by(F.struct("lon", "lat"), "point_no").alias("tail"))
+    joint = F.lag("tail").over(Window.partitionBy(*keys).orderBy("part"))
+    return (
+        shapes.join(tails.withColumn("joint", joint).drop("tail"), [*keys, "part"])
+        .withColumn("points", F.concat(F.array_compact(F.array("joint")), "points"))
+        .drop("joint")
+    )
 
 
 def clean_ring(points: Column, decimals: int = DECIMALS) -> Column:

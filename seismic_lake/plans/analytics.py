@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seismic_lake.functions.geo import in_box
@@ -51,18 +51,44 @@ def failed_checks(dq: DataFrame, now: datetime, days: int = 30) -> DataFrame:
     )
 
 
-def dq_runs(dq: DataFrame) -> DataFrame:
-    """The long audit history as one wide row per run and dataset."""
+def per_check(dq: DataFrame) -> DataFrame:
+    """The history with equal results of a run counted together.
+
+    However many rows a run has, only its distinct checks go on to be listed.
+    """
+    return dq.groupBy("run_id", "ds", "check", "severity", "passed").agg(
+        F.count("*").alias("n"), F.min("run_at").alias("run_at"), F.max("value").alias("value")
+    )
+
+
+def run_health(label: Column, counted: Column) -> list[Column]:
+    """Aggregates of a run over :func:`per_check` rows; ``counted`` marks the rows whose row count
+    and freshness are shown, ``label`` names a failed check."""
     failed = ~F.col("passed")
-    return dq.groupBy("run_id", F.col("ds").alias("dataset")).agg(
+
+    def failures(severity: str) -> Column:
+        return F.coalesce(F.sum(F.when(failed & (F.col("severity") == severity), F.col("n"))), F.lit(0))
+
+    def measured(check: str) -> Column:
+        return F.max(F.when(counted & (F.col("check") == check), F.col("value")))
+
+    listed = F.array_sort(F.collect_list(F.when(failed, F.struct(label.alias("label"), F.col("n").alias("n")))))
+    repeated = F.flatten(F.transform(listed, lambda x: F.array_repeat(x["label"], x["n"].cast("int"))))
+    return [
         F.min("run_at").alias("run_at"),
         F.bool_and(F.col("passed") | (F.col("severity") == WARN)).alias("published"),
-        F.count_if(failed & (F.col("severity") == ERROR)).alias("errors"),
-        F.count_if(failed & (F.col("severity") == WARN)).alias("warnings"),
-        F.max(F.when(F.col("check") == "not empty", F.col("value"))).alias("row_count"),
-        F.max(F.when(F.col("check") == "data is fresh", F.col("value"))).alias("hours_since_newest_event"),
-        F.array_join(F.array_sort(F.collect_list(F.when(failed, F.col("check")))), ", ").alias("failed_checks"),
-    )
+        failures(ERROR).alias("errors"),
+        failures(WARN).alias("warnings"),
+        measured("not empty").alias("row_count"),
+        measured("data is fresh").alias("hours_since_newest_event"),
+        F.array_join(repeated, ", ").alias("failed_checks"),
+    ]
+
+
+def dq_runs(dq: DataFrame) -> DataFrame:
+    """The long audit history as one wide row per run and dataset."""
+    health = run_health(F.col("check"), F.lit(True))
+    return per_check(dq).groupBy("run_id", F.col("ds").alias("dataset")).agg(*health)
 
 
 def newest_dq_runs(dq: DataFrame, n: int = RUNS) -> DataFrame:

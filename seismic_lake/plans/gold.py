@@ -16,7 +16,8 @@ from seismic_lake.functions.geo import in_box
 from seismic_lake.functions.labels import magnitude_band, shindo_rank
 from seismic_lake.functions.times import instant
 from seismic_lake.operators.calendar import counts_per_day
-from seismic_lake.plans.audit import ERROR, HISTORY, WARN
+from seismic_lake.plans.analytics import per_check, run_health
+from seismic_lake.plans.audit import HISTORY
 from seismic_lake.plans.clean_jma import FELT_TABLE
 from seismic_lake.plans.clean_jma import TABLE as JMA_TABLE
 from seismic_lake.plans.clean_usgs import TABLE as USGS_TABLE
@@ -192,25 +193,11 @@ def check_label() -> Column:
 
 def run_history(dq: DataFrame) -> DataFrame:
     """The newest runs over all datasets, oldest first. A run is published if every dataset was."""
-    failed = ~F.col("passed")
-    mine = F.col("ds") == "usgs"
-    runs = (
-        dq.withColumn("label", F.when(failed, check_label()))
-        .groupBy("run_id")
-        .agg(
-            F.unix_millis(F.min("run_at")).alias("run_at"),
-            F.bool_and(F.col("passed") | (F.col("severity") == WARN)).alias("published"),
-            F.count_if(failed & (F.col("severity") == ERROR)).alias("errors"),
-            F.count_if(failed & (F.col("severity") == WARN)).alias("warnings"),
-            F.max(F.when(mine & (F.col("check") == "not empty"), F.col("value"))).alias("row_count"),
-            F.max(F.when(mine & (F.col("check") == "data is fresh"), F.col("value"))).alias(
-                "hours_since_newest_event"
-            ),
-            F.array_join(F.array_sort(F.collect_list("label")), ", ").alias("failed_checks"),
-        )
-    )
+    health = run_health(check_label(), F.col("ds") == "usgs")
+    runs = per_check(dq).groupBy("run_id").agg(*health)
     newest = runs.orderBy(F.col("run_at").desc(), F.col("run_id").desc()).limit(RUNS_SHOWN)
-    return newest.orderBy("run_at", "run_id").drop("run_id")
+    oldest_first = newest.orderBy("run_at", "run_id").drop("run_id")
+    return oldest_first.withColumn("run_at", F.unix_millis("run_at"))
 
 
 def newest_run(dq: DataFrame) -> Column:

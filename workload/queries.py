@@ -668,9 +668,11 @@ def line_points(spark, sf):
 
 @query
 def line_shapes(spark, sf):
-    shapes = lines.assemble_lines(lines.merge_steps(spark_input(spark, sf, "steps")))
+    """Lines cut at every 700 sequence numbers, as long boundaries would be at 100,000."""
+    merged = lines.merge_steps(spark_input(spark, sf, "steps"), chunk=700)
+    shapes = lines.assemble_lines(merged, chunk=700)
     text_of = F.transform("points", lambda p: F.concat(p["lon"].cast("int").cast("string"), F.lit(" "), p["lat"].cast("int").cast("string")))
-    return shapes.select("boundary", "type", "line_no", F.array_join(text_of, ",").alias("points"))
+    return shapes.select("boundary", "type", "line_no", "part", F.array_join(text_of, ",").alias("points"))
 
 
 @query
