@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, degrees, log
+from math import degrees, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,11 @@ from seismic_lake.vocab import EARTH_RADIUS_KM, LINK_MAX_KM, LINK_MAX_SECONDS
 # Buckets are wider than the tolerance, so most rows of the replicated side fall in one bucket.
 BUCKET_FACTOR = 8
 CELL_FACTOR = 4
+# In dense places comparisons cost more than copies, so cells are narrower there.
+FINE_FACTOR = 2
+# Candidate pairs one grid cell may produce before its rows are searched in finer steps first.
+CELL_BUDGET = 20_000_000
+LEVEL_STEP = 4
 # Score digits used for ranking: far finer than any measurement, coarser than the last bits in
 # which two machines' trigonometry may differ, so ties fall the same way everywhere.
 SCORE_DIGITS = 9
@@ -56,7 +61,8 @@ class Tolerance:
         return Tolerance(self.seconds * share, self.km * share)
 
 
-def _slim(side: DataFrame, prefix: str) -> DataFrame:
+def slim(side: DataFrame, prefix: str) -> DataFrame:
+    """Only what the search needs: id, time in microseconds, place."""
     return side.select(
         F.col("event_id").alias(f"{prefix}_id"),
         F.unix_micros("event_time").alias(f"{prefix}_t"),
@@ -65,57 +71,82 @@ def _slim(side: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def _grid(tol: Tolerance) -> tuple[int, float, float, int]:
-    """Time width, latitude step, longitude step and number of longitude columns of the grid."""
-    window = max(int(tol.seconds * MICROS), 1)
-    step = min(degrees(tol.km / EARTH_RADIUS_KM) * CELL_FACTOR, 90.0)
-    columns = max(int(360 / step), 1)
-    return window, step, 360.0 / columns, columns
+@dataclass(frozen=True)
+class Grid:
+    """Cells of time, latitude and longitude a few tolerances wide; longitude wraps around."""
+
+    tol: Tolerance
+    time_factor: int = BUCKET_FACTOR
+    cell_factor: int = CELL_FACTOR
+
+    @property
+    def window(self) -> int:
+        return max(int(self.tol.seconds * MICROS), 1)
+
+    @property
+    def width(self) -> float:
+        return float(self.window * self.time_factor)
+
+    @property
+    def lat_step(self) -> float:
+        return min(degrees(self.tol.km / EARTH_RADIUS_KM) * self.cell_factor, 90.0)
+
+    @property
+    def columns(self) -> int:
+        return max(int(360 / self.lat_step), 1)
+
+    @property
+    def lon_step(self) -> float:
+        return 360.0 / self.columns
+
 
+CELL = ["_b", "_i", "_j"]
 
-def _own_cell(slim: DataFrame, p: str, tol: Tolerance) -> DataFrame:
-    window, lat_step, lon_step, columns = _grid(tol)
-    return slim.withColumns(
+
+def _own_cell(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
+    return rows.withColumns(
         {
-            "_b": _bucket(F.col(f"{p}_t"), float(window * BUCKET_FACTOR)),
-            "_i": _bucket(F.col(f"{p}_lat"), lat_step),
-            "_j": F.pmod(_bucket(F.col(f"{p}_lon"), lon_step), F.lit(columns)),
+            "_b": _bucket(F.col(f"{p}_t"), grid.width),
+            "_i": _bucket(F.col(f"{p}_lat"), grid.lat_step),
+            "_j": F.pmod(_bucket(F.col(f"{p}_lon"), grid.lon_step), F.lit(grid.columns)),
         }
     )
 
 
-def _reachable_cells(slim: DataFrame, p: str, tol: Tolerance) -> DataFrame:
+def _reachable_cells(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
     """One row per grid cell within tolerance of the row (usually one to three)."""
-    window, lat_step, lon_step, columns = _grid(tol)
-    width = float(window * BUCKET_FACTOR)
     t, lat, lon = F.col(f"{p}_t"), F.col(f"{p}_lat"), F.col(f"{p}_lon")
-    radius = tol.km / EARTH_RADIUS_KM
+    radius = grid.tol.km / EARTH_RADIUS_KM
     reach = degrees(radius) * (1 + 1e-9)
     # Meridians converge: the longitude reach grows with latitude and is everything near a pole.
     lon_reach = F.when(F.abs(lat) + reach >= 90, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.lit(radius)) / F.cos(F.radians(lat))))) * (1 + 1e-9)
     )
-    low_j = _bucket(lon - lon_reach, lon_step)
-    high_j = F.least(_bucket(lon + lon_reach, lon_step), low_j + (columns - 1))
+    low_j = _bucket(lon - lon_reach, grid.lon_step)
+    high_j = F.least(_bucket(lon + lon_reach, grid.lon_step), low_j + (grid.columns - 1))
+
+    def span(low: Column, high: Column, width: float) -> Column:
+        return F.explode(F.sequence(_bucket(low, width), _bucket(high, width)))
+
     return (
-        slim.withColumn("_b", F.explode(F.sequence(_bucket(t - window, width), _bucket(t + window, width))))
-        .withColumn("_i", F.explode(F.sequence(_bucket(lat - reach, lat_step), _bucket(lat + reach, lat_step))))
+        rows.withColumn("_b", span(t - grid.window, t + grid.window, grid.width))
+        .withColumn("_i", span(lat - reach, lat + reach, grid.lat_step))
         .withColumn("_j", F.explode(F.sequence(low_j, high_j)))
-        .withColumn("_j", F.pmod(F.col("_j"), F.lit(columns)))
+        .withColumn("_j", F.pmod(F.col("_j"), F.lit(grid.columns)))
     )
 
 
-def close_pairs(a: DataFrame, b: DataFrame, tol: Tolerance, scale: Tolerance | None = None) -> DataFrame:
+def close_pairs(a: DataFrame, b: DataFrame, tol: Tolerance, scale: Tolerance | None = None, grid: Grid | None = None) -> DataFrame:
     """(a_id, b_id, dt, km, score) for slim sides ``a`` and ``b`` within ``tol``.
 
     The score is seconds and kilometres as shares of ``scale`` (``tol`` unless given), 0 when equal.
     """
-    scale = scale or tol
+    scale, grid = scale or tol, grid or Grid(tol)
     dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
     km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
     return (
-        _own_cell(a, "a", tol)
-        .join(_reachable_cells(b, "b", tol), ["_b", "_i", "_j"])
+        _own_cell(a, "a", grid)
+        .join(_reachable_cells(b, "b", grid), CELL)
         .where(dt <= tol.seconds)
         .select("a_id", "b_id", dt.alias("dt"), km.alias("km"))
         .where(F.col("km") <= tol.km)
@@ -129,51 +160,65 @@ def _best(pairs: DataFrame, side: str, other: str) -> DataFrame:
     return pairs.groupBy(side).agg(F.min(ranked).alias("b")).select(side, "b.*")
 
 
-def densest_cell(a: DataFrame, b: DataFrame, tol: Tolerance) -> int:
-    """Largest number of candidate pairs any one grid cell can produce (one small aggregate)."""
-    cell = ["_b", "_i", "_j"]
-    left = _own_cell(a, "a", tol).groupBy(*cell).agg(F.count("*").alias("na"))
-    right = _reachable_cells(b, "b", tol).groupBy(*cell).agg(F.count("*").alias("nb"))
-    row = left.join(right, cell).agg(F.max(F.col("na") * F.col("nb")).alias("m")).first()
-    return int(row["m"] or 0)
+def crowded_cells(a: DataFrame, b: DataFrame, tol: Tolerance, budget: int = CELL_BUDGET) -> DataFrame:
+    """Grid cells in which more than ``budget`` candidate pairs would meet, with that number.
+
+    Only counts per cell are shuffled and joined.
+    """
+    grid = Grid(tol)
+    left = _own_cell(a, "a", grid).groupBy(*CELL).agg(F.count("*").alias("na"))
+    right = _reachable_cells(b, "b", grid).groupBy(*CELL).agg(F.count("*").alias("nb"))
+    pairs = (F.col("na") * F.col("nb")).alias("pairs")
+    return left.join(right, CELL).select(*CELL, pairs).where(F.col("pairs") > budget)
 
 
-def plan_levels(pairs_in_densest_cell: int, budget: int = 20_000_000) -> list[float]:
+def plan_levels(pairs_in_cell: int | None) -> list[float]:
     """Shares of the tolerance to search, finest first, always ending with the full tolerance.
 
-    Each finer level shrinks a cell eightfold in time and both directions, so spread-out pairs in
-    one cell drop by 8**3 per side-count.
+    The finest is where a row in a cell with that many pairs has a partner or so in reach.
     """
-    if pairs_in_densest_cell <= budget:
+    if not pairs_in_cell:
         return [1.0]
-    finer = min(4, ceil(log(pairs_in_densest_cell / budget, 8**3)))
-    return [8.0**-level for level in range(finer, 0, -1)] + [1.0]
+    finer = max(1, round(log(pairs_in_cell**0.5) / (3 * log(LEVEL_STEP))))
+    return [float(LEVEL_STEP) ** -level for level in range(finer, 0, -1)] + [1.0]
 
 
-def _first_at_spot(slim: DataFrame, p: str) -> DataFrame:
+def _first_at_spot(rows: DataFrame, p: str) -> DataFrame:
     """Of rows at exactly the same time and place only the smallest id can be a mutual best."""
-    return slim.groupBy(f"{p}_t", f"{p}_lat", f"{p}_lon").agg(F.min(f"{p}_id").alias(f"{p}_id"))
+    return rows.groupBy(f"{p}_t", f"{p}_lat", f"{p}_lon").agg(F.min(f"{p}_id").alias(f"{p}_id"))
 
 
-def _nearest(a: DataFrame, b: DataFrame, tol: Tolerance, levels: Sequence[float], side: str) -> DataFrame:
-    """Best partner of every row on ``side``, searched in growing neighbourhoods.
+def _nearest(
+    a: DataFrame, b: DataFrame, tol: Tolerance, levels: Sequence[float], side: str, crowded: DataFrame | None
+) -> DataFrame:
+    """Best partner of every row on ``side`` ('a' or 'b').
 
-    A best partner scoring no more than a level's share cannot be beaten by anything outside that
-    level's box, so it is final and its row leaves the search. Only rows without such a partner go
-    on to the next, wider level; the last level decides the rest. Exact, with no cap on partners.
+    Rows in crowded cells are searched in growing neighbourhoods first. A best partner scoring no
+    more than a level's share cannot be beaten by anything outside that level's box, so it is final
+    and its row leaves the search. Everything still open is decided at the full tolerance. Exact,
+    with no cap on partners.
     """
-    other = "b_id" if side == "a_id" else "a_id"
-    found = None
-    for share in levels:
-        best = _best(close_pairs(a, b, tol.scaled(share), tol), side, other)
-        if share < 1.0:
-            best = cut_lineage(best.where(F.col("rank") <= share * (1 - 1e-6)))
-            if side == "a_id":
-                a = a.join(best, side, "left_anti")
-            else:
-                b = b.join(best, side, "left_anti")
-        found = best if found is None else found.unionByName(best)
-    return found
+    key, other = (f"{side}_id", "b_id" if side == "a" else "a_id")
+    seekers, partners = (a, b) if side == "a" else (b, a)
+    open_rows, found = seekers, None
+    if len(levels) > 1:
+        part = "b" if side == "a" else "a"
+        near = seekers if crowded is None else _own_cell(seekers, side, Grid(tol)).join(crowded, CELL, "left_semi").drop(*CELL)
+        reach = partners
+        if crowded is not None:
+            reach = _reachable_cells(partners, part, Grid(tol)).join(crowded, CELL, "left_semi").drop(*CELL)
+            reach = cut_lineage(reach.distinct())
+        for share in levels[:-1]:
+            small = tol.scaled(share)
+            sides = (near, reach) if side == "a" else (reach, near)
+            best = _best(close_pairs(*sides, small, tol, Grid(small, FINE_FACTOR, FINE_FACTOR)), key, other)
+            settled = cut_lineage(best.where(F.col("rank") <= share * (1 - 1e-6)))
+            near = cut_lineage(near.join(settled, key, "left_anti"))
+            found = settled if found is None else found.unionByName(settled)
+        open_rows = seekers.join(found, key, "left_anti")
+    sides = (open_rows, partners) if side == "a" else (partners, open_rows)
+    rest = _best(close_pairs(*sides, tol), key, other)
+    return rest if found is None else found.unionByName(rest)
 
 
 def mutual_best(
@@ -183,15 +228,20 @@ def mutual_best(
 
     Ties go to the smaller id of the other side. A record whose best candidate prefers another
     stays unlinked. ``left`` and ``right`` need event_id, event_time, latitude, longitude.
-    ``levels`` None measures the densest grid cell and searches finer neighbourhoods first where a
-    swarm would otherwise produce too many pairs.
+
+    Usually one equality join on grid cells decides all. Cells are counted first; where a swarm
+    would make too many pairs meet in one cell, its rows are searched in finer steps before. Given
+    ``levels`` are searched for all rows instead.
     """
     tol = tol or Tolerance()
-    a, b = _slim(left, "a"), _slim(right, "b")
+    a, b = slim(left, "a"), slim(right, "b")
+    crowded = None
     if levels is None:
-        levels = plan_levels(densest_cell(a, b, tol))
+        cells = crowded_cells(a, b, tol)
+        levels = plan_levels(cells.agg(F.max("pairs").alias("m")).first()["m"])
+        crowded = cut_lineage(cells.select(*CELL)) if len(levels) > 1 else None
     if len(levels) > 1:
         a, b = cut_lineage(_first_at_spot(a, "a")), cut_lineage(_first_at_spot(b, "b"))
-    from_a = _nearest(a, b, tol, levels, "a_id")
-    from_b = _nearest(a, b, tol, levels, "b_id").select("a_id", "b_id")
+    from_a = _nearest(a, b, tol, levels, "a", crowded)
+    from_b = _nearest(a, b, tol, levels, "b", crowded).select("a_id", "b_id")
     return from_a.join(from_b, ["a_id", "b_id"]).select("a_id", "b_id", "dt", "km", "score")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismic_lake.functions.geo import in_box
-from seismic_lake.operators.proximity import Tolerance, _slim, close_pairs, mutual_best
+from seismic_lake.operators.proximity import Tolerance, slim, close_pairs, mutual_best
 from seismic_lake.plans.clean_jma import TABLE as JMA_TABLE
 from seismic_lake.plans.clean_usgs import TABLE as USGS_TABLE
 from seismic_lake.sources.lake import BUILT, PUBLISHED, Build, Lake, MissingInput
@@ -57,7 +57,7 @@ def link_summary(jma: DataFrame, usgs: DataFrame, matches: DataFrame) -> DataFra
     Pairs are counted inside the join's stage and never shuffled.
     """
     j, u = jma_candidates(jma), usgs_candidates(usgs)
-    pairs = close_pairs(_slim(j, "a"), _slim(u, "b"), Tolerance())
+    pairs = close_pairs(slim(j, "a"), slim(u, "b"), Tolerance())
     parts = [("jma_candidates", j), ("usgs_candidates", u), ("pairs_considered", pairs), ("matched", matches)]
     counted = None
     for name, df in parts:

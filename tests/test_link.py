@@ -9,7 +9,8 @@ from samples import utc
 
 from pyspark.sql import functions as F
 
-from seismic_lake.operators.proximity import Tolerance, densest_cell, interval_join, mutual_best, plan_levels, _slim
+from seismic_lake.operators import proximity
+from seismic_lake.operators.proximity import Tolerance, crowded_cells, interval_join, mutual_best, plan_levels, slim
 from seismic_lake.plans.link import link, link_summary
 
 T0 = utc(2023, 3, 1, 12)
@@ -121,10 +122,19 @@ def test_links_are_one_to_one(spark):
 
 
 def test_levels_follow_the_measured_density(spark):
-    assert plan_levels(1000) == [1.0]
-    assert plan_levels(10**9)[-1] == 1.0 and len(plan_levels(10**9)) == 2 and len(plan_levels(10**15)) == 4
-    a, b = events(spark, swarm(1, 100, 5, 0.1, "a")), events(spark, swarm(2, 100, 5, 0.1, "b"))
-    assert densest_cell(_slim(a, "a"), _slim(b, "b"), Tolerance()) >= 2500
+    assert plan_levels(None) == [1.0]
+    assert plan_levels(10**8) == [1 / 16, 1 / 4, 1.0] and plan_levels(10**14)[0] < 1 / 64
+    a, b = slim(events(spark, swarm(1, 100, 5, 0.1, "a")), "a"), slim(events(spark, swarm(2, 100, 5, 0.1, "b")), "b")
+    assert crowded_cells(a, b, Tolerance()).count() == 0
+    assert crowded_cells(a, b, Tolerance(), budget=2000).count() >= 1
+
+
+def test_crowded_cells_among_quiet_ones_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(proximity.crowded_cells, "__defaults__", (500,))
+    a = swarm(1, 120, 6, 0.5, "a") + [(f"q{i}", 100 + i * 11, 30 + i * 0.1, 130.0) for i in range(60)]
+    b = swarm(2, 120, 6, 0.5, "b") + [(f"r{i}", 103 + i * 11, 30 + i * 0.1, 130.2) for i in range(60)]
+    b += [(f"s{i}", 10 + i, 35.9, 140.9) for i in range(10)]  # just outside the swarm
+    assert found(mutual_best(events(spark, a), events(spark, b))) == brute_force(a, b)
 
 
 def test_interval_join_equals_the_naive_join(spark):

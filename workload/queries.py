@@ -302,8 +302,8 @@ def interval_join(spark, sf):
 
 @query
 def haversine_pairs(spark, sf):
-    a = proximity._slim(spark_input(spark, sf, "usgs"), "a")
-    b = proximity._slim(spark_input(spark, sf, "jma"), "b")
+    a = proximity.slim(spark_input(spark, sf, "usgs"), "a")
+    b = proximity.slim(spark_input(spark, sf, "jma"), "b")
     pairs = proximity.close_pairs(a, b, proximity.Tolerance())
     return pairs.select("a_id", "b_id", F.round("dt", 2).alias("dt"), F.round("km", 3).alias("km"))
 
