@@ -79,15 +79,22 @@ def capped_windows(
         .groupBy("low", "span", "last", "level", "node")
         .agg(F.sum("n").alias("n"))
     )
+    # Every piece reports itself, and a piece that must be split reports its halves as wanted, so
+    # one more aggregate tells which pieces to keep: no join of the counts with themselves.
     must_split = (F.col("n") > cap) & (F.col("level") < F.col("last"))
-    children = nodes.where(must_split).select(
-        "low",
-        (F.col("level") + 1).alias("level"),
-        F.explode(F.array(F.col("node") * 2, F.col("node") * 2 + 1)).alias("node"),
-    )
-    kept = nodes.where(~must_split)
-    chosen = kept.where("level = 0").unionByName(
-        kept.where("level > 0").join(children, ["low", "level", "node"], "left_semi")
+
+    def report(level: Column, node: Column, n: Column, wanted: bool) -> Column:
+        return F.struct(level.alias("level"), node.alias("node"), n.alias("n"), F.lit(wanted).alias("wanted"))
+
+    itself = report(F.col("level"), F.col("node"), F.col("n"), False)
+    unknown = F.lit(None).cast("bigint")
+    halves = [report(F.col("level") + 1, F.col("node") * 2 + k, unknown, True) for k in (0, 1)]
+    reports = F.when(must_split, F.array(itself, *halves)).otherwise(F.array(itself))
+    chosen = (
+        nodes.select("low", "span", "last", F.explode(reports).alias("r"))
+        .groupBy("low", "span", "last", "r.level", "r.node")
+        .agg(F.max("r.n").alias("n"), F.max("r.wanted").alias("wanted"))
+        .where(F.col("n").isNotNull() & ~must_split & ((F.col("level") == 0) | F.col("wanted")))
     )
     size = F.col("span") / F.pow(F.lit(2.0), F.col("level"))
 

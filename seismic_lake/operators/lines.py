@@ -26,66 +26,56 @@ def merge_steps(steps: DataFrame, decimals: int = DECIMALS, chunk: int = STEPS_P
     """
     start = F.struct(F.round("start_lon", decimals).alias("lon"), F.round("start_lat", decimals).alias("lat"))
     end = F.struct(F.round("end_lon", decimals).alias("lon"), F.round("end_lat", decimals).alias("lat"))
-    typed = steps.select(
+    wraps = F.abs(end["lon"] - start["lon"]) > 180
+    kind = code_label(F.col("step_class"), BOUNDARY_TYPES)
+    # Only the trace is carried along, so the chunk totals read the same shuffle as the steps.
+    traced = steps.select(
         "boundary",
         "seq",
         F.floor(F.col("seq") / chunk).cast("bigint").alias("chunk"),
-        code_label(F.col("step_class"), BOUNDARY_TYPES).alias("type"),
-        start.alias("start"),
-        end.alias("end"),
-    ).withColumn("wraps", F.abs(F.col("end.lon") - F.col("start.lon")) > 180)
-
-    # What a step needs to know of the one before it.
-    trace = F.struct("type", "end", "wraps")
-    in_chunk = Window.partitionBy("boundary", "chunk").orderBy("seq")
-    chunk_ends = typed.groupBy("boundary", "chunk").agg(F.max_by(trace, "seq").alias("tail"))
-    carried = chunk_ends.withColumn(
-        "carried", F.lag("tail").over(Window.partitionBy("boundary").orderBy("chunk"))
-    ).drop("tail")
-    previous = F.coalesce(F.col("_prev"), F.col("carried"))
-    linked = (
-        typed.withColumn("_prev", F.lag(trace).over(in_chunk))
-        .join(carried, ["boundary", "chunk"])
-        .withColumn("prev", previous)
-        .drop("_prev", "carried")
+        F.struct(kind.alias("type"), start.alias("start"), end.alias("end"), wraps.alias("wraps")).alias("trace"),
+    ).where(F.col("boundary").isNotNull() & F.col("chunk").isNotNull())
+    by_chunk = Window.partitionBy("boundary", "chunk").orderBy("seq")
+    by_boundary = Window.partitionBy("boundary").orderBy("chunk")
+    traced = traced.withColumn("prev", F.lag("trace").over(by_chunk))
+
+    def opens(step: Column, before: Column) -> Column:
+        """1 when a step starts a line, 0 when it goes on or is dropped."""
+        goes_on = ~before["wraps"] & (before["type"] == step["type"]) & (before["end"] == step["start"])
+        return F.when(step["wraps"] | F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)
+
+    # One row per chunk: lines it opens after its first step, its first and its last step.
+    inner = F.when(F.col("prev").isNotNull(), opens(F.col("trace"), F.col("prev"))).otherwise(0)
+    chunks = traced.groupBy("boundary", "chunk").agg(
+        F.sum(inner).alias("inner"), F.min_by("trace", "seq").alias("head"), F.max_by("trace", "seq").alias("tail")
     )
-    joins_on = (
-        F.col("prev").isNotNull()
-        & ~F.col("prev.wraps")
-        & (F.col("prev.type") == F.col("type"))
-        & (F.col("prev.end") == F.col("start"))
-    )
-    kept = linked.withColumn("opens", F.when(joins_on, 0).otherwise(1)).where(~F.col("wraps"))
-
-    def running(total: str) -> Column:
-        return F.sum(total).over(in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    # Running line number: inside the chunk, plus the lines opened in earlier chunks.
-    opened = kept.groupBy("boundary", "chunk").agg(F.sum("opens").alias("opened"))
-    before = opened.select(
-        "boundary",
-        "chunk",
-        F.coalesce(
-            F.sum("opened").over(
-                Window.partitionBy("boundary").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("before"),
+    carried = (
+        chunks.withColumn("carried", F.lag("tail").over(by_boundary))
+        .withColumn("total", F.col("inner") + opens(F.col("head"), F.col("carried")))
+        .select(
+            "boundary",
+            "chunk",
+            "carried",
+            F.coalesce(
+                F.sum("total").over(by_boundary.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ).alias("before"),
+        )
     )
     numbered = (
-        kept.withColumn("line_in_chunk", running("opens"))
-        .join(before, ["boundary", "chunk"])
-        .withColumn("line_no", F.col("line_in_chunk") + F.col("before"))
+        traced.join(carried, ["boundary", "chunk"])
+        .withColumn("opens", opens(F.col("trace"), F.coalesce("prev", "carried")))
+        .withColumn(
+            "line_no",
+            F.col("before")
+            + F.sum("opens").over(by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        )
+        .where(~F.col("trace.wraps"))
     )
     # The opening step gives two points, every other step its end.
-    points = F.when(F.col("opens") == 1, F.array("start", "end")).otherwise(F.array("end"))
+    both = F.array("trace.start", "trace.end")
+    points = F.when(F.col("opens") == 1, both).otherwise(F.array("trace.end"))
     return numbered.select(
-        "boundary",
-        "type",
-        "line_no",
-        F.posexplode(points).alias("k", "p"),
-        "seq",
-        "opens",
+        "boundary", "trace.type", "line_no", "seq", "opens", F.posexplode(points).alias("k", "p")
     ).select(
         "boundary",
         "type",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import degrees, log
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +64,12 @@ class Tolerance:
 
 
 def slim(side: DataFrame, prefix: str) -> DataFrame:
-    """Only what the search needs: id, time in microseconds, place."""
-    return side.select(
+    """Only what the search needs: id, time in microseconds, place. Rows lacking one cannot pair.
+
+    Saying so here gives the searches from both sides the same inputs, so they share one shuffle.
+    """
+    needed = [F.col(c).isNotNull() for c in ("event_id", "event_time", "latitude", "longitude")]
+    return side.where(reduce(and_, needed)).select(
         F.col("event_id").alias(f"{prefix}_id"),
         F.unix_micros("event_time").alias(f"{prefix}_t"),
         F.col("latitude").alias(f"{prefix}_lat"),

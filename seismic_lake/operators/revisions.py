@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     per key, so a key holding a third of the table costs one row per task, not a third of the
     table. NULL keys would form one such group for no use, so callers count them separately.
     """
-    present = df.dropna(subset=list(keys))
+    present = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return present.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
