@@ -14,10 +14,11 @@ from seismic_lake.operators.revisions import newest_bulletin, one_per_event
 from seismic_lake.operators.stitch import after_coverage, as_preliminary, coverage_cutoff, stitch
 from seismic_lake.operators.validation import FELT_RULES, JMA_RULES, REASON, mark_rejects, reject_counts
 from seismic_lake.plans.clean_usgs import CLEAN, outcome, written_counts
+from seismic_lake.session import shuffles_for
 from seismic_lake.sources.catalog import parse_catalog, read_catalog_lines
 from seismic_lake.sources.daily_pages import parse_daily, read_daily_lines
 from seismic_lake.sources.feed import parse_feed, read_feed
-from seismic_lake.sources.lake import BUILT, Build, Lake, MissingInput, path_exists, write_yearly
+from seismic_lake.sources.lake import BUILT, Build, Lake, MissingInput, input_bytes, path_exists, write_yearly
 from seismic_lake.vocab import JMA_SCHEMA
 
 TABLE = "clean/jma"
@@ -41,10 +42,6 @@ def stitched_history(catalog: DataFrame, daily: DataFrame) -> DataFrame:
     return rows.withColumn("event_id", key).select(*JMA_SCHEMA.fieldNames())
 
 
-def _empty(lake: Lake, like: DataFrame) -> DataFrame:
-    return lake.spark.createDataFrame([], like.schema)
-
-
 def _staged(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back, so text is parsed once however many plans use the rows."""
     df.write.mode("overwrite").parquet(path)
@@ -72,12 +69,12 @@ def build(lake: Lake, build_id: str, now: datetime) -> Build:
         else _text_lines(lake, "day string, line string")
     )
     staging = lake.path(TABLE, "staging", build_id)
-    catalog = _staged(parse_catalog(lines), f"{staging}/catalog")
-    daily = _staged(parse_daily(pages), f"{staging}/daily")
-    history = _staged(stitched_history(catalog, daily), f"{staging}/history")
-
     path = lake.build_path(TABLE, build_id)
-    write_yearly(outcome(mark_rejects(one_per_event(history), JMA_RULES)), path, "event_time", ["outcome"])
+    with shuffles_for(lake.spark, input_bytes(lake.spark, raw)):
+        catalog = _staged(parse_catalog(lines), f"{staging}/catalog")
+        daily = _staged(parse_daily(pages), f"{staging}/daily")
+        history = _staged(stitched_history(catalog, daily), f"{staging}/history")
+        write_yearly(outcome(mark_rejects(one_per_event(history), JMA_RULES)), path, "event_time", ["outcome"])
 
     by_status = {r["status"]: r["count"] for r in history.groupBy("status").count().collect()}
     raw_rows = sum(by_status.values())

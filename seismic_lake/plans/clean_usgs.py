@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from seismic_lake.operators.revisions import newest_revision
 from seismic_lake.operators.validation import NO_ID, REASON, USGS_RULES, mark_rejects
-from seismic_lake.sources.lake import BUILT, Build, Lake, write_yearly
+from seismic_lake.session import shuffles_for
+from seismic_lake.sources.lake import BUILT, Build, Lake, input_bytes, write_yearly
 from seismic_lake.sources.raw_events import read_raw_events, type_events
 
 TABLE = "clean/usgs"
@@ -52,7 +53,8 @@ def build(lake: Lake, build_id: str, now: datetime) -> Build:
     """Rebuild the clean table from all raw runs. Recorded as built, not yet published."""
     raw = read_raw_events(lake.spark, lake.path(RAW))
     path = lake.build_path(TABLE, build_id)
-    write_yearly(outcome(marked_events(raw)), path, "event_time", extra=["outcome"])
+    with shuffles_for(lake.spark, input_bytes(lake.spark, lake.path(RAW))):
+        write_yearly(outcome(marked_events(raw)), path, "event_time", extra=["outcome"])
 
     blank = F.count_if(F.coalesce(F.trim("id"), F.lit("")) == "")
     totals = raw.agg(F.count("*").alias("rows"), blank.alias("blank")).first()

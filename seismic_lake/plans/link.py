@@ -12,7 +12,8 @@ from seismic_lake.functions.geo import in_box
 from seismic_lake.operators.proximity import Tolerance, slim, close_pairs, mutual_best
 from seismic_lake.plans.clean_jma import TABLE as JMA_TABLE
 from seismic_lake.plans.clean_usgs import TABLE as USGS_TABLE
-from seismic_lake.sources.lake import BUILT, PUBLISHED, Build, Lake, MissingInput
+from seismic_lake.session import shuffles_for
+from seismic_lake.sources.lake import BUILT, PUBLISHED, Build, Lake, MissingInput, input_bytes
 from seismic_lake.vocab import JMA_SCHEMA, LINK_BOX, LINK_MIN_MAG, MATCH_SCHEMA, USGS_SCHEMA
 
 TABLE = "clean/jma_usgs_matches"
@@ -74,10 +75,13 @@ def build(lake: Lake, build_id: str, now: datetime, event: str = BUILT) -> Build
         if table is None:
             raise MissingInput(f"no clean {name} table under {lake.root}; build it first")
     path = lake.build_path(TABLE, build_id)
-    # Rebalancing gives one file while the table is small and well-sized files when it is not.
-    link(jma, usgs).hint("rebalance").sortWithinPartitions("jma_event_time").write.mode("overwrite").parquet(path)
-    matches = lake.spark.read.schema(MATCH_SCHEMA).parquet(path)
-    summary = link_summary(jma, usgs, matches).first().asDict()
+    size = sum(input_bytes(lake.spark, lake.newest(t, event).location) for t in (JMA_TABLE, USGS_TABLE))
+    with shuffles_for(lake.spark, size):
+        # Rebalancing gives one file while the table is small and well-sized files when it is not.
+        links = link(jma, usgs).hint("rebalance").sortWithinPartitions("jma_event_time")
+        links.write.mode("overwrite").parquet(path)
+        matches = lake.spark.read.schema(MATCH_SCHEMA).parquet(path)
+        summary = link_summary(jma, usgs, matches).first().asDict()
     lake.record(TABLE, BUILT, build_id, now, path, summary)
     return Build(build_id, now, path, summary)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED_CONF = {
@@ -35,6 +38,45 @@ def local_session(cores: int | str = "*", name: str = "seismic_lake", memory: st
     )
 
 
+# One shuffle partition for this much input, and bounds on the numbers of partitions and of scan
+# tasks: the driver keeps a record per scan task and shuffle partition.
+INPUT_PER_PARTITION = 128 << 20
+MAX_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def _scan_bytes(spark: SparkSession) -> int:
+    text = spark.conf.get(SCAN_BYTES)
+    return int(text[:-1]) if text.endswith("b") else int(text) if text.isdigit() else 128 << 20
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Size scans and shuffles for an input, so partitions fit in memory at any scale.
+
+    Only raises the numbers Spark starts from; AQE merges partitions that turn out too small.
+    """
+    raised = {}
+    partitions = min(MAX_PARTITIONS, -(-input_bytes // INPUT_PER_PARTITION))
+    if partitions > int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        raised[INITIAL_PARTITIONS] = str(partitions)
+    if input_bytes // MAX_SCAN_TASKS > _scan_bytes(spark):
+        raised[SCAN_BYTES] = str(input_bytes // MAX_SCAN_TASKS)
+    before = {key: spark.conf.get(key, None) for key in raised}
+    try:
+        for key, value in raised.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise to reliable storage, in the folder the cluster names in ``spark.checkpoint.dir``.
 

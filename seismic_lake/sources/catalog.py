@@ -42,6 +42,21 @@ def _zip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             )
 
 
+def list_catalog_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, size, last_modified) of every zip; only the listing is read, not the contents."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "h*.zip")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("last_modified"),
+    )
+
+
 def read_catalog_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every member of every zip. Files are spread over tasks by size."""
     files = (

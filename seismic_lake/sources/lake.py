@@ -120,7 +120,7 @@ class Lake:
         themselves, which is what the audit wants.
         """
         build = self.newest(table, event)
-        if build is None or not path_exists(self.spark, build.location + ("/year=*" if yearly else "/*.parquet")):
+        if build is None or not path_exists(self.spark, build.location + ("/year=*" if yearly else "")):
             return None
         reader = self.spark.read
         if schema is not None:

@@ -155,3 +155,36 @@ def test_link_needs_both_tables(lake):
 
     with pytest.raises(MissingInput):
         link_plan.build(lake, "b", T0 + timedelta(days=1))
+
+
+def test_a_build_without_links_is_an_empty_table(lake):
+    from datetime import datetime
+
+    from samples import catalog_line, raw_event, write_catalog, write_raw
+
+    from seismic_lake.plans import clean_jma, clean_usgs
+    from seismic_lake.plans import link as link_plan
+
+    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 3, 1, 21), 38.1, 142.0, mag=5.4)])
+    write_raw(lake, "r", [raw_event()])
+    clean_jma.build(lake, "j", T0)
+    clean_usgs.build(lake, "u", T0)
+    built = link_plan.build(lake, "m", T0)
+    assert built.summary == {"jma_candidates": 1, "usgs_candidates": 1, "pairs_considered": 0, "matched": 0}
+    assert link_plan.read_matches(lake, "built").count() == 0
+
+
+def test_scans_and_shuffles_are_sized_for_the_input(spark):
+    from seismic_lake.session import INITIAL_PARTITIONS, SCAN_BYTES, shuffles_for
+
+    def now():
+        return spark.conf.get(INITIAL_PARTITIONS, None), spark.conf.get(SCAN_BYTES)
+
+    usual = now()
+    with shuffles_for(spark, 100 << 40):
+        assert now() == ("50000", str((100 << 40) // 100_000))
+    with shuffles_for(spark, 1 << 30):
+        assert now() == ("8", usual[1])
+    with shuffles_for(spark, 100):
+        assert now() == usual
+    assert now() == usual

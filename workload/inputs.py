@@ -123,7 +123,7 @@ _CATALOG_LINE = " || ".join(
 # Every line item as a 96-character catalog record; some are cut short.
 CATALOG_LINES = {
     "rec": "l_orderkey * 8 + l_linenumber",
-    "line": f"CASE WHEN l_suppkey % 97 = 0 THEN substr({_CATALOG_LINE}, 1, 60) ELSE {_CATALOG_LINE} END",
+    "line": f"substr({_CATALOG_LINE}, 1, CASE WHEN l_suppkey % 97 = 0 THEN 60 ELSE 96 END)",
 }
 
 # Every event as a line of a daily list; 'error' events are headings that are no data lines.
