@@ -22,7 +22,7 @@ CELL_FACTOR = 4
 # In dense places comparisons cost more than copies, so cells are narrower there.
 FINE_FACTOR = 2
 # Candidate pairs one grid cell may produce before its rows are searched in finer steps first.
-CELL_BUDGET = 20_000_000
+CELL_BUDGET = 4_000_000
 LEVEL_STEP = 4
 # Score digits used for ranking: far finer than any measurement, coarser than the last bits in
 # which two machines' trigonometry may differ, so ties fall the same way everywhere.

@@ -147,6 +147,15 @@ def published_share(runs: DataFrame) -> DataFrame:
     return runs.agg(F.count_if("published").alias("published"), F.count("*").alias("runs"))
 
 
+def newest_first(daily: DataFrame) -> DataFrame:
+    return daily.orderBy(F.col("day").desc())
+
+
+def largest_shown(quakes: DataFrame) -> DataFrame:
+    """The largest of the events on a map; the earliest of equals."""
+    return quakes.orderBy(F.col("mag").desc_nulls_last(), "time", "id").limit(1)
+
+
 def busiest_day(daily: DataFrame) -> DataFrame:
     """The day with the most events; the earliest of equals."""
     return daily.orderBy(F.col("quakes").desc(), F.col("day")).limit(1)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seismic_lake.session import configure
 from seismic_lake.vocab import DQ_SCHEMA, with_year
 
 BUILT, PUBLISHED = "built", "published"
@@ -67,7 +68,7 @@ class Build:
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = configure(spark)
         self.root = root.rstrip("/")
 
     def path(self, *parts: str) -> str:

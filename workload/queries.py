@@ -401,6 +401,16 @@ def dq_gate(spark, sf):
     )
 
 
+@query
+def dq_results_jma(spark, sf):
+    """The whole audit of the Japanese history: its own checks, felt reports and reconciliation."""
+    jma, usgs = spark_input(spark, sf, "jma"), spark_input(spark, sf, "usgs")
+    results = audit.audit(
+        jma, audit.JMA, NOW_ORDERS, spark, felt=spark_input(spark, sf, "felt"), matches=link.link(jma, usgs)
+    )
+    return results.select("check", "severity", "passed", F.round("value", 6).alias("value"))
+
+
 @query
 def dq_missing_days(spark, sf):
     """Local days without a preliminary event since a month before the first ones."""
@@ -490,7 +500,7 @@ def recent_quakes(spark, sf):
 
 @query
 def daily_counts(spark, sf):
-    return gold.daily_counts(_usgs(spark, sf).where("mag >= 2"), NOW_ORDERS)
+    return gold.daily_counts(_usgs(spark, sf), NOW_ORDERS)
 
 
 @query
@@ -580,6 +590,12 @@ def busiest_day(spark, sf):
     return analytics.busiest_day(gold.daily_counts(_usgs(spark, sf), NOW_ORDERS))
 
 
+@query
+def largest_shown(spark, sf):
+    quakes = gold.japan_quakes(spark_input(spark, sf, "jma"), _usgs(spark, sf), NOW_ORDERS)
+    return analytics.largest_shown(quakes)
+
+
 @query
 def published_share(spark, sf):
     return analytics.published_share(gold.run_history(_dq(spark, sf)))
@@ -764,9 +780,9 @@ def snapshot_latest(spark, sf):
 
 @query
 def calendar_days(spark, sf):
-    """Orders per day of one half-year, quiet days included."""
-    orders = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'")
-    counted = calendar.counts_per_day(orders, date(1999, 1, 1), date(1999, 6, 30), F.to_date("o_orderdate"), "orders")
+    """Orders per day from before the first to after the last, quiet days included."""
+    orders = table(spark, sf, "orders")
+    counted = calendar.counts_per_day(orders, date(1994, 12, 1), date(2001, 12, 31), F.to_date("o_orderdate"), "orders")
     return counted.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "orders")
 
 
