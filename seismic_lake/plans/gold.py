@@ -79,18 +79,17 @@ def felt_shown() -> list[Column]:
     ]
 
 
-def summary_counts(usgs: DataFrame, now: datetime) -> DataFrame:
-    now = utc(now)
+def _count(rows: DataFrame) -> Column:
+    return rows.agg(F.count("*").alias("n")).scalar()
 
-    def within(hours: int) -> Column:
-        return F.count_if(F.col("event_time") >= instant(now - timedelta(hours=hours)))
 
-    return usgs.agg(
-        F.count("*").alias("archive_total"),
-        F.min("year").alias("archive_since"),
-        within(24).alias("last_24h"),
-        within(7 * 24).alias("last_7d"),
-    )
+def summary_counts(usgs: DataFrame, now: datetime) -> DataFrame:
+    """Archive size and first year, which need no column of the files, and the last day and week,
+    which read only this year's folders."""
+    now = utc(now)
+    day, week = (usgs.where(since(now - timedelta(days=n))) for n in (1, 7))
+    totals = usgs.agg(F.count("*").alias("archive_total"), F.min("year").alias("archive_since"))
+    return totals.select("*", _count(day).alias("last_24h"), _count(week).alias("last_7d"))
 
 
 def _strongest(events: DataFrame, n: int) -> DataFrame:
@@ -134,13 +133,15 @@ def japan_quakes(jma: DataFrame | None, usgs: DataFrame, now: datetime) -> DataF
 
 
 def japan_totals(jma: DataFrame, usgs: DataFrame, now: datetime) -> DataFrame:
-    """One row: events located (any magnitude), the other agency's count, newest time in epoch ms."""
+    """One row: events located (any magnitude), the other agency's count, newest time in epoch ms.
+
+    Each figure has its own pruned scan; the newest event is in the last year's folder.
+    """
     window = since(utc(now) - timedelta(days=MAP_DAYS)) & in_box(JAPAN_BOX)
-    theirs = usgs.where(window).agg(F.count("*").alias("n")).scalar()
-    return jma.agg(
-        F.count_if(window & (F.col("event_type") == "earthquake")).alias("located_total"),
-        F.unix_millis(F.max("event_time")).alias("newest"),
-    ).select("located_total", theirs.alias("usgs_total"), "newest")
+    last_year = jma.agg(F.max("year").alias("y")).scalar()
+    newest = jma.where(F.col("year") >= last_year).agg(F.unix_millis(F.max("event_time")).alias("newest"))
+    located = _count(jma.where(window & (F.col("event_type") == "earthquake")))
+    return newest.select(located.alias("located_total"), _count(usgs.where(window)).alias("usgs_total"), "newest")
 
 
 def japan_felt(felt: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ no row is left out: conditions only choose values (a blank field, a bad coordina
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seismic_lake.session import configure
 from seismic_lake.sources.lake import input_bytes
@@ -331,10 +333,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# The column an input's times derive from; times are at most a day and a bit later or earlier.
+TIMED_BY = {"usgs": "o_orderdate", "jma": "o_orderdate", "felt": "ts", "dq": "ts"}
+
+
+def spark_input(
+    spark: SparkSession, sf_dir: str, name: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """An input as a DataFrame.
+
+    A query over a time window says so: derived times cannot be pushed to the scan, so the window,
+    widened by two days, is put on the stored column they come from. The query's own exact bounds
+    still apply, as a lake table's year folders and its event times work together.
+    """
     source, columns = INPUTS[name]
-    exprs = [f"{_render(e, _SPARK)} AS `{c}`" for c, e in columns.items()]
-    return table(spark, sf_dir, source).selectExpr(*exprs)
+    rows = table(spark, sf_dir, source)
+    slack = timedelta(days=2)
+    if since is not None:
+        rows = rows.where(F.col(TIMED_BY[name]) >= _stored(since - slack))
+    if until is not None:
+        rows = rows.where(F.col(TIMED_BY[name]) <= _stored(until + slack))
+    return rows.selectExpr(*[f"{_render(e, _SPARK)} AS `{c}`" for c, e in columns.items()])
+
+
+def _stored(moment: datetime):
+    return F.lit(f"{moment:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
 
 
 def duck_input(name: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -431,8 +431,8 @@ def dq_reconcile(spark, sf):
     return audit.reconcile_metrics(jma, link.link(jma, usgs))
 
 
-def _dq(spark, sf):
-    return spark_input(spark, sf, "dq").withColumn("ds", F.coalesce("dataset", F.lit("usgs")))
+def _dq(spark, sf, since=None):
+    return spark_input(spark, sf, "dq", since).withColumn("ds", F.coalesce("dataset", F.lit("usgs")))
 
 
 @query
@@ -450,7 +450,7 @@ def dq_runs_newest(spark, sf):
 
 @query
 def failed_checks_recent(spark, sf):
-    return analytics.failed_checks(_dq(spark, sf), NOW_EVENTS, 20).withColumn("run_at", F.unix_micros("run_at"))
+    return analytics.failed_checks(_dq(spark, sf, NOW_EVENTS - timedelta(days=20)), NOW_EVENTS, 20).withColumn("run_at", F.unix_micros("run_at"))
 
 
 @query
@@ -479,8 +479,11 @@ def check_statuses(spark, sf):
 # --- Gold ----------------------------------------------------------------------------------------------
 
 
-def _usgs(spark, sf):
-    return spark_input(spark, sf, "usgs")
+def _usgs(spark, sf, since=None):
+    return spark_input(spark, sf, "usgs", since)
+
+
+MAP_SINCE = NOW_ORDERS - timedelta(days=30)
 
 
 @query
@@ -490,27 +493,27 @@ def summary_counts(spark, sf):
 
 @query
 def largest_this_month(spark, sf):
-    return gold.largest_this_month(_usgs(spark, sf), datetime(2001, 7, 20, 12, tzinfo=timezone.utc))
+    return gold.largest_this_month(_usgs(spark, sf, datetime(2001, 7, 1)), datetime(2001, 7, 20, 12, tzinfo=timezone.utc))
 
 
 @query
 def recent_quakes(spark, sf):
-    return gold.recent_quakes(_usgs(spark, sf), NOW_ORDERS)
+    return gold.recent_quakes(_usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
 
 
 @query
 def daily_counts(spark, sf):
-    return gold.daily_counts(_usgs(spark, sf), NOW_ORDERS)
+    return gold.daily_counts(_usgs(spark, sf, NOW_ORDERS - timedelta(days=91)), NOW_ORDERS)
 
 
 @query
 def strongest_this_year(spark, sf):
-    return gold.strongest_this_year(_usgs(spark, sf), NOW_ORDERS)
+    return gold.strongest_this_year(_usgs(spark, sf, datetime(2001, 1, 1)), NOW_ORDERS)
 
 
 @query
 def japan_quakes(spark, sf):
-    return gold.japan_quakes(spark_input(spark, sf, "jma"), _usgs(spark, sf), NOW_ORDERS)
+    return gold.japan_quakes(spark_input(spark, sf, "jma", MAP_SINCE), _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
 
 
 @query
@@ -520,7 +523,7 @@ def japan_totals(spark, sf):
 
 @query
 def japan_fallback(spark, sf):
-    return gold.japan_quakes(None, _usgs(spark, sf), NOW_ORDERS)
+    return gold.japan_quakes(None, _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
 
 
 @query
@@ -530,7 +533,7 @@ def newest_felt(spark, sf):
 
 @query
 def strongest_shaking(spark, sf):
-    ranked = gold.strongest_shaking(spark_input(spark, sf, "felt"), NOW_EVENTS)
+    ranked = gold.strongest_shaking(spark_input(spark, sf, "felt", NOW_EVENTS - timedelta(days=30)), NOW_EVENTS)
     return ranked.withColumn("time", F.floor(F.col("time") / 1000))
 
 
@@ -553,18 +556,18 @@ def coverage_percent(spark, sf):
 
 @query
 def per_year(spark, sf):
-    return analytics.per_year(_usgs(spark, sf), 1996).withColumn("year", F.col("year").cast("bigint"))
+    return analytics.per_year(_usgs(spark, sf, datetime(1996, 1, 1)), 1996).withColumn("year", F.col("year").cast("bigint"))
 
 
 @query
 def strongest_near(spark, sf):
-    top = analytics.strongest_near(_usgs(spark, sf), 2001)
+    top = analytics.strongest_near(_usgs(spark, sf, datetime(1991, 1, 1)), 2001)
     return top.select(us("event_time"), us("time_jst"), "mag", "depth_km", "place")
 
 
 @query
 def recent_events(spark, sf):
-    return analytics.most_recent(_usgs(spark, sf), 2001).select(us("event_time"), "mag", "place", us("updated_at"))
+    return analytics.most_recent(_usgs(spark, sf, datetime(2001, 1, 1)), 2001).select(us("event_time"), "mag", "place", us("updated_at"))
 
 
 @query
@@ -587,12 +590,12 @@ def local_clock(spark, sf):
 
 @query
 def busiest_day(spark, sf):
-    return analytics.busiest_day(gold.daily_counts(_usgs(spark, sf), NOW_ORDERS))
+    return analytics.busiest_day(gold.daily_counts(_usgs(spark, sf, NOW_ORDERS - timedelta(days=91)), NOW_ORDERS))
 
 
 @query
 def largest_shown(spark, sf):
-    quakes = gold.japan_quakes(spark_input(spark, sf, "jma"), _usgs(spark, sf), NOW_ORDERS)
+    quakes = gold.japan_quakes(spark_input(spark, sf, "jma", MAP_SINCE), _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
     return analytics.largest_shown(quakes)
 
 
@@ -733,9 +736,9 @@ MARK = datetime(2000, 6, 1, tzinfo=timezone.utc)
 
 @query
 def incremental_rows(spark, sf):
-    changed = incremental.changed_since(
-        _usgs(spark, sf), MARK, datetime(2000, 5, 1), datetime(2000, 7, 1), min_mag=2.0
-    )
+    begin, end = datetime(2000, 5, 1), datetime(2000, 7, 1)
+    events = spark_input(spark, sf, "usgs", begin, end)
+    changed = incremental.changed_since(events, MARK, begin, end, min_mag=2.0)
     return changed.select("event_id", us("event_time"), us("updated_at"), "mag")
 
 
