@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -16,9 +17,13 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     Planned as a per-key limit on both sides of the shuffle: every map task sends at most one row
     per key, so a key holding a third of the table costs one row per task, not a third of the
     table. NULL keys would form one such group for no use, so callers count them separately.
+
+    Rows equal under ``order`` are told apart by their other columns, so the same row wins however
+    often a task is run again.
     """
+    ties = [F.col(f.name).desc_nulls_last() for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
     present = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *ties))
     return present.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 

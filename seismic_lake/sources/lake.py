@@ -129,15 +129,18 @@ class Lake:
         return reader.parquet(build.location)
 
     def drop_old_builds(self, table: str, keep: Sequence[str]) -> list[str]:
-        """Delete builds no log row in ``keep`` names. Returns the build ids removed."""
-        folder = _hadoop_path(self.spark, self.path(table, "builds"))
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        gone = []
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if name not in keep:
-                fs.delete(status.getPath(), True)
-                gone.append(name)
+        """Delete the builds not named in ``keep`` and what they staged. Returns their ids."""
+        gone = set()
+        for part in ("builds", "staging"):
+            if not path_exists(self.spark, self.path(table, part)):
+                continue
+            folder = _hadoop_path(self.spark, self.path(table, part))
+            fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for status in fs.listStatus(folder):
+                name = status.getPath().getName()
+                if name not in keep:
+                    fs.delete(status.getPath(), True)
+                    gone.add(name)
         return sorted(gone)
 
 
