@@ -24,13 +24,13 @@ def iso(moment: datetime) -> str:
 
 
 def raw_event(**fields: str) -> dict[str, str]:
-    base = dict.fromkeys(RAW_EVENT_COLUMNS, "")
-    base |= {
-        "id": "us001", "time": "2024-03-05T10:00:00.000Z", "updated": "2024-03-05T10:05:00.000Z",
-        "latitude": "35.6", "longitude": "139.7", "depth": "10", "mag": "3.2", "magType": "mb",
-        "type": "earthquake", "place": "near Tokyo, Japan",
+    """A text row as downloaded; columns not given are blank."""
+    known = {
+        "id": "nz100", "time": "2021-06-14T03:20:00.000Z", "updated": "2021-06-14T04:00:00.000Z",
+        "latitude": "-17.25", "longitude": "168.5", "depth": "33", "mag": "4.4", "magType": "mww",
+        "type": "earthquake", "place": "Vanuatu region",
     }
-    return base | fields
+    return {c: "" for c in RAW_EVENT_COLUMNS} | known | fields
 
 
 def write_raw(lake, run_id: str, rows: list[dict[str, str]]) -> None:
@@ -42,33 +42,39 @@ def write_raw(lake, run_id: str, rows: list[dict[str, str]]) -> None:
 def magnitude_code(mag: float | None) -> str:
     if mag is None:
         return "  "
-    tenths = round(mag * 10)
-    if tenths > -10:
-        return str(tenths).rjust(2)
-    whole, rest = divmod(-tenths, 10)
-    return " ABC"[whole] + str(rest)
+    sign, (units, tenths) = mag < 0, divmod(round(abs(mag) * 10), 10)
+    if sign:
+        return "-ABC"[units] + str(tenths)
+    return f"{units or ' '}{tenths}"
 
 
 def catalog_line(
     when: datetime, lat: float, lon: float, *, depth=10.0, mag=3.0, kind="J", level=" ", klass="1",
-    region="NE FUKUOKA PREF", agency="J",
+    region="SURUGA BAY", agency="J",
 ) -> str:
-    """96 characters; ``when`` is local time."""
-
-    def angle(value: float, width: int) -> str:
-        whole = int(abs(value))
-        minutes = round((abs(value) - whole) * 6000)
-        return str(-whole if value < 0 else whole).rjust(width) + str(minutes).rjust(4)
-
-    hundredths = round((when.second + when.microsecond / 1e6) * 100)
-    pieces = [
-        agency, when.strftime("%Y%m%d%H%M"), str(hundredths).rjust(4), "  10", angle(lat, 3), "  20",
-        angle(lon, 4), "  30", str(round(depth * 100)).rjust(5), " 50", magnitude_code(mag),
-        kind if mag is not None else " ", "   51", klass, level, "  7261", region.ljust(24), " 25K",
-    ]
-    line = "".join(pieces)
-    assert len(line) == 96
-    return line
+    """96 characters with the fields at their 1-based columns; ``when`` is local time."""
+    line = [" "] * 96
+
+    def put(column: int, width: int, text: str) -> None:
+        line[column - 1 : column - 1 + width] = text.rjust(width)
+
+    def put_angle(column: int, width: int, value: float) -> None:
+        minutes = round(abs(value) * 6000)
+        put(column, width, f"{'-' if value < 0 else ''}{minutes // 6000}")
+        put(column + width, 4, str(minutes % 6000))
+
+    put(1, 1, agency)
+    put(2, 12, f"{when:%Y%m%d%H%M}")
+    put(14, 4, str(when.second * 100 + when.microsecond // 10_000))
+    put_angle(22, 3, lat)
+    put_angle(33, 4, lon)
+    put(45, 5, str(round(depth * 100)))
+    put(53, 2, magnitude_code(mag))
+    put(55, 1, kind if mag is not None else " ")
+    put(61, 1, klass)
+    put(62, 1, level)
+    put(69, 24, region.ljust(24))
+    return "".join(line)
 
 
 def write_catalog(lake, name: str, lines: list[str]) -> None:
@@ -78,27 +84,17 @@ def write_catalog(lake, name: str, lines: list[str]) -> None:
         archive.writestr(name.removesuffix(".zip"), "".join(f"{x}\r\n" for x in lines).encode("latin-1"))
 
 
-def daily_line(when: datetime, lat: float, lon: float, depth="10", mag="1.2", region="茨城県沖") -> str:
+def daily_line(when: datetime, lat: float, lon: float, depth="10", mag="1.2", region="駿河湾") -> str:
     """One list line; ``when`` is local time."""
-
-    def angle(value: float) -> str:
-        whole = int(value)
-        return f"{whole:3d}°{(value - whole) * 60:4.1f}'"
-
-    seconds = when.second + when.microsecond / 1e6
-    return (
-        f"{when.year} {when.month:2d} {when.day:2d} {when:%H:%M} {seconds:4.1f} "
-        f"{angle(lat)}N {angle(lon)}E {depth:>4} {mag:>7}  {region}"
-    )
+    north, east = (f"{int(v)}°{v % 1 * 60:.1f}'{side}" for v, side in ((lat, "N"), (lon, "E")))
+    day = f"{when.year} {when.month} {when.day} {when:%H:%M} {when.second + when.microsecond / 1e6:.1f}"
+    return f"{day}  {north} {east}  {depth} {mag}  {region}"
 
 
 def daily_page(lines: list[str], encoding: str = "utf-8") -> bytes:
-    listing = "\n".join(["年 月 日 時 分 秒 緯度 経度 深さ(km) Ｍ 震央地名", *lines])
-    markup = (
-        f'<!DOCTYPE html><html><head><meta charset="{encoding}"><title>震源リスト</title></head>'
-        f"<body><h1>震源リスト</h1><pre>{listing}</pre><p>&copy; 気象庁</p></body></html>"
-    )
-    return markup.encode(encoding)
+    head = f'<html><head><meta http-equiv="Content-Type" content="text/html; charset={encoding}"></head>'
+    body = "<br>".join(["<b>一覧表</b>", "日時 位置 深さ 規模", *lines, "以上 &lt;終&gt;"])
+    return f"{head}<body><div>{body}</div></body></html>".encode(encoding)
 
 
 def write_daily(lake, day: str, lines: list[str], encoding: str = "utf-8") -> None:
@@ -108,13 +104,12 @@ def write_daily(lake, day: str, lines: list[str], encoding: str = "utf-8") -> No
 
 
 def bulletin(eid: str, at: str, **fields) -> dict:
-    """A felt bulletin; ``at`` is local time with its offset."""
-    base = {
-        "ctt": eid, "eid": eid, "rdt": at, "ttl": "震源・震度情報", "at": at, "anm": "宮崎県南部平野部",
-        "acd": "762", "cod": "+32.0+131.4-10000/", "mag": "2.3", "maxi": "1", "int": [],
-        "en_anm": "Plain Area of Southern Miyazaki Prefecture",
+    """A felt bulletin with a field the reader does not know; ``at`` is local time with its offset."""
+    known = {
+        "eid": eid, "at": at, "rdt": at, "cod": "+34.8+138.6-21000/", "mag": "3.7", "maxi": "2",
+        "anm": "静岡県中部", "en_anm": "Central Shizuoka", "extra": [1],
     }
-    return base | fields
+    return known | fields
 
 
 def write_feed(lake, run_id: str, bulletins: list[dict]) -> None:

@@ -1,26 +1,19 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
-from samples import (
-    bulletin,
-    catalog_line,
-    daily_line,
-    rows,
-    utc,
-    write_catalog,
-    write_daily,
-    write_feed,
-)
+from samples import bulletin, catalog_line, daily_line, rows, utc, write_catalog, write_daily, write_feed
 
 from seismic_lake.plans import clean_jma
+from seismic_lake.sources.catalog import parse_catalog
 from seismic_lake.sources.lake import BUILT, MissingInput
 from seismic_lake.vocab import FELT_SCHEMA, JMA_SCHEMA
 
-NOW = utc(2026, 10, 12)
+NOW = utc(2025, 5, 5)
+NOON = datetime(2018, 7, 7, 12)  # local time
 
 
-def build(lake, build_id="b1"):
-    return clean_jma.build(lake, build_id, NOW).summary
+def build(lake, build_id="b1", now=NOW):
+    return clean_jma.build(lake, build_id, now).summary
 
 
 def read(lake):
@@ -28,139 +21,138 @@ def read(lake):
 
 
 def read_felt(lake):
-    return rows(lake.read(clean_jma.FELT_TABLE, FELT_SCHEMA, BUILT))
+    return {r["report_id"]: r for r in rows(lake.read(clean_jma.FELT_TABLE, FELT_SCHEMA, BUILT))}
 
 
-def test_catalog_fields(lake):
-    line = catalog_line(
-        datetime(2023, 5, 5, 14, 42, 4, 500000), 37.54, 137.30, depth=12.34, mag=6.5, level="C", region="NOTO PENINSULA REGION"
-    )
-    write_catalog(lake, "h2023.zip", [line, line[:60]])
+def parsed(spark, *lines):
+    return parse_catalog(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
+
+
+def test_a_catalog_record(lake):
+    at = datetime(2018, 1, 1, 8, 59, 59, 990000)  # still the old year in UTC
+    line = catalog_line(at, 34.75, 138.5, depth=21.05, mag=5.1, level="A", region="SURUGA BAY")
+    write_catalog(lake, "h2018.zip", [line, line[:67]])
     build(lake)
     [q] = read(lake)
-    assert q["event_time"] == utc(2023, 5, 5, 5, 42, 4, 500000)
-    assert q["latitude"] == pytest.approx(37.54, abs=1e-4) and q["longitude"] == pytest.approx(137.30, abs=1e-4)
-    assert (q["depth_km"], q["mag"], q["mag_type"], q["max_intensity"]) == (12.34, 6.5, "Mj", "6-")
-    assert (q["status"], q["source"], q["agency"]) == ("final", "jma_catalog", "J")
-    assert q["region"] == q["region_en"] == "NOTO PENINSULA REGION"
-    assert q["year"] == 2023 and q["event_id"].startswith("jma-20230505T054204.50-") and len(q["event_id"]) == 27
-
-
-@pytest.mark.parametrize("mag", [4.5, 0.5, -0.3, -1.0, -1.9, -2.5, -3.0])
-def test_magnitude_codes(spark, mag):
-    from seismic_lake.sources.catalog import parse_catalog
-
-    line = catalog_line(datetime(2023, 1, 1, 12), 35.0, 140.0, mag=mag)
-    [r] = parse_catalog(spark.createDataFrame([(line,)], "line string")).collect()
-    assert r["mag"] == pytest.approx(mag)
-
-
-def test_codes_far_events_and_missing_magnitude(lake):
-    write_catalog(
-        lake,
-        "h2023.zip",
-        [
-            catalog_line(datetime(2023, 1, 1, 9, 0, 1), 35.0, 140.0, mag=None, klass="3"),
-            catalog_line(datetime(2023, 6, 1, 9), -20.5, -70.25, mag=7.0, kind="W", agency="U"),
-        ],
-    )
-    summary = build(lake)
-    blast, far = read(lake)
-    assert blast["event_type"] == "artificial" and blast["mag"] is None and blast["mag_type"] is None
-    assert (far["latitude"], far["longitude"]) == (pytest.approx(-20.5), pytest.approx(-70.25))
-    assert (far["mag_type"], far["agency"]) == ("Mw", "U") and summary["dropped"] == {}
+    assert q["event_time"] == utc(2017, 12, 31, 23, 59, 59, 990000) and q["year"] == 2017
+    assert (q["latitude"], q["longitude"], q["depth_km"]) == (34.75, 138.5, 21.05)
+    assert (q["mag"], q["mag_type"], q["max_intensity"], q["event_type"]) == (5.1, "Mj", "5-", "earthquake")
+    assert (q["region"], q["region_en"]) == ("SURUGA BAY", "SURUGA BAY")
+    assert (q["agency"], q["status"], q["source"]) == ("J", "final", "jma_catalog")
+    assert q["event_id"].startswith("jma-20171231T235959.99-") and len(q["event_id"]) == 27
+
+
+@pytest.mark.parametrize("tenths", [90, 47, 10, 9, 0, -1, -9, -10, -18, -27, -30])
+def test_magnitudes_from_nine_to_minus_three(spark, tenths):
+    [r] = parsed(spark, catalog_line(NOON, 35.0, 140.0, mag=tenths / 10))
+    assert r["mag"] == pytest.approx(tenths / 10)
+
+
+def test_the_second_magnitude_stands_in_for_the_first(spark):
+    line = catalog_line(NOON, 35.0, 140.0, mag=None)
+    [r] = parsed(spark, line[:55] + "62S" + line[58:])
+    assert (r["mag"], r["mag_type"]) == (6.2, "Ms")
 
 
-def test_blank_decimals_and_no_daylight_saving(lake):
-    line = catalog_line(datetime(1923, 9, 1, 11, 58, 32), 35.33, 139.25, depth=23, mag=7.9, level="6")
-    line = line[:15] + "  " + line[17:26] + "  " + line[28:]
-    summer = catalog_line(datetime(1950, 7, 1, 9), 35.0, 139.0)
-    write_catalog(lake, "h1919.zip", [line, summer])
+def test_codes(spark):
+    far = catalog_line(NOON, -8.25, -110.5, kind="B", agency="I", klass="5", level="D")
+    blast = catalog_line(NOON, 36.0, 140.0, mag=None, klass="3", level="?")
+    odd = catalog_line(NOON, 36.0, 140.0, kind="Q", klass="9", level="6", region="")
+    f, b, o = parsed(spark, far, blast, odd)
+    assert (f["latitude"], f["longitude"], f["mag_type"], f["agency"]) == (-8.25, -110.5, "mb", "I")
+    assert (f["event_type"], f["max_intensity"]) == ("low_frequency", "6+")
+    assert (b["event_type"], b["mag"], b["mag_type"], b["max_intensity"]) == ("artificial", None, None, None)
+    assert (o["event_type"], o["mag_type"], o["max_intensity"], o["region"]) == ("earthquake", None, "6", None)
+
+
+def test_blank_fractions_are_zero(spark):
+    line = catalog_line(datetime(1930, 11, 26, 4, 2, 46), 35.1, 139.05)
+    line = line[:15] + "  " + line[17:26] + "  " + line[28:]  # hundredths of seconds and of minutes
+    [r] = parsed(spark, line)
+    assert r["latitude"] == 35 + 6 / 60 and r["longitude"] == 139.05
+
+
+def test_local_time_never_has_daylight_saving(lake):
+    write_catalog(lake, "h1919.zip", [catalog_line(datetime(1949, 8, 1, 9), 35.0, 139.0)])
     build(lake)
-    kanto, later = read(lake)
-    assert kanto["event_time"] == utc(1923, 9, 1, 2, 58, 32) and kanto["latitude"] == pytest.approx(35 + 19 / 60)
-    assert kanto["max_intensity"] == "6" and later["event_time"] == utc(1950, 7, 1, 0)
+    assert read(lake)[0]["event_time"] == utc(1949, 8, 1, 0)
 
 
 def test_seconds_roll_over_and_impossible_dates_are_rejected(lake):
-    ok = catalog_line(datetime(2023, 1, 1, 12, 0, 59), 35.0, 140.0)
-    rolled = ok[:13] + "6050" + ok[17:]
-    bad = catalog_line(datetime(2023, 1, 1, 13), 35.0, 140.0)
-    bad = bad[:5] + "13" + bad[7:]
-    write_catalog(lake, "h2023.zip", [rolled, bad, bad])
+    line = catalog_line(NOON, 35.0, 140.0)
+    rolled, bad = line[:13] + "6050" + line[17:], line[:5] + "13" + line[7:]
+    write_catalog(lake, "h2018.zip", [rolled, bad, bad])
     summary = build(lake)
     [q] = read(lake)
-    assert q["event_time"] == utc(2023, 1, 1, 3, 1, 0, 500000)
+    assert q["event_time"] == utc(2018, 7, 7, 3, 1, 0, 500000)
     assert summary["dropped"] == {"missing event_time": 2} and summary["duplicates_removed"] == 0
 
 
-def test_daily_lists_get_english_names(lake):
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 5, 5, 14), 37.54, 137.30, region="NOTO PENINSULA REGION")])
-    write_daily(
-        lake,
-        "20240101",
-        [
-            daily_line(datetime(2024, 1, 1, 16, 10, 22, 500000), 37.5, 137.27, mag="7.6", region="石川県能登地方"),
-            daily_line(datetime(2024, 1, 1, 20), 32.6433, 131.985, depth="-", mag="-", region="日向灘"),
-        ],
-        encoding="shift_jis",
-    )
+def test_daily_lists_and_their_english_names(lake):
+    near = [catalog_line(NOON + timedelta(hours=i), 34.65, 138.35, region=r) for i, r in enumerate(["BAY", "BAY", "COAST"])]
+    write_catalog(lake, "h2018.zip", near)
+    listed = [
+        daily_line(datetime(2019, 1, 2, 0, 0, 30, 500000), 34.75, 138.45, depth="8", mag="-0.3"),
+        daily_line(datetime(2019, 1, 2, 12), 40.0, 143.0, depth="-", mag="-", region="三陸沖"),
+    ]
+    write_daily(lake, "20190102", listed, encoding="shift_jis")
     build(lake)
-    _, noto, hyuga = read(lake)
-    assert noto["event_time"] == utc(2024, 1, 1, 7, 10, 22, 500000)
-    assert (noto["status"], noto["source"], noto["mag"], noto["mag_type"]) == ("preliminary", "jma_daily", 7.6, "Mj")
-    assert (noto["region"], noto["region_en"]) == ("石川県能登地方", "NOTO PENINSULA REGION")
-    assert hyuga["mag"] is None and hyuga["depth_km"] is None and hyuga["mag_type"] is None
-    assert hyuga["region"] == "日向灘" and hyuga["region_en"] is None
-
-
-def test_catalog_replaces_the_days_it_covers(lake):
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 12, 31, 23), 35.0, 140.0)])
-    write_daily(lake, "20231231", [daily_line(datetime(2023, 12, 31, 23), 35.0, 140.0)])
-    write_daily(lake, "20240101", [daily_line(datetime(2024, 1, 1, 1), 35.0, 140.0)])
+    first, second = read(lake)[-2:]
+    assert first["event_time"] == utc(2019, 1, 1, 15, 0, 30, 500000)
+    assert (first["latitude"], first["longitude"]) == (pytest.approx(34.75), pytest.approx(138.45))
+    assert (first["depth_km"], first["mag"], first["mag_type"]) == (8.0, -0.3, "Mj")
+    assert (first["region"], first["region_en"]) == ("駿河湾", "BAY")  # from the cell diagonally below
+    assert (first["status"], first["source"], first["agency"]) == ("preliminary", "jma_daily", "J")
+    assert (second["depth_km"], second["mag"], second["mag_type"]) == (None, None, None)
+    assert (second["region"], second["region_en"]) == ("三陸沖", None)
+
+
+def test_the_catalog_replaces_the_years_it_covers(lake):
+    last = datetime(2018, 12, 31, 22)
+    write_catalog(lake, "h2018.zip", [catalog_line(last, 35.0, 140.0)])
+    write_daily(lake, "20181231", [daily_line(last, 35.0, 140.0)])
+    write_daily(lake, "20190101", [daily_line(last + timedelta(hours=3), 35.0, 140.0)])
     summary = build(lake)
-    assert [q["status"] for q in read(lake)] == ["final", "preliminary"]
-    assert summary["catalog_covers_until"] == "20240101"
+    assert [(q["status"], q["year"]) for q in read(lake)] == [("final", 2018), ("preliminary", 2018)]
+    assert summary["catalog_covers_until"] == "20190101"
     assert summary["rows_by_status"] == {"final": 1, "preliminary": 1}
 
 
 def test_without_a_catalog_every_day_counts(lake):
-    write_daily(lake, "20231231", [daily_line(datetime(2023, 12, 31, 23), 35.0, 140.0)])
+    write_daily(lake, "20181231", [daily_line(datetime(2018, 12, 31, 22), 35.0, 140.0)])
     assert build(lake)["catalog_covers_until"] == "00000101" and len(read(lake)) == 1
 
 
-def test_overlapping_catalog_files_are_deduplicated(lake):
-    line = catalog_line(datetime(1997, 9, 30, 12), 35.0, 140.0)
-    write_catalog(lake, "h199701.zip", [line])
-    write_catalog(lake, "h199710.zip", [line])
-    summary = build(lake)
-    assert len(read(lake)) == 1 and summary["duplicates_removed"] == 1
+def test_the_same_record_in_two_files_is_one_event(lake):
+    lines = [catalog_line(NOON + timedelta(minutes=i), 35.0, 140.0) for i in range(3)]
+    write_catalog(lake, "h201801.zip", lines[:2])
+    write_catalog(lake, "h201807.zip", lines[1:])
+    assert build(lake)["duplicates_removed"] == 1 and len(read(lake)) == 3
 
 
 def test_felt_reports_keep_the_latest_bulletin(lake):
-    write_daily(lake, "20261010", [daily_line(datetime(2026, 10, 10, 1), 35.0, 140.0)])
-    write_feed(
-        lake,
-        "20261011T000000Z",
-        [
-            bulletin("e1", "2026-10-11T15:49:00+09:00", rdt="2026-10-11T15:53:00+09:00"),
-            bulletin("e2", "2026-10-11T16:00:00+09:00", cod="", maxi="2"),
-            bulletin("e3", "2026-10-11T17:00:00+09:00", mag="Ｍ不明", maxi="5-", cod="+35.0+140.1-410000/"),
-            bulletin("e4", "not a time", maxi="3"),
-            bulletin("e5", "2026-10-11T18:00:00+09:00", mag=4.5, cod="+35.0+140.1/"),
-        ],
-    )
-    write_feed(
-        lake, "20261012T000000Z", [bulletin("e1", "2026-10-11T15:49:00+09:00", mag="2.4", maxi="2", rdt="2026-10-11T16:30:00+09:00")]
-    )
+    write_daily(lake, "20250420", [daily_line(datetime(2025, 4, 20, 1), 35.0, 140.0)])
+    day = "2025-04-21T"
+    first = [
+        bulletin("revised", f"{day}08:00:00+09:00", rdt=f"{day}08:04:00+09:00"),
+        bulletin("flash", f"{day}08:10:00+09:00", cod=""),
+        bulletin("no level", f"{day}08:10:00+09:00", maxi=" "),
+        bulletin("unknown size", f"{day}09:00:00+09:00", mag="Ｍ不明", maxi="6+", cod="+41.2+142.9-600000/"),
+        bulletin("bad time", "yesterday"),
+        bulletin("no depth", f"{day}10:00:00+09:00", mag=4.5, cod="-41.2+142.9/", en_anm=""),
+    ]
+    write_feed(lake, "20250421T000000Z", first)
+    later = bulletin("revised", f"{day}08:00:00+09:00", rdt=f"{day}11:00:00+09:00", mag="3.9", maxi="3")
+    write_feed(lake, "20250422T000000Z", [later, first[0]])
     summary = build(lake)
-    e1, e3, e5 = read_felt(lake)
-    assert (e1["report_id"], e1["mag"], e1["max_intensity"]) == ("e1", 2.4, "2")
-    assert e1["event_time"] == utc(2026, 10, 11, 6, 49) and e1["depth_km"] == 10
-    assert e1["region_en"] == "Plain Area of Southern Miyazaki Prefecture"
-    assert e3["mag"] is None and e3["depth_km"] == 410 and e3["max_intensity"] == "5-"
-    assert e5["mag"] == 4.5 and e5["depth_km"] is None
-    assert summary["felt_rows"] == 3 and summary["felt_dropped"] == 1
+    felt = read_felt(lake)
+    assert set(felt) == {"revised", "unknown size", "no depth"}
+    assert (felt["revised"]["mag"], felt["revised"]["max_intensity"], felt["revised"]["depth_km"]) == (3.9, "3", 21.0)
+    assert felt["revised"]["event_time"] == utc(2025, 4, 20, 23) and felt["revised"]["region_en"] == "Central Shizuoka"
+    assert (felt["unknown size"]["mag"], felt["unknown size"]["depth_km"]) == (None, 600.0)
+    assert felt["no depth"]["depth_km"] is None and felt["no depth"]["latitude"] == -41.2
+    assert felt["no depth"]["mag"] == 4.5 and felt["no depth"]["region_en"] is None
+    assert (summary["felt_rows"], summary["felt_dropped"]) == (3, 1)
 
 
 def test_missing_raw_files_stop_the_build(lake):
@@ -168,9 +160,8 @@ def test_missing_raw_files_stop_the_build(lake):
         build(lake)
 
 
-def test_rebuild_replaces_the_output(lake):
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 1, 1, 12), 35.0, 140.0)])
-    build(lake)
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 1, 1, 12), 36.0, 140.0)])
-    clean_jma.build(lake, "b2", utc(2026, 10, 13))
-    assert [q["latitude"] for q in read(lake)] == [pytest.approx(36.0)]
+def test_a_republished_file_replaces_the_earlier_rows(lake):
+    for build_id, lat in (("b1", 35.0), ("b2", 36.5)):
+        write_catalog(lake, "h2018.zip", [catalog_line(NOON, lat, 140.0)])
+        build(lake, build_id, NOW + timedelta(days=int(build_id[1])))
+    assert [q["latitude"] for q in read(lake)] == [36.5]

@@ -99,27 +99,27 @@ _CATALOG_LINE = " || ".join(
         _pad("l_orderkey % 24", 2, "0"),
         _pad("l_partkey % 60", 2, "0"),
         "CASE WHEN l_partkey % 23 = 0 THEN ' 7  ' ELSE " + _pad("(l_partkey * 97 + l_orderkey) % 6000", 4) + " END",
-        "'  10'",
+        "'    '",
         _pad(_LAT_DEG, 3),
         "CASE WHEN l_suppkey % 23 = 0 THEN '19  ' ELSE " + _pad("(l_suppkey * 89) % 6000", 4) + " END",
-        "'  20'",
+        "' 0.2'",
         "CASE WHEN l_partkey % 307 = 0 THEN '    ' ELSE " + _pad(_LON_DEG, 4) + " END",
         _pad("(l_orderkey * 53) % 6000", 4),
-        "'  30'",
+        "' 0.3'",
         "CASE WHEN l_partkey % 29 = 0 THEN '     ' ELSE " + _pad("(l_partkey * 41) % 70000", 5) + " END",
-        "' 50'",
+        "'  *'",
         _MAG_CODES,
         "CASE l_linenumber WHEN 1 THEN 'J' WHEN 2 THEN 'D' WHEN 3 THEN 'v' WHEN 4 THEN 'W' WHEN 5 THEN 'B' ELSE 'X' END",
         "CASE WHEN l_suppkey % 4 = 0 THEN '  ' ELSE " + _pad("(l_suppkey * 11) % 80", 2) + " END",
         "CASE l_linenumber WHEN 1 THEN 'd' WHEN 2 THEN 'S' ELSE ' ' END",
-        "'51'",
+        "'  '",
         "'' || (l_partkey % 7)",
         "CASE l_suppkey % 12 WHEN 0 THEN ' ' WHEN 8 THEN 'A' WHEN 9 THEN 'B' WHEN 10 THEN 'C' WHEN 11 THEN 'D'"
         " ELSE '' || (l_suppkey % 12) END",
-        "'  7261'",
+        "'   #12'",
         "CASE WHEN l_partkey % 31 = 0 THEN '                        '"
         " ELSE rpad('NE OFF REGION ' || (l_suppkey % 40) || ' PREF', 24, ' ') END",
-        "' 25K'",
+        "'   .'",
     ]
 )
 # Every line item as a 96-character catalog record; some are cut short.
