@@ -8,35 +8,43 @@ from samples import JST, bulletin, catalog_line, daily_line, iso, raw_event, utc
 from pyspark.sql import functions as F
 
 from seismic_lake.plans import analytics, clean_jma, clean_usgs, gold, gold_files, link, tables
-from seismic_lake.plans.audit import HISTORY, USGS, Thresholds, audit_and_publish
-from seismic_lake.sources.lake import BUILT, MissingInput, read_dq_history
+from seismic_lake.plans.audit import HISTORY, USGS, audit_and_publish
+from seismic_lake.sources.lake import BUILT, Lake, MissingInput, read_dq_history
 from seismic_lake.vocab import DAILY_DAYS, DQ_SCHEMA, MATCH_SCHEMA
 
-NOW = utc(2026, 10, 7, 12)
+NOW = utc(2020, 5, 14, 6)
 
 
-def quake(ident, when, **fields):
-    return raw_event(**({"id": ident, "time": iso(when), "updated": iso(when), "mag": "3.0"} | fields))
+def quake(ident, age, mag=3.0, at=(10.0, 20.0), **fields):
+    """An event ``age`` before now."""
+    when = iso(NOW - age)
+    place = {"latitude": str(at[0]), "longitude": str(at[1])}
+    return raw_event(**({"id": ident, "time": when, "updated": when, "mag": str(mag)} | place | fields))
 
 
+def days(n):
+    return timedelta(days=n)
+
+
+SENDAI, LIMA = (38.3, 141.6), (-12.1, -77.4)
 EVENTS = [
-    quake("old", utc(1923, 9, 1, 2, 58), mag="7.9"),
-    quake("last_year", utc(2025, 7, 1), mag="8.0"),
-    quake("this_year_big", utc(2026, 3, 1), mag="7.1", place="Big one"),
-    quake("month_big", NOW - timedelta(days=3), mag="6.4", place="Month max"),
-    quake("small_recent", NOW - timedelta(hours=2), mag="2.2"),
-    quake("week", NOW - timedelta(days=5), mag="4.0"),
-    quake("japan", NOW - timedelta(days=10), mag="5.0", latitude="38.3", longitude="142.4"),
-    quake("chile", NOW - timedelta(days=10), mag="5.0", latitude="-33.0", longitude="-72.0"),
-    quake("too_old_for_map", NOW - timedelta(days=40), mag="5.5"),
-    quake("today", NOW - timedelta(minutes=30)),
+    quake("archive", days(40_000), 8.4),
+    quake("december", days(140), 7.7),
+    quake("january", days(120), 6.9),
+    quake("april", days(31), 6.6, SENDAI),
+    quake("map edge", days(30), 2.5, SENDAI),
+    quake("below map", days(29), 2.4, SENDAI),
+    quake("lima", days(12), 5.8, LIMA, place="off Peru"),
+    quake("twin 1", days(9), 4.1),
+    quake("twin 2", days(9) - timedelta(minutes=1), 4.1, LIMA),
+    quake("week edge", days(7), 2.1),
+    quake("yesterday", timedelta(hours=10), 3.3),
+    quake("tonight", timedelta(hours=1), 3.6, SENDAI),
 ]
 
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
-    from seismic_lake.sources.lake import Lake
-
     lake = Lake(spark, str(tmp_path_factory.mktemp("gold")))
     write_raw(lake, "x", EVENTS)
     clean_usgs.build(lake, "b1", NOW)
@@ -49,36 +57,41 @@ def objects(table):
 
 def test_summary(built):
     s = built[1]["summary"].extras
-    assert (s["archive_total"], s["archive_since"], s["last_24h"], s["last_7d"]) == (10, 1923, 2, 4)
-    assert s["largest_this_month"]["place"] == "Month max"
+    assert (s["archive_total"], s["archive_since"], s["last_24h"], s["last_7d"]) == (12, 1910, 2, 3)
+    assert (s["largest_this_month"]["id"], s["largest_this_month"]["place"]) == ("lima", "off Peru")
 
 
-def test_map(built):
+def test_the_map_has_a_month_of_events_from_its_smallest_magnitude(built):
     shown = objects(built[1]["recent_quakes"])
-    assert {q["id"] for q in shown} == {"month_big", "week", "japan", "chile", "today"}
-    week = next(q for q in shown if q["id"] == "week")
-    assert week["time"] == int((NOW - timedelta(days=5)).timestamp() * 1000)
+    assert [q["id"] for q in shown] == ["map edge", "lima", "twin 1", "twin 2", "yesterday", "tonight"]
+    lima = shown[1]
+    assert (lima["lat"], lima["lon"], lima["depth"], lima["mag"]) == (-12.1, -77.4, 33.0, 5.8)
+    assert lima["time"] == int((NOW - days(12)).timestamp()) * 1000
 
 
-def test_daily_counts_are_complete_days_with_zeros(built):
-    days = objects(built[1]["daily_counts"])
-    assert len(days) == DAILY_DAYS and days[-1]["day"] == "2026-10-06" and days[0]["day"] == "2026-07-09"
-    assert sum(d["quakes"] for d in days) == 5 and 0 in {d["quakes"] for d in days}
+def test_daily_counts_leave_out_today_and_keep_quiet_days(built):
+    counts = {d["day"]: d["quakes"] for d in objects(built[1]["daily_counts"])}
+    assert len(counts) == DAILY_DAYS and min(counts) == "2020-02-14" and max(counts) == "2020-05-13"
+    assert (counts["2020-05-05"], counts["2020-05-06"], counts["2020-05-13"]) == (2, 0, 1)
+    assert sum(counts.values()) == 8
     [peak] = analytics.busiest_day(built[1]["daily_counts"].rows).collect()
-    assert (peak["day"], peak["quakes"]) == ("2026-09-27", 2)
+    assert (peak["day"], peak["quakes"]) == ("2020-05-05", 2)
+    newest = analytics.newest_first(built[1]["daily_counts"].rows).first()
+    assert newest["day"] == "2020-05-13"
 
 
 def test_strongest_this_year(built):
     t = built[1]["strongest_this_year"]
     ids = [q["id"] for q in objects(t)]
-    assert t.extras["year"] == 2026 and ids[:2] == ["this_year_big", "month_big"] and "last_year" not in ids
+    assert t.extras == {"year": 2020} and len(ids) == 10
+    assert ids[:5] == ["january", "april", "lima", "twin 1", "twin 2"]
 
 
-def test_japan_falls_back_until_its_own_table_exists(built):
+def test_the_other_agency_stands_in_for_japan(built):
     t = built[1]
-    ids = {q["id"] for q in objects(t["japan_quakes"])}
-    assert t["japan_quakes"].extras["source"] == "usgs" and "japan" in ids and "chile" not in ids
-    assert "japan_felt" not in t and "pipeline_runs" not in t
+    assert [q["id"] for q in objects(t["japan_quakes"])] == ["map edge", "below map", "tonight"]
+    assert t["japan_quakes"].extras == {"source": "usgs"}
+    assert set(t) == {"summary", "recent_quakes", "daily_counts", "strongest_this_year", "japan_quakes"}
 
 
 def test_time_limits_prune_partitions(built):
@@ -90,25 +103,25 @@ def test_time_limits_prune_partitions(built):
 def test_files(built, tmp_path):
     lake, t = built
     counts = gold_files.write(t, lake, NOW, str(tmp_path / "site"))
-    assert counts["recent_quakes"] == 5 and lake.spark.read.parquet(lake.path("gold/recent_quakes")).count() == 5
+    assert counts["recent_quakes"] == 6 and lake.spark.read.parquet(lake.path("gold/recent_quakes")).count() == 6
 
     def page(name):
         [part] = Path(tmp_path / "site" / f"{name}.json").glob("part-*.txt")
         return json.loads(part.read_text())
 
     summary, daily, quakes = page("summary"), page("daily_counts"), page("recent_quakes")
-    assert summary["generated_at"] == "2026-10-07T12:00:00+00:00" and summary["last_7d"] == 4
+    assert summary["generated_at"] == "2020-05-14T06:00:00+00:00" and summary["last_7d"] == 3
     assert daily["columns"] == ["day", "quakes"] and len(daily["rows"]) == 90
     assert [d for d, _ in daily["rows"]] == sorted(d for d, _ in daily["rows"])
     assert quakes["columns"] == ["time", "lat", "lon", "depth", "mag", "place", "id"]
-    assert [r[-1] for r in quakes["rows"]][-2:] == ["month_big", "today"]
+    assert [r[-1] for r in quakes["rows"]][-2:] == ["yesterday", "tonight"]
 
 
 def test_large_tables_go_out_as_rows(built, tmp_path, monkeypatch):
     lake, t = built
     monkeypatch.setattr(gold_files, "MAX_DOCUMENT_ROWS", 3)
     gold_files.write({"recent_quakes": t["recent_quakes"]}, lake, NOW, str(tmp_path / "site"))
-    assert lake.spark.read.json(str(tmp_path / "site/recent_quakes_rows")).count() == 5
+    assert lake.spark.read.json(str(tmp_path / "site/recent_quakes_rows")).count() == 6
     [part] = Path(tmp_path / "site/recent_quakes.json").glob("part-*.txt")
     page = json.loads(part.read_text())
     assert page["rows"] == [] and page["rows_folder"] == "recent_quakes_rows"
@@ -121,56 +134,55 @@ def test_no_clean_table_is_an_error(lake):
 
 def test_japan_tables_and_sql(lake):
     spark = lake.spark
-    when = (NOW - timedelta(days=5) + JST).replace(tzinfo=None)
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 3, 1, 21), 38.1, 142.0, mag=5.4, region="E OFF MIYAGI PREF")])
+    listed = (NOW - days(3) + JST).replace(tzinfo=None)
+    big = utc(2018, 4, 9, 16)
+    write_catalog(lake, "h2018.zip", [catalog_line((big + JST).replace(tzinfo=None), 35.2, 132.6, mag=6.1, region="W SHIMANE PREF")])
     write_daily(
         lake,
-        when.strftime("%Y%m%d"),
-        [
-            daily_line(when, 38.1, 142.0, mag="3.1"),
-            daily_line(when + timedelta(minutes=5), 36.0, 140.0, mag="0.4"),
-            daily_line(when + timedelta(minutes=9), 30.0, 160.0, mag="4.0", region="遠方"),
-        ],
-    )
-    felt = [("old7", "2026-08-20", "7", "7.0"), ("s5", "2026-10-01", "5", "5.0"), ("s5p", "2026-10-02", "5+", "5.1"),
-            ("s6m", "2026-10-03", "6-", "4.8"), ("s3a", "2026-10-04", "3", "3.0"), ("s3b", "2026-10-05", "3", "3.9")]
-    write_feed(lake, "20261007T000000Z", [bulletin(e, f"{d}T10:00:00+09:00", maxi=s, mag=m) for e, d, s, m in felt])
-    write_raw(
-        lake,
-        "x",
+        listed.strftime("%Y%m%d"),
         [
-            quake("jp_usgs", NOW - timedelta(days=5), mag="3.3", latitude="38.1", longitude="142.0"),
-            quake("old_twin", utc(2023, 3, 1, 12), mag="5.6", latitude="38.1", longitude="142.0"),
+            daily_line(listed, 35.25, 132.65, mag="2.8", region="島根県西部"),
+            daily_line(listed + timedelta(minutes=2), 35.25, 132.65, mag="-"),
+            daily_line(listed + timedelta(minutes=4), 35.25, 132.65, mag="1.9"),
+            daily_line(listed + timedelta(minutes=6), 23.0, 125.0, mag="4.4"),
         ],
     )
+    levels = {"old": ("2020-03-30", "7", "6.9"), "weak": ("2020-05-12", "2", "5.9"), "lower": ("2020-05-01", "5-", "5.0"),
+              "single": ("2020-05-02", "5", "4.2"), "upper": ("2020-04-20", "5+", "4.0"), "weak small": ("2020-05-13", "2", "Ｍ不明")}
+    write_feed(lake, "20200514T000000Z", [bulletin(e, f"{d}T12:00:00+09:00", maxi=s, mag=m) for e, (d, s, m) in levels.items()])
+    twin = {"time": iso(big + timedelta(seconds=4)), "updated": iso(big + timedelta(hours=1))}
+    write_raw(lake, "x", [quake("list", days(3), 3.0, (35.2, 132.7)), quake("twin", days(0), 5.7, (35.1, 132.5), **twin)])
     clean_jma.build(lake, "j1", NOW)
     clean_usgs.build(lake, "u1", NOW)
     link.build(lake, "m1", NOW)
     t = gold.build_tables(lake, NOW, BUILT)
 
     j = t["japan_quakes"]
-    assert (j.extras["source"], j.extras["located_total"], j.extras["usgs_total"]) == ("jma", 2, 1)
+    newest = int((NOW - days(3) + timedelta(minutes=6)).timestamp()) * 1000
+    assert j.extras == {"source": "jma", "min_mag": 2.0, "located_total": 3, "usgs_total": 1, "newest": newest}
     [q] = objects(j)
-    assert q["mag"] == 3.1 and q["place"] == "E OFF MIYAGI PREF"
-    assert len(objects(t["japan_felt"])) == 6 and objects(t["japan_felt"])[0]["id"] == "s3b"
-    assert [r["id"] for r in objects(t["japan_strongest_shaking"])] == ["s6m", "s5p", "s5", "s3b", "s3a"]
-    coverage = {r["band"]: r for r in objects(t["jma_usgs_coverage"])}
-    assert (coverage[5]["jma_quakes"], coverage[5]["in_usgs"], coverage[5]["median_mag_diff"]) == (1, 1, 0.2)
+    assert (q["mag"], q["place"]) == (2.8, "W SHIMANE PREF")  # the catalog's name for the cell next door
+    assert analytics.largest_shown(j.rows).first()["id"] == q["id"]
+    assert [r["id"] for r in objects(t["japan_felt"])] == ["weak small", "weak", "single", "lower", "upper", "old"]
+    shaking = t["japan_strongest_shaking"]
+    assert [r["id"] for r in objects(shaking)] == ["upper", "single", "lower", "weak", "weak small"]
+    assert shaking.extras == {"days": 30}
+    coverage = {r["band"]: tuple(r)[1:] for r in t["jma_usgs_coverage"].rows.collect()}
+    assert coverage == {1: (1, 0, None), 2: (1, 1, 0.2), 6: (1, 1, -0.4)}
     share = {r["band"]: r["percent"] for r in analytics.coverage_percent(t["jma_usgs_coverage"].rows).collect()}
-    assert share[5] == 100.0 and share[0] == 0.0
+    assert share == {1: 0.0, 2: 100.0, 6: 100.0}
 
-    # The same tables from SQL, then again after the next build is published.
+    # The same tables from SQL, then again after the next build.
     made = tables.register(lake, BUILT, "seismic_test")
     assert set(made) == {f"seismic_test.{n}" for n in tables.TABLES}
-    assert spark.sql("SELECT count(*) FROM seismic_test.usgs_events WHERE year >= 2000").first()[0] == 2
-    write_raw(lake, "y", [quake("later", NOW - timedelta(days=1), latitude="38.1", longitude="142.0")])
-    clean_usgs.build(lake, "u2", NOW + timedelta(days=1))
+    assert spark.sql("SELECT count(*) FROM seismic_test.usgs_events WHERE year >= 2020").first()[0] == 1
+    write_raw(lake, "y", [quake("later", days(1), 4.0, (35.0, 133.0))])
+    clean_usgs.build(lake, "u2", NOW + days(1))
     tables.register(lake, BUILT, "seismic_test")
-    assert spark.sql("SELECT count(*) FROM seismic_test.usgs_events").first()[0] == 3
     strongest = spark.sql("""
-        SELECT event_time, mag, place FROM seismic_test.usgs_events
-        WHERE year >= 2016 AND latitude BETWEEN 24 AND 46 AND longitude BETWEEN 122 AND 146 ORDER BY mag DESC LIMIT 20""")
-    assert [r["mag"] for r in strongest.collect()] == [5.6, 3.3, 3.0]
+        SELECT mag FROM seismic_test.usgs_events
+        WHERE year >= 2010 AND latitude BETWEEN 30 AND 40 AND longitude BETWEEN 130 AND 140 ORDER BY mag DESC LIMIT 20""")
+    assert [r["mag"] for r in strongest.collect()] == [5.7, 4.0, 3.0]
     for name in tables.TABLES:
         spark.sql(f"DROP TABLE seismic_test.{name}")
 
@@ -180,33 +192,37 @@ def dq_row(run_id, at, dataset, check, passed, severity="error", value=None):
 
 
 def test_run_history_groups_datasets_and_reads_older_files(spark, lake):
-    t0 = utc(2026, 10, 7, 21, 17)
+    t0 = utc(2020, 5, 13, 22)
     history = lake.path(HISTORY)
-    old = spark.createDataFrame([dq_row("old", t0 - timedelta(days=1), None, "not empty", True, value=10.0)], DQ_SCHEMA)
-    old.drop("dataset").write.parquet(f"{history}/dq_old")
-    new = [
-        dq_row("r1", t0, "usgs", "not empty", True, value=11.0),
-        dq_row("r1", t0 + timedelta(minutes=2), "jma", "not empty", True, value=500.0),
-        dq_row("r1", t0 + timedelta(minutes=2), "jma", "data is fresh", False),
-        dq_row("r1", t0, "usgs", "depth plausible", False, "warn"),
+    # Before there was a second dataset, files had no dataset column.
+    before = spark.createDataFrame([dq_row("a", t0 - days(2), None, "not empty", True, value=70.0)], DQ_SCHEMA)
+    before.drop("dataset").write.parquet(f"{history}/dq_a")
+    late = t0 + timedelta(minutes=9)
+    results = [
+        dq_row("b", late, "jma", "data is fresh", False),
+        dq_row("b", late, "jma", "not empty", True, value=900.0),
+        dq_row("b", t0, "usgs", "not empty", True, value=71.0),
+        dq_row("b", t0, "usgs", "data is fresh", True, value=1.5),
+        dq_row("b", t0, "usgs", "depth plausible", False, "warn"),
     ]
-    spark.createDataFrame(new, DQ_SCHEMA).write.parquet(f"{history}/dq_r1")
-    write_raw(lake, "x", [quake("q", NOW - timedelta(hours=1))])
+    spark.createDataFrame(results, DQ_SCHEMA).write.parquet(f"{history}/dq_b")
+    write_raw(lake, "x", [quake("q", timedelta(hours=1))])
     clean_usgs.build(lake, "b", NOW)
     t = gold.build_tables(lake, NOW, BUILT)
     first, last = objects(t["pipeline_runs"])
-    assert first["published"] is True and first["row_count"] == 10 and first["failed_checks"] == ""
-    assert last["published"] is False and last["row_count"] == 11 and (last["errors"], last["warnings"]) == (1, 1)
+    assert (first["published"], first["row_count"], first["failed_checks"]) == (True, 70.0, "")
+    assert (last["published"], last["row_count"], last["hours_since_newest_event"]) == (False, 71.0, 1.5)
+    assert (last["errors"], last["warnings"]) == (1, 1)
     assert last["failed_checks"] == "JMA: data is fresh, depth plausible"
     checks = t["latest_checks"].extras["checks"]
-    assert [c["check"] for c in checks] == ["depth plausible", "not empty", "JMA: data is fresh", "JMA: not empty"]
+    assert [c["check"] for c in checks] == ["data is fresh", "depth plausible", "not empty", "JMA: data is fresh", "JMA: not empty"]
     assert t["latest_checks"].extras["run_at"] == int(t0.timestamp() * 1000)
 
     dq = read_dq_history(spark, history)
     wide = {(r["run_id"], r["dataset"]): r for r in analytics.dq_runs(dq).collect()}
-    assert len(wide) == 3 and wide["r1", "usgs"]["published"] and not wide["r1", "jma"]["published"]
+    assert len(wide) == 3 and wide["b", "usgs"]["published"] and not wide["b", "jma"]["published"]
     assert analytics.newest_dq_runs(dq).count() == 3
-    assert analytics.failed_checks(dq, t0, 30).count() == 2 and analytics.failed_checks(dq, t0 + timedelta(days=31), 30).count() == 0
+    assert analytics.failed_checks(dq, t0, 30).count() == 2 and analytics.failed_checks(dq, t0 + days(31), 30).count() == 0
     share = analytics.published_share(t["pipeline_runs"].rows).first()
     assert (share["published"], share["runs"]) == (1, 2)
 
@@ -217,15 +233,14 @@ def test_run_history_groups_datasets_and_reads_older_files(spark, lake):
     spark.sql("DROP TABLE seismic_dq.dq_results")
 
 
-def test_health_from_a_real_audit(lake):
-    now = utc(2026, 10, 7)
-    write_raw(lake, "x", [quake(f"q{i}", now - timedelta(hours=i + 1)) for i in range(3)])
-    clean_usgs.build(lake, "b", now)
-    audit_and_publish(lake, USGS, now, "r1", Thresholds(freshness_hours=1e9))
-    t = gold.build_tables(lake, now)
+def test_history_of_a_real_audit(lake):
+    write_raw(lake, "x", [quake(f"q{i}", timedelta(hours=i)) for i in range(4)])
+    clean_usgs.build(lake, "b", NOW)
+    assert audit_and_publish(lake, USGS, NOW, "r1").published
+    t = gold.build_tables(lake, NOW)
     [run] = objects(t["pipeline_runs"])
-    assert run["published"] is True and run["errors"] == 0 and run["row_count"] == 3
-    assert {c["check"] for c in t["latest_checks"].extras["checks"]} >= {"schema matches", "data is fresh"}
+    assert (run["published"], run["errors"], run["warnings"], run["row_count"]) == (True, 0, 0, 4.0)
+    assert run["hours_since_newest_event"] == 0.0 and len(t["latest_checks"].extras["checks"]) == 14
 
 
 def test_adding_a_column_to_an_older_table(spark, tmp_path):
