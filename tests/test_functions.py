@@ -69,7 +69,7 @@ def test_distance_and_boxes(spark):
 
 
 @pytest.mark.parametrize(
-    "value,parts", [("+32.0+131.4-10000/", (32.0, 131.4, 10.0)), ("-5+100/", (-5.0, 100.0, None)), ("+32.0+131.4-10000", (None,) * 3), ("", (None,) * 3)]
+    "value,parts", [("+34.8+138.6-21000/", (34.8, 138.6, 21.0)), ("-5+100/", (-5.0, 100.0, None)), ("+34.8+138.6-21000", (None,) * 3), ("", (None,) * 3)]
 )
 def test_points(spark, value, parts):
     df = spark.createDataFrame([(value,)], "v string").select(
@@ -102,8 +102,8 @@ def test_bands_levels_and_status(spark):
 
 @pytest.mark.parametrize(
     "place,shown",
-    [("NE OFF IBARAKI PREF", "NE off Ibaraki Pref."), ("FAR E OFF HONSHU", "Far E off Honshu"), ("NEAR CHICHIJIMA IS", "Near Chichijima Is."),
-     ("near Tokyo, Japan", "near Tokyo, Japan"), ("日向灘", "日向灘"), ("", ""), (None, None), ("PREF X", "Pref. X")],
+    [("SW OFF SADO IS", "SW off Sado Is."), ("FAR OFF IZU PEN", "Far off Izu Pen."), ("OFF  TOKAI REG", "Off Tokai Region"),
+     ("Off Tokai", "Off Tokai"), ("駿河湾", "駿河湾"), ("12.5", "12.5"), (None, None), ("PREF X", "Pref. X")],
 )
 def test_readable_places(spark, place, shown):
     assert one(spark, place, "string", labels.readable_place) == shown
@@ -121,11 +121,9 @@ def test_pacific_longitudes(spark):
 
 
 def test_page_charsets():
-    page = daily_page(["x"], "shift_jis")
-    assert "震源リスト" in decode_page(page)
-    assert "震源" in decode_page("<p>震源</p>".encode())
-    assert "震源" in decode_page("<p>震源</p>".encode("cp932"))
-    assert "震源" in decode_page("<meta charset=nonsense><p>震源</p>".encode())
+    assert "一覧表" in decode_page(daily_page(["x"], "shift_jis"))
+    for head, encoding in [("", "utf-8"), ("", "cp932"), ("<meta charset=klingon>", "utf-8"), ("<meta charset='utf-8'>", "cp932")]:
+        assert "駿河湾" in decode_page(f"{head}<p>駿河湾</p>".encode(encoding))
 
 
 def test_tags_end_lines_and_entities_are_text():
@@ -135,19 +133,19 @@ def test_tags_end_lines_and_entities_are_text():
 def test_daily_lines(spark):
     from datetime import datetime
 
-    good = daily_line(datetime(2024, 1, 1, 0, 0, 4, 500000), 32.643, 131.985, depth="36", mag="-0.4", region="日向灘")
-    south = good.replace("N ", "S ").replace("E ", "W ").replace("  36 ", "   - ")
-    wide = good.replace(" 2024", "2024").replace("  日向灘", "　日向灘　")
-    bad_date = good.replace("2024  1  1", "2024 13  1")
-    lines = [good, south, wide, "年 月 日", "", good + " </pre", bad_date, good.replace(" ", " ", 1)]
-    df = spark.createDataFrame([("20240101", x) for x in lines], "day string, line string")
+    good = daily_line(datetime(2019, 1, 1, 0, 0, 4, 500000), 34.75, 138.45, depth="36", mag="-0.4")
+    south = good.replace("'N ", "'S ").replace("'E ", "'W ").replace(" 36 ", " - ")
+    wide = good.replace(" ", "   ").replace("駿河湾", "\u3000駿河湾\u3000").replace("   ", "\u00a0 ", 3)
+    bad_date = good.replace("2019 1 1", "2019 13 1")
+    lines = [good, south, wide, "日時 位置", "", good + " x", bad_date, good.replace("34°", "34 ")]
+    df = spark.createDataFrame([("20190101", x) for x in lines], "day string, line string")
     got = parse_daily(df).withColumn("us", F.unix_micros("event_time")).collect()
-    assert len(got) == 6
+    assert len(got) == 5
     first = got[0]
-    assert first["us"] == times.to_micros(utc(2023, 12, 31, 15, 0, 4, 500000))
-    assert first["latitude"] == pytest.approx(32.643, abs=1e-3) and (first["depth_km"], first["mag"]) == (36.0, -0.4)
+    assert first["us"] == times.to_micros(utc(2018, 12, 31, 15, 0, 4, 500000))
+    assert first["latitude"] == pytest.approx(34.75) and (first["depth_km"], first["mag"]) == (36.0, -0.4)
     assert got[1]["latitude"] < 0 and got[1]["longitude"] < 0 and got[1]["depth_km"] is None
-    assert got[2]["region"] == "日向灘" and got[4]["us"] is None
+    assert got[2]["region"] == "駿河湾" and got[3]["region"] == "駿河湾 x" and got[4]["us"] is None
 
 
 def test_html_lines_of_a_table(spark):

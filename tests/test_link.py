@@ -13,7 +13,7 @@ from seismic_lake.operators import proximity
 from seismic_lake.operators.proximity import Tolerance, crowded_cells, interval_join, mutual_best, plan_levels, slim
 from seismic_lake.plans.link import link, link_summary
 
-T0 = utc(2023, 3, 1, 12)
+T0 = utc(2016, 4, 15, 16)
 COLUMNS = "event_id string, t_us bigint, latitude double, longitude double, depth_km double, mag double, mag_type string, event_type string"
 
 
@@ -51,26 +51,34 @@ def found(df):
     return {(r["a_id"], r["b_id"]) for r in df.collect()}
 
 
-def test_same_event_of_both_agencies_is_linked(spark):
-    j = events(spark, [("jma-1", 0, 38.10, 142.00, 5.2)])
-    u = events(spark, [("us1", 2.5, 38.20, 142.10, 5.5)])
+def test_one_event_of_both_agencies(spark):
+    j = events(spark, [("jma-1", 0, 33.0, 131.0, 4.7)])
+    u = events(spark, [("us1", -6.25, 33.3, 131.0, 4.2)])
     [r] = link(j, u).collect()
-    assert (r["jma_event_id"], r["usgs_event_id"], r["time_diff_s"], r["mag_diff"]) == ("jma-1", "us1", 2.5, 0.3)
-    assert 10 < r["distance_km"] < 20
+    assert (r["jma_event_id"], r["usgs_event_id"], r["time_diff_s"], r["mag_diff"]) == ("jma-1", "us1", 6.25, -0.5)
+    assert r["distance_km"] == 33.4 and r["score"] == pytest.approx(6.25 / 16 + 0.3336, abs=1e-4)
+    assert r["jma_event_time"] is not None and r["usgs_depth_km"] == 10.0
 
 
-def test_each_record_is_used_once(spark):
-    j = events(spark, [("jma-1", 0, 38.1, 142.0, 6.0), ("jma-2", 8, 38.1, 142.0, 4.0)])
-    u = events(spark, [("us1", 1, 38.1, 142.0, 6.1)])
-    [r] = link(j, u).collect()
-    assert r["jma_event_id"] == "jma-1" and r["time_diff_s"] == 1
-    s = link_summary(j, u, link(j, u)).first().asDict()
+def test_the_closest_record_is_linked_and_the_other_left_over(spark):
+    j = events(spark, [("jma-main", 0, 33.0, 131.0, 6.0), ("jma-after", 12, 33.0, 131.0, 3.0)])
+    u = events(spark, [("us1", 9, 33.0, 131.0, 5.9)])
+    links = link(j, u)
+    assert [(r["jma_event_id"], r["time_diff_s"]) for r in links.collect()] == [("jma-after", 3.0)]
+    s = link_summary(j, u, links).first().asDict()
     assert s == {"jma_candidates": 2, "usgs_candidates": 1, "pairs_considered": 2, "matched": 1}
 
 
-def test_too_far_in_time_or_space_and_small_or_outside_are_not_linked(spark):
-    j = [("j1", 0, 38.1, 142.0), ("j2", 3600, 35.0, 140.0), ("j3", 7200, 36.0, 141.0, 1.4), ("j4", 9000, -20.5, -70.25)]
-    u = [("late", 60, 38.1, 142.0), ("far", 3600, 33.0, 140.0), ("small", 7200, 36.0, 141.0), ("chile", 9000, -20.5, -70.25)]
+def test_a_best_partner_that_prefers_another_stays_unlinked(spark):
+    # b1 is nearest to a2, a2 to b2; a1 would take b1 but b1 does not want it.
+    j = events(spark, [("a1", 0, 35, 140), ("a2", 6, 35, 140)])
+    u = events(spark, [("b1", 4, 35, 140), ("b2", 7, 35, 140)])
+    assert {(r["jma_event_id"], r["usgs_event_id"]) for r in link(j, u).collect()} == {("a2", "b2")}
+
+
+def test_what_is_never_linked(spark):
+    j = [("slow", 0, 33.0, 131.0), ("away", 1000, 33.0, 131.0), ("tiny", 2000, 33.0, 131.0, 1.4), ("south", 3000, 19.9, 131.0)]
+    u = [("slow2", 17, 33.0, 131.0), ("away2", 1000, 34.0, 131.0), ("tiny2", 2000, 33.0, 131.0), ("south2", 3000, 19.9, 131.0)]
     assert link(events(spark, j), events(spark, u)).count() == 0
 
 
@@ -165,8 +173,8 @@ def test_a_build_without_links_is_an_empty_table(lake):
     from seismic_lake.plans import clean_jma, clean_usgs
     from seismic_lake.plans import link as link_plan
 
-    write_catalog(lake, "h2023.zip", [catalog_line(datetime(2023, 3, 1, 21), 38.1, 142.0, mag=5.4)])
-    write_raw(lake, "r", [raw_event()])
+    write_catalog(lake, "h2016.zip", [catalog_line(datetime(2016, 4, 16, 1), 33.0, 131.0, mag=5.4)])
+    write_raw(lake, "r", [raw_event(latitude="33", longitude="131")])
     clean_jma.build(lake, "j", T0)
     clean_usgs.build(lake, "u", T0)
     built = link_plan.build(lake, "m", T0)

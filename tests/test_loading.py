@@ -11,7 +11,7 @@ from seismic_lake.sources.lake import MissingInput
 from seismic_lake.sources.raw_events import read_raw_events
 from seismic_lake.vocab import RAW_EVENT_COLUMNS
 
-START = utc(2024, 1, 1)
+START = utc(2017, 8, 1)
 
 
 def source(spark, events):
@@ -30,16 +30,16 @@ def raw(lake):
 
 def test_a_range_and_then_only_the_changes(lake):
     old = hourly(20)
-    state = loading.load_range(lake, source(lake.spark, old), START, START + timedelta(days=2), "r1", utc(2024, 1, 3))
-    assert state["max_updated"] == "2024-01-01T19:00:00+00:00" and state["last_run_events"] == 20
-    revised = old[0] | {"mag": "3.5", "updated": "2024-01-03T00:00:00.000Z"}
+    state = loading.load_range(lake, source(lake.spark, old), START, START + timedelta(days=2), "r1", utc(2017, 8, 3))
+    assert state["max_updated"] == "2017-08-01T19:00:00+00:00" and state["last_run_events"] == 20
+    revised = old[0] | {"mag": "3.5", "updated": "2017-08-03T00:00:00.000Z"}
     later = [*old[1:], revised, *hourly(3, START + timedelta(days=1), prefix="new"), *hourly(2, START + timedelta(days=1), "1.5", "small")]
-    state = loading.load_changes(lake, source(lake.spark, later), "r2", utc(2024, 1, 4))
-    assert state["last_run_events"] == 4 and state["max_updated"] == "2024-01-03T00:00:00+00:00"
+    state = loading.load_changes(lake, source(lake.spark, later), "r2", utc(2017, 8, 4))
+    assert state["last_run_events"] == 4 and state["max_updated"] == "2017-08-03T00:00:00+00:00"
     got = raw(lake)
     assert got.count() == 24 and {r["_ingested_at"] for r in got.collect()} == {"r1", "r2"}
-    state = loading.load_changes(lake, source(lake.spark, later), "r3", utc(2024, 1, 5))
-    assert state["last_run_events"] == 0 and state["max_updated"] == "2024-01-03T00:00:00+00:00"
+    state = loading.load_changes(lake, source(lake.spark, later), "r3", utc(2017, 8, 5))
+    assert state["last_run_events"] == 0 and state["max_updated"] == "2017-08-03T00:00:00+00:00"
 
 
 def test_small_events_are_left_out_and_text_stays_as_it_was(lake):
@@ -52,18 +52,18 @@ def test_small_events_are_left_out_and_text_stays_as_it_was(lake):
 
 def test_the_same_range_goes_on_where_it_ended(lake):
     events = source(lake.spark, hourly(48))
-    assert loading.load_range(lake, events, START, START + timedelta(days=1), "r1", utc(2024, 1, 3))["last_run_events"] == 24
-    assert loading.load_range(lake, events, START, START + timedelta(days=2), "r2", utc(2024, 1, 4))["last_run_events"] == 24
-    again = loading.load_range(lake, events, START, START + timedelta(days=2), "r3", utc(2024, 1, 5))
+    assert loading.load_range(lake, events, START, START + timedelta(days=1), "r1", utc(2017, 8, 3))["last_run_events"] == 24
+    assert loading.load_range(lake, events, START, START + timedelta(days=2), "r2", utc(2017, 8, 4))["last_run_events"] == 24
+    again = loading.load_range(lake, events, START, START + timedelta(days=2), "r3", utc(2017, 8, 5))
     assert again["last_run_id"] == "r2" and raw(lake).count() == 48
-    assert loading.load_range(lake, events, START, START + timedelta(days=2), "r4", utc(2024, 1, 6), restart=True)["last_run_events"] == 48
+    assert loading.load_range(lake, events, START, START + timedelta(days=2), "r4", utc(2017, 8, 6), restart=True)["last_run_events"] == 48
 
 
 def test_another_start_is_another_job(lake):
-    events = source(lake.spark, [*hourly(10, utc(2000, 1, 1), prefix="o"), *hourly(5)])
+    events = source(lake.spark, [*hourly(10, utc(1999, 9, 9), prefix="o"), *hourly(5)])
     end = START + timedelta(days=1)
-    loading.load_range(lake, events, START, end, "r1", utc(2024, 1, 3))
-    assert loading.load_range(lake, events, utc(2000, 1, 1), end, "r2", utc(2024, 1, 4))["last_run_events"] == 15
+    loading.load_range(lake, events, START, end, "r1", utc(2017, 8, 3))
+    assert loading.load_range(lake, events, utc(1999, 9, 9), end, "r2", utc(2017, 8, 4))["last_run_events"] == 15
 
 
 def test_changes_need_a_first_load(lake):

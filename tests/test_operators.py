@@ -74,11 +74,16 @@ def listed(df):
 
 
 def test_days_to_load(spark):
-    first = listed(calendar.days_to_load(spark, None, date(2024, 1, 10), date(2024, 1, 1)))
-    assert first == [date(2024, 1, d) for d in range(1, 9)]
-    later = listed(calendar.days_to_load(spark, date(2024, 3, 1), date(2024, 3, 5), date(2024, 1, 1), lookback_days=3))
-    assert later == [date(2024, 3, d) for d in (1, 2, 3)]
-    assert listed(calendar.days_to_load(spark, None, date(2024, 1, 2), date(2024, 1, 1))) == []
+    start = date(2023, 11, 28)
+    first = listed(calendar.days_to_load(spark, None, date(2023, 12, 3), start))
+    assert first == [date(2023, 11, 28), date(2023, 11, 29), date(2023, 11, 30), date(2023, 12, 1)]
+    # Up to date: the last week again. Far behind: everything since. Just begun: not before the start.
+    week = listed(calendar.days_to_load(spark, date(2023, 12, 30), date(2024, 1, 2), start))
+    assert week == [date(2023, 12, d) for d in range(25, 32)]
+    behind = listed(calendar.days_to_load(spark, date(2023, 12, 10), date(2024, 1, 2), start, lookback_days=2))
+    assert behind == [date(2023, 12, d) for d in range(11, 32)]
+    assert listed(calendar.days_to_load(spark, date(2023, 11, 29), date(2023, 12, 2), start))[0] == start
+    assert listed(calendar.days_to_load(spark, None, date(2023, 11, 29), start)) == []
 
 
 def test_missing_days(spark):
@@ -244,8 +249,8 @@ def run_stream(lake):
 def test_streamed_revisions_equal_a_full_rebuild(lake):
     write_raw(lake, "r1", [raw_event(id="a", mag="1"), raw_event(id="b", mag="2")])
     assert run_stream(lake).count() == 2
-    later = iso(utc(2024, 3, 9))
-    write_raw(lake, "r2", [raw_event(id="a", mag="5", updated=later), raw_event(id="b", mag="9", updated="2024-01-01T00:00:00Z")])
+    later = iso(utc(2021, 9, 9))
+    write_raw(lake, "r2", [raw_event(id="a", mag="5", updated=later), raw_event(id="b", mag="9", updated="2021-01-01T00:00:00Z")])
     write_raw(lake, "r3", [raw_event(id="c", mag="3")])
     got = run_stream(lake)
     assert {r["event_id"]: r["mag"] for r in got.collect()} == {"a": 5.0, "b": 2.0, "c": 3.0}
@@ -262,8 +267,8 @@ def test_streamed_bulletins(lake):
     from seismic_lake.vocab import FELT_SCHEMA
 
     order = [F.col("updated_at").desc_nulls_last()]
-    write_feed(lake, "1", [bulletin("e1", "2026-10-11T15:49:00+09:00", mag="2.3")])
-    write_feed(lake, "2", [bulletin("e1", "2026-10-11T15:49:00+09:00", mag="2.4", rdt="2026-10-11T16:30:00+09:00")])
+    write_feed(lake, "1", [bulletin("e1", "2025-04-21T08:00:00+09:00", mag="2.3")])
+    write_feed(lake, "2", [bulletin("e1", "2025-04-21T08:00:00+09:00", mag="2.4", rdt="2025-04-21T09:30:00+09:00")])
     q = revision_log.log_revisions(
         revision_log.feed_stream(lake.spark, lake.path("raw/jma/feed"), 1), lake.path("felt_log"), lake.path("felt_offsets"),
         ["report_id"], order, parse_feed,
