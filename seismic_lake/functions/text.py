@@ -15,19 +15,26 @@ NUMBER = (
 DATED = r"^[\s\u3000\u00a0]*\d{4,6}-\d"
 
 
-def plain_spaces(col: Column) -> Column:
-    """Ideographic and no-break spaces as ordinary ones."""
-    return F.translate(col, "\u3000\u00a0", "  ")
+SPACES = " \u3000\u00a0"  # plain, ideographic and no-break
+
+
+def strip(col: Column) -> Column:
+    return F.btrim(col, F.lit(SPACES))
 
 
 def clean_text(col: Column) -> Column:
     """Trimmed text, NULL when nothing is left."""
-    return F.nullif(F.trim(plain_spaces(col)), F.lit(""))
+    return F.nullif(strip(col), F.lit(""))
+
+
+def _cast(col: Column, kind: str) -> Column:
+    # The cast itself skips plain spaces; the others are rare enough to try second.
+    return F.coalesce(col.try_cast(kind), strip(col).try_cast(kind))
 
 
 def to_number(col: Column) -> Column:
     """Text to double; anything but a plain decimal number (or nan/inf) is NULL."""
-    return F.when((F.length(col) > 0) & col.rlike(NUMBER), plain_spaces(col).try_cast("double"))
+    return F.when((F.length(col) > 0) & col.rlike(NUMBER), _cast(col, "double"))
 
 
 def to_integer(col: Column) -> Column:
@@ -37,7 +44,7 @@ def to_integer(col: Column) -> Column:
 
 def to_timestamp(col: Column) -> Column:
     """ISO date and time to timestamp; text without an offset is read in the session zone (UTC)."""
-    return F.when(col.rlike(DATED), plain_spaces(col).try_cast("timestamp"))
+    return F.when(col.rlike(DATED), _cast(col, "timestamp"))
 
 
 def typed(col: Column, kind: T.DataType) -> Column:

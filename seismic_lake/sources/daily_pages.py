@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismic_lake.functions.text import plain_spaces
 from seismic_lake.functions.times import fixed_offset_local
 
 # Where a page declares its charset, what counts as a tag, and the shape of a line:
@@ -79,7 +78,7 @@ def html_lines(pages: DataFrame, key: str, column: str) -> DataFrame:
 
 def parse_daily(lines: DataFrame) -> DataFrame:
     """Typed events from (day, line); lines of any other shape are not events and are left out."""
-    line = plain_spaces(F.col("line"))
+    line = F.replace(F.col("line"), F.lit("\u3000"), F.lit(" "))
     # One regex pass pulls all fifteen parts out as a delimited string.
     joined = F.regexp_replace(line, DAILY_LINE, "\x1f".join(f"${i + 1}" for i in range(len(DAILY_PARTS))))
     parts = lines.where(line.rlike(DAILY_LINE)).select("day", F.split(joined, "\x1f").alias("p"))

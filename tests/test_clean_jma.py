@@ -4,6 +4,7 @@ import pytest
 from samples import bulletin, catalog_line, daily_line, rows, utc, write_catalog, write_daily, write_feed
 
 from seismic_lake.plans import clean_jma
+from seismic_lake.sources import catalog
 from seismic_lake.sources.catalog import parse_catalog
 from seismic_lake.sources.lake import BUILT, MissingInput
 from seismic_lake.vocab import FELT_SCHEMA, JMA_SCHEMA
@@ -165,3 +166,17 @@ def test_a_republished_file_replaces_the_earlier_rows(lake):
         write_catalog(lake, "h2018.zip", [catalog_line(NOON, lat, 140.0)])
         build(lake, build_id, NOW + timedelta(days=int(build_id[1])))
     assert [q["latitude"] for q in read(lake)] == [36.5]
+
+
+def test_lines_of_a_dominant_file_are_dealt_out_again(spark, lake, monkeypatch):
+    lines = [catalog_line(NOON + timedelta(seconds=i), 35.0, 140.0) for i in range(500)]
+    write_catalog(lake, "h2017.zip", lines[:1])
+    write_catalog(lake, "h2018.zip", lines)
+    folder = lake.path("raw/jma/catalog")
+    assert not catalog.has_dominant_file(catalog.list_catalog_files(spark, folder), 4)
+    assert catalog.has_dominant_file(catalog.list_catalog_files(spark, folder), 4, floor=1)
+    plain = catalog.read_catalog_lines(spark, folder)
+    monkeypatch.setattr(catalog, "has_dominant_file", lambda *_: True)
+    spread = catalog.read_catalog_lines(spark, folder)
+    assert "REBALANCE" in spread._jdf.queryExecution().executedPlan().toString()
+    assert spread.count() == plain.count() == 501 and spread.exceptAll(plain).isEmpty()
