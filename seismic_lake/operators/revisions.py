@@ -8,7 +8,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -17,30 +16,29 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     Planned as a per-key limit on both sides of the shuffle: every map task sends at most one row
     per key, so a key holding a third of the table costs one row per task, not a third of the
     table. NULL keys would form one such group for no use, so callers count them separately.
-
-    Rows equal under ``order`` are told apart by their other columns, so the same row wins however
-    often a task is run again.
     """
-    ties = [F.col(f.name).desc_nulls_last() for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
     present = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *ties))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return present.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def _descending(*names: str) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in names]
+
+
+# Versions equal in both times are told apart by what validation reads anyway, so the same one wins
+# however often a task runs, and no column is shuffled only to break ties.
+
+
 def newest_revision(events: DataFrame) -> DataFrame:
     """Latest update of every event; equal updates go to the latest download."""
-    return latest_by(
-        events,
-        ["event_id"],
-        [F.col("updated_at").desc_nulls_last(), F.col("ingested_at").desc_nulls_last()],
-    )
+    order = _descending("updated_at", "ingested_at", "event_time", "mag", "latitude", "longitude")
+    return latest_by(events, ["event_id"], order)
 
 
 def newest_bulletin(felt: DataFrame) -> DataFrame:
     """Latest bulletin of every report; equal updates go to the latest snapshot."""
-    return latest_by(
-        felt, ["report_id"], [F.col("updated_at").desc_nulls_last(), F.col("snapshot").desc_nulls_last()]
-    )
+    return latest_by(felt, ["report_id"], _descending("updated_at", "snapshot", "event_time", "mag", "max_intensity"))
 
 
 def one_per_event(events: DataFrame) -> DataFrame:
