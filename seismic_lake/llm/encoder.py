@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -77,9 +78,20 @@ class Encoder:
         if not plain:
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
         space, word, stops = plain.groups()
-        if stops not in self.stops:
-            self.stops[stops] = self._units(stops)
-        return self._units(space + word if self.space else word.lower()) + self.stops[stops]
+        if stops:
+            known = self.numbers.get(space + word, self.count)
+            ids = self._word(space, word) if known >= self.count else self.pool[self.at[known] : self.at[known + 1]].tolist()
+            if stops not in self.stops:
+                self.stops[stops] = self._units(stops)
+            return ids + self.stops[stops]
+        return self._word(space, word)
+
+    def _word(self, space: str, word: str) -> list[int]:
+        if not self.space:
+            word = word.lower()
+        if word.isascii():
+            return [t.id for t in self.model.tokenize("Ġ" + word if space else word)]
+        return self._units(space + word)
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
@@ -120,9 +132,11 @@ class Encoder:
         return ids, offsets
 
 
+@lru_cache(maxsize=1)  # kept between the tasks of a worker process, and so is what it remembers
 def byte_bpe(path: str) -> Encoder:
     return Encoder(path, True, "<|endoftext|>")
 
 
+@lru_cache(maxsize=1)
 def word_bpe(path: str) -> Encoder:
     return Encoder(path, False, "<|endoftext|>")

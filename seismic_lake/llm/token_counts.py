@@ -73,18 +73,23 @@ class Trie:
         return best
 
 
+@lru_cache(maxsize=1)
+def kept(path: str) -> Trie:
+    """The trie of a worker process, kept between its tasks."""
+    return Trie(*vocabulary(path))
+
+
 def count(documents: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_pretokens, n_tokens, log_probability) of each row's best split."""
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, longest = vocabulary(path)
-        trie = Trie(scores, longest)
+        trie = kept(path)
         for batch in batches:
             pretokens, tokens, total = [], [], []
             for text in batch.column("text").to_pylist():
                 if len(trie.nodes) > NODES:
-                    trie = Trie(scores, longest)
+                    trie.nodes = {"": (0.0, 0)}
                 words = (text or "").split()
                 best, nodes = trie.best, trie.nodes
                 found = [nodes.get(w) or best(w) for w in map(MARK.__add__, words)]
