@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seismic_lake.llm import decontaminate, license_scan, near_dedup, packing, pii, token_counts, token_files, toxicity
+from seismic_lake.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, pii, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_license_scan"] = license_scan.oracle()
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
