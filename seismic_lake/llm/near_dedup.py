@@ -292,4 +292,4 @@ def link(documents: DataFrame, size: int) -> DataFrame:
 def remove(documents: DataFrame, size: int = 5) -> DataFrame:
     """One document of each component, all columns as they were; rows without doc_id stay."""
     dropped = link(documents, size).where("NOT kept").select(F.col("doc_id").alias("near_copy_id")).distinct()
-    return documents.join(dropped, F.col("doc_id").cast("long") == F.col("near_copy_id"), "left_anti")
+    return documents.join(dropped, documents["doc_id"].cast("long") == dropped["near_copy_id"], "left_anti")

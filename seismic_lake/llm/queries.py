@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seismic_lake.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, pii, token_counts, token_files, toxicity
+from seismic_lake.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, pii, suffix_dedup, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,27 @@ ORACLES["op2_license_scan"] = license_scan.oracle()
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_suffix_dedup"] = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS MATERIALIZED (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS m FROM (
+    SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM docs WHERE length(h) >= 800)),
+again AS (SELECT m FROM starts GROUP BY m HAVING count(*) > 1),
+hits AS (SELECT doc_id, i FROM starts SEMI JOIN again USING (m)),
+steps AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM hits),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM steps) GROUP BY doc_id, r),
+kept AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM runs GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+    sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string([
+        substr(h, 2 * (CASE WHEN k = 1 THEN 0 ELSE ends[k - 1] END) + 1,
+            2 * ((CASE WHEN k = n + 1 THEN length(h) // 2 ELSE starts[k] END) - (CASE WHEN k = 1 THEN 0 ELSE ends[k - 1] END)))
+        for k in range(1, n + 2)], '') END)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
