@@ -14,8 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 600_000  # pieces remembered before starting afresh; bounds memory, does not change a result
-PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")  # a word and its stops: two units of any of the vocabularies
+MEMO = 700_000  # pieces remembered; then those met less than thrice go. Bounds memory, changes no result
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")  # a word and its stops: two units of either vocabulary
+
+OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x00\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class _Numbers(dict):
@@ -41,20 +43,31 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.space, self.special = " " if keeps_space else "", special
         self.model = self.tokenizer.model
-        self.stops: dict[str, list[int]] = {"": []}
+        self.stops: dict[str, list[int]] = {}
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level text: bytes as printable characters
         self.shown = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in visible)}
         self.cut = re.compile(r" (?=\S)")
-        self.odd = re.compile(r" (?=\s|\Z)")
         self.blank = re.compile(r"[ \t\n\r]+")
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.numbers = _Numbers()
+        self.met = np.zeros(1 << 16, dtype=np.int64)
         self.pool = np.zeros(1 << 20, dtype=np.uint32)
         self.at = np.zeros(1 << 16, dtype=np.int64)
         self.count, self.used = 0, 0
 
+    def _forget(self) -> None:
+        numbers, pool, at = self.numbers, self.pool, self.at
+        keep = np.flatnonzero(self.met[: self.count] >= 3)[: MEMO // 2]
+        self._start()
+        keys = list(numbers)
+        for k in keep.tolist():
+            self.numbers[keys[k]] = len(self.numbers)
+        if len(keep):
+            self._add(np.concatenate([pool[at[k] : at[k + 1]] for k in keep.tolist()]), at[keep + 1] - at[keep])
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
@@ -63,6 +76,7 @@ class Encoder:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while self.count + len(lengths) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self.pool[self.used : self.used + len(ids)] = ids
         self.at[self.count + 1 : self.count + len(lengths) + 1] = self.used + np.cumsum(lengths)
         self.count += len(lengths)
@@ -73,18 +87,25 @@ class Encoder:
         shown = text.encode().decode("latin-1").translate(self.shown)
         return [t.id for t in self.model.tokenize(shown)]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str | tuple[str]) -> list[int]:
+        if isinstance(piece, tuple):  # the start of a text, with nothing before it
+            return self.tokenizer.encode(piece[0], add_special_tokens=False).ids
+        if piece.startswith("\n"):
+            return self.line + self._after("", piece[1:])
+        return self._after(self.space, piece)
+
+    def _after(self, space: str, piece: str) -> list[int]:
         plain = PLAIN.fullmatch(piece)
         if not plain:
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        space, word, stops = plain.groups()
-        if stops:
-            known = self.numbers.get(space + word, self.count)
-            ids = self._word(space, word) if known >= self.count else self.pool[self.at[known] : self.at[known + 1]].tolist()
-            if stops not in self.stops:
-                self.stops[stops] = self._units(stops)
-            return ids + self.stops[stops]
-        return self._word(space, word)
+            return self.tokenizer.encode(space + piece, add_special_tokens=False).ids
+        word, stops = plain.groups()
+        if not stops:
+            return self._word(space, word)
+        if stops not in self.stops:
+            self.stops[stops] = self._units(stops)
+        known = self.numbers.get(word, self.count) if space == self.space else self.count
+        ids = self._word(space, word) if known >= self.count else self.pool[self.at[known] : self.at[known + 1]].tolist()
+        return ids + self.stops[stops]
 
     def _word(self, space: str, word: str) -> list[int]:
         if not self.space:
@@ -99,11 +120,19 @@ class Encoder:
             each = [self._piece(p) for p in new]
             self._add(np.array([i for ids in each for i in ids], dtype=np.uint32), np.array([len(x) for x in each]))
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list:
+        """A piece stands for the space before it, or starts with its line break; the first one is a tuple."""
         if not self.space:
             return [p for p in self.blank.split(text) if p]
-        first, *rest = text.split(" ") if not self.odd.search(text) else self.cut.split(text)
-        return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+        first, *rest = self.cut.split(text) if self._odd(text) else text.replace("\n", " \n").split(" ")
+        return [(first,), *rest] if first else rest
+
+    @staticmethod
+    def _odd(text: str) -> bool:
+        """White space in runs, at an end, or other than a space and a line break."""
+        if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return True
+        return any(c in text for c in (OTHER_SPACE[:9] if text.isascii() else OTHER_SPACE))
 
     def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and each text's first place (with a last entry)."""
@@ -120,6 +149,8 @@ class Encoder:
             ends.append(len(numbers))
         self._learn()
         which = np.array(numbers, dtype=np.int64)
+        seen = np.bincount(which, minlength=1)
+        self.met[: len(seen)] += seen
         begin = self.at[which]
         length = self.at[which + 1] - begin
         total = np.concatenate([[0], np.cumsum(length)])
