@@ -2,37 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import degrees, log
+from math import degrees
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from seismic_lake.functions.geo import great_circle_km
 from seismic_lake.functions.times import MICROS
-from seismic_lake.session import cut_lineage
 from seismic_lake.vocab import EARTH_RADIUS_KM, LINK_MAX_KM, LINK_MAX_SECONDS
 
 # Buckets are wider than the tolerance, so most rows of the replicated side fall in one bucket.
 BUCKET_FACTOR = 8
 CELL_FACTOR = 4
-# In dense places comparisons cost more than copies, so cells are narrower there.
-FINE_FACTOR = 2
-# Candidate pairs one grid cell may produce before its rows are searched in finer steps first.
-CELL_BUDGET = 4_000_000
-LEVEL_STEP = 4
+# Rows of one side that meet in one group of a join; a cell with more is dealt to several groups.
+BLOCK_ROWS = 2_000
 # Score digits used for ranking: far finer than any measurement, coarser than the last bits in
 # which two machines' trigonometry may differ, so ties fall the same way everywhere.
 SCORE_DIGITS = 9
+SCORE_UNIT = 10**SCORE_DIGITS
+NUMBERS = 1 << 24  # row numbers inside a group, well above any group's size
 
 
 def _bucket(value: Column, width: float) -> Column:
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
+def in_blocks(left: DataFrame, right: DataFrame, keys: list[str], rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an equality join on ``keys``, dealt so that no key is one task's work.
+
+    A key with m * ``rows`` left rows and n * ``rows`` right rows becomes m * n groups (_x, _y): each left row is
+    in one _x and every _y, each right row in one _y and every _x, so each pair meets once. Keys with
+    few rows are one group, and keys that one side lacks go. Only counts per key are needed.
+    """
+    n_left = left.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias("_m"))
+    n_right = right.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias("_n"))
+    groups = n_left.join(n_right, keys)
+
+    def dealt(side: DataFrame, own: str, mine: str, other: str, all_of: str) -> DataFrame:
+        spread = side.join(groups, keys).withColumn(own, F.pmod(F.xxhash64(*side.columns), mine).cast("int"))
+        return spread.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(all_of) - 1))).drop("_m", "_n")
+
+    return dealt(left, "_x", "_m", "_y", "_n"), dealt(right, "_y", "_n", "_x", "_m")
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, left_time: str, right_time: str, seconds: float
 ) -> DataFrame:
@@ -40,7 +56,8 @@ def interval_join(
 
     A plain BETWEEN join would be planned as a nested loop. Here both sides get a time bucket, the
     right side one row per bucket its window touches, and the join is an equality on the bucket
-    with the exact test on top. Every pair meets in exactly one bucket: the left row's own.
+    with the exact test on top. Every pair meets in exactly one bucket: the left row's own. A burst that
+    fills a bucket is dealt to several groups.
     """
     window = int(seconds * MICROS)
     width = float(max(window, 1) * BUCKET_FACTOR)
@@ -51,7 +68,8 @@ def interval_join(
         F.explode(F.sequence(_bucket(t_right - window, width), _bucket(t_right + window, width))),
     )
     close = F.abs(t_left - t_right) <= window
-    return keyed_left.join(keyed_right, "_bucket").where(close).drop("_bucket")
+    dealt_left, dealt_right = in_blocks(keyed_left, keyed_right, ["_bucket"])
+    return dealt_left.join(dealt_right, ["_bucket", "_x", "_y"]).where(close).drop("_bucket", "_x", "_y")
 
 
 @dataclass(frozen=True)
@@ -59,9 +77,6 @@ class Tolerance:
     seconds: float = LINK_MAX_SECONDS
     km: float = LINK_MAX_KM
 
-    def scaled(self, share: float) -> Tolerance:
-        return Tolerance(self.seconds * share, self.km * share)
-
 
 def slim(side: DataFrame, prefix: str) -> DataFrame:
     """Only what the search needs: id, time in microseconds, place. Rows lacking one cannot pair.
@@ -142,51 +157,27 @@ def _reachable_cells(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
     )
 
 
-def close_pairs(a: DataFrame, b: DataFrame, tol: Tolerance, scale: Tolerance | None = None, grid: Grid | None = None) -> DataFrame:
-    """(a_id, b_id, dt, km, score) for slim sides ``a`` and ``b`` within ``tol``.
+def _met(a: DataFrame, b: DataFrame, tol: Tolerance, grid: Grid) -> tuple[DataFrame, DataFrame]:
+    return in_blocks(_own_cell(a, "a", grid), _reachable_cells(b, "b", grid), CELL)
 
-    The score is seconds and kilometres as shares of ``scale`` (``tol`` unless given), 0 when equal.
-    """
-    scale, grid = scale or tol, grid or Grid(tol)
-    dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
-    km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
-    return (
-        _own_cell(a, "a", grid)
-        .join(_reachable_cells(b, "b", grid), CELL)
-        .where(dt <= tol.seconds)
-        .select("a_id", "b_id", dt.alias("dt"), km.alias("km"))
-        .where(F.col("km") <= tol.km)
-        .withColumn("score", F.col("dt") / F.lit(float(scale.seconds)) + F.col("km") / F.lit(float(scale.km)))
-    )
-
-
-def _best(pairs: DataFrame, side: str, other: str) -> DataFrame:
-    # The minimum is taken inside the join's own stage first, so pairs themselves never shuffle.
-    ranked = F.struct(F.round("score", SCORE_DIGITS).alias("rank"), F.col(other), "dt", "km", "score")
-    return pairs.groupBy(side).agg(F.min(ranked).alias("b")).select(side, "b.*")
 
+GROUP = [*CELL, "_x", "_y"]
 
-def crowded_cells(a: DataFrame, b: DataFrame, tol: Tolerance, budget: int = CELL_BUDGET) -> DataFrame:
-    """Grid cells in which more than ``budget`` candidate pairs would meet, with that number.
 
-    Only counts per cell are shuffled and joined.
-    """
-    grid = Grid(tol)
-    left = _own_cell(a, "a", grid).groupBy(*CELL).agg(F.count("*").alias("na"))
-    right = _reachable_cells(b, "b", grid).groupBy(*CELL).agg(F.count("*").alias("nb"))
-    pairs = (F.col("na") * F.col("nb")).alias("pairs")
-    return left.join(right, CELL).select(*CELL, pairs).where(F.col("pairs") > budget)
+def _within(met_a: DataFrame, met_b: DataFrame, tol: Tolerance) -> DataFrame:
+    """Pairs of the groups within the tolerance, with distance and score."""
+    dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
+    km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
+    pairs = met_a.join(met_b, GROUP).where(dt <= tol.seconds).withColumn("dt", dt).withColumn("km", km)
+    return pairs.where(F.col("km") <= tol.km).withColumn("score", F.col("dt") / F.lit(float(tol.seconds)) + F.col("km") / F.lit(float(tol.km)))
 
 
-def plan_levels(pairs_in_cell: int | None) -> list[float]:
-    """Shares of the tolerance to search, finest first, always ending with the full tolerance.
+def close_pairs(a: DataFrame, b: DataFrame, tol: Tolerance) -> DataFrame:
+    """(a_id, b_id, dt, km, score) for slim sides ``a`` and ``b`` within ``tol``.
 
-    The finest is where a row in a cell with that many pairs has a partner or so in reach.
+    The score is seconds and kilometres as shares of the tolerance, 0 when equal.
     """
-    if not pairs_in_cell:
-        return [1.0]
-    finer = max(1, round(log(pairs_in_cell**0.5) / (3 * log(LEVEL_STEP))))
-    return [float(LEVEL_STEP) ** -level for level in range(finer, 0, -1)] + [1.0]
+    return _within(*_met(a, b, tol, Grid(tol)), tol).select("a_id", "b_id", "dt", "km", "score")
 
 
 def _first_at_spot(rows: DataFrame, p: str) -> DataFrame:
@@ -194,60 +185,40 @@ def _first_at_spot(rows: DataFrame, p: str) -> DataFrame:
     return rows.groupBy(f"{p}_t", f"{p}_lat", f"{p}_lon").agg(F.min(f"{p}_id").alias(f"{p}_id"))
 
 
-def _nearest(
-    a: DataFrame, b: DataFrame, tol: Tolerance, levels: Sequence[float], side: str, crowded: DataFrame | None
-) -> DataFrame:
-    """Best partner of every row on ``side`` ('a' or 'b').
+def _best(met_a: DataFrame, met_b: DataFrame, tol: Tolerance, side: str) -> DataFrame:
+    """(id, other, dt, km, score): the best partner of every row on ``side`` ('a' or 'b').
 
-    Rows in crowded cells are searched in growing neighbourhoods first. A best partner scoring no
-    more than a level's share cannot be beaten by anything outside that level's box, so it is final
-    and its row leaves the search. Everything still open is decided at the full tolerance. Exact,
-    with no cap on partners.
+    A group's rows on the other side are numbered by id, so a score and its tie-break are one whole
+    number and the least of them is kept by a hash aggregate inside the join's own stage: pairs are
+    neither shuffled nor sorted. What is left is a row for each row and group.
     """
     key, other = (f"{side}_id", "b_id" if side == "a" else "a_id")
-    seekers, partners = (a, b) if side == "a" else (b, a)
-    open_rows, found = seekers, None
-    if len(levels) > 1:
-        part = "b" if side == "a" else "a"
-        near = seekers if crowded is None else _own_cell(seekers, side, Grid(tol)).join(crowded, CELL, "left_semi").drop(*CELL)
-        reach = partners
-        if crowded is not None:
-            reach = _reachable_cells(partners, part, Grid(tol)).join(crowded, CELL, "left_semi").drop(*CELL)
-            reach = cut_lineage(reach.distinct())
-        for share in levels[:-1]:
-            small = tol.scaled(share)
-            sides = (near, reach) if side == "a" else (reach, near)
-            best = _best(close_pairs(*sides, small, tol, Grid(small, FINE_FACTOR, FINE_FACTOR)), key, other)
-            settled = cut_lineage(best.where(F.col("rank") <= share * (1 - 1e-6)))
-            near = cut_lineage(near.join(settled, key, "left_anti"))
-            found = settled if found is None else found.unionByName(settled)
-        open_rows = seekers.join(found, key, "left_anti")
-    sides = (open_rows, partners) if side == "a" else (partners, open_rows)
-    rest = _best(close_pairs(*sides, tol), key, other)
-    return rest if found is None else found.unionByName(rest)
-
-
-def mutual_best(
-    left: DataFrame, right: DataFrame, tol: Tolerance | None = None, levels: Sequence[float] | None = None
-) -> DataFrame:
+    numbered = F.row_number().over(W.partitionBy(*GROUP).orderBy(other)).cast("bigint")
+    sides = [met_a, met_b]
+    sides[side == "a"] = sides[side == "a"].withColumn("_no", numbered)
+    pairs = _within(*sides, tol)
+    rank = F.round(F.col("score") * SCORE_UNIT).cast("bigint")
+    least = pairs.groupBy(*GROUP, key).agg(F.min(rank * NUMBERS + F.col("_no")).alias("_best"))
+    least = least.withColumn("_no", F.pmod("_best", F.lit(NUMBERS))).withColumn("_rank", F.floor(F.col("_best") / NUMBERS))
+    named = least.join(sides[side == "a"].select(*GROUP, "_no", other), [*GROUP, "_no"])
+    return named.groupBy(key).agg(F.min(F.struct("_rank", other)).alias("m")).select(key, f"m.{other}")
+
+
+def mutual_best(left: DataFrame, right: DataFrame, tol: Tolerance | None = None) -> DataFrame:
     """(a_id, b_id, dt, km, score): pairs in which each record is the other's best candidate.
 
     Ties go to the smaller id of the other side. A record whose best candidate prefers another
     stays unlinked. ``left`` and ``right`` need event_id, event_time, latitude, longitude.
 
-    Usually one equality join on grid cells decides all. Cells are counted first; where a swarm
-    would make too many pairs meet in one cell, its rows are searched in finer steps before. Given
-    ``levels`` are searched for all rows instead.
+    One path for every density: an equality join on grid cells, cells dealt to groups of bounded size by their
+    own counts. Every pair within reach is looked at, however many stand in a cell, spread over all tasks.
     """
     tol = tol or Tolerance()
-    a, b = slim(left, "a"), slim(right, "b")
-    crowded = None
-    if levels is None:
-        cells = crowded_cells(a, b, tol)
-        levels = plan_levels(cells.agg(F.max("pairs").alias("m")).first()["m"])
-        crowded = cut_lineage(cells.select(*CELL)) if len(levels) > 1 else None
-    if len(levels) > 1:
-        a, b = cut_lineage(_first_at_spot(a, "a")), cut_lineage(_first_at_spot(b, "b"))
-    from_a = _nearest(a, b, tol, levels, "a", crowded)
-    from_b = _nearest(a, b, tol, levels, "b", crowded).select("a_id", "b_id")
-    return from_a.join(from_b, ["a_id", "b_id"]).select("a_id", "b_id", "dt", "km", "score")
+    a, b = _first_at_spot(slim(left, "a"), "a"), _first_at_spot(slim(right, "b"), "b")
+    met_a, met_b = _met(a, b, tol, Grid(tol))
+    links = _best(met_a, met_b, tol, "a").join(_best(met_a, met_b, tol, "b"), ["a_id", "b_id"])
+    dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
+    km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
+    score = F.col("dt") / F.lit(float(tol.seconds)) + F.col("km") / F.lit(float(tol.km))
+    placed = links.join(a, "a_id").join(b, "b_id").withColumn("dt", dt).withColumn("km", km)
+    return placed.select("a_id", "b_id", "dt", "km", score.alias("score"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -29,10 +28,10 @@ def usgs_candidates(usgs: DataFrame) -> DataFrame:
     return usgs.where(in_box(LINK_BOX)).select(*LINKED_COLUMNS)
 
 
-def link(jma: DataFrame, usgs: DataFrame, levels: Sequence[float] | None = None) -> DataFrame:
+def link(jma: DataFrame, usgs: DataFrame) -> DataFrame:
     """The link table: one row per pair that are each other's best candidate."""
     j, u = jma_candidates(jma), usgs_candidates(usgs)
-    pairs = mutual_best(j, u, levels=levels)
+    pairs = mutual_best(j, u)
 
     def side(df: DataFrame, prefix: str, *names: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("event_id", *names)])
@@ -55,7 +54,7 @@ def link(jma: DataFrame, usgs: DataFrame, levels: Sequence[float] | None = None)
 def link_summary(jma: DataFrame, usgs: DataFrame, matches: DataFrame) -> DataFrame:
     """One row: candidates on both sides, pairs within tolerance, links.
 
-    Pairs are counted inside the join's stage and never shuffled.
+    Pairs are counted inside the join's stage, never shuffled, and a dense cell's are spread over tasks.
     """
     j, u = jma_candidates(jma), usgs_candidates(usgs)
     pairs = close_pairs(slim(j, "a"), slim(u, "b"), Tolerance())

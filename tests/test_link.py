@@ -10,7 +10,7 @@ from samples import utc
 from pyspark.sql import functions as F
 
 from seismic_lake.operators import proximity
-from seismic_lake.operators.proximity import Tolerance, crowded_cells, interval_join, mutual_best, plan_levels, slim
+from seismic_lake.operators.proximity import interval_join, mutual_best, slim
 from seismic_lake.plans.link import link, link_summary
 
 T0 = utc(2016, 4, 15, 16)
@@ -96,15 +96,16 @@ def swarm(seed, n, seconds, degrees, p):
     ]
 
 
-@pytest.mark.parametrize("levels", [[1.0], [1 / 8, 1.0], [1 / 64, 1 / 8, 1.0], None])
+@pytest.mark.parametrize("rows", [7, 100, 2000])
 @pytest.mark.parametrize("shape", [(200, 600, 4), (200, 30, 1), (150, 3, 0.2)])
-def test_matches_brute_force_at_every_level(spark, shape, levels):
+def test_matches_brute_force_however_cells_are_dealt(spark, monkeypatch, shape, rows):
+    monkeypatch.setattr(proximity.in_blocks, "__defaults__", (rows,))
     n, seconds, degrees = shape
     a, b = swarm(1, n, seconds, degrees, "a"), swarm(2, n, seconds, degrees, "b")
     # Exact copies on both sides, as overlapping downloads would give.
     a += [(f"{r[0]}x", *r[1:]) for r in a[:40]]
     b += [(f"{r[0]}x", *r[1:]) for r in b[:40]]
-    got = mutual_best(events(spark, a), events(spark, b), levels=levels)
+    got = mutual_best(events(spark, a), events(spark, b))
     assert found(got) == brute_force(a, b)
 
 
@@ -120,7 +121,7 @@ def test_anywhere_on_the_globe(spark, seed, lat0, lon0):
         ]
 
     a, b = side("a"), side("b")
-    assert found(mutual_best(events(spark, a), events(spark, b), levels=[1.0])) == brute_force(a, b)
+    assert found(mutual_best(events(spark, a), events(spark, b))) == brute_force(a, b)
 
 
 def test_links_are_one_to_one(spark):
@@ -129,19 +130,18 @@ def test_links_are_one_to_one(spark):
     assert len({r["a_id"] for r in got}) == len({r["b_id"] for r in got}) == len(got)
 
 
-def test_levels_follow_the_measured_density(spark):
-    assert plan_levels(None) == [1.0]
-    assert plan_levels(10**8) == [1 / 16, 1 / 4, 1.0] and plan_levels(10**14)[0] < 1 / 64
-    a, b = slim(events(spark, swarm(1, 100, 5, 0.1, "a")), "a"), slim(events(spark, swarm(2, 100, 5, 0.1, "b")), "b")
-    assert crowded_cells(a, b, Tolerance()).count() == 0
-    assert crowded_cells(a, b, Tolerance(), budget=2000).count() >= 1
+def test_a_dense_cell_is_dealt_to_groups_of_bounded_size(spark):
+    a, b = slim(events(spark, swarm(1, 300, 4, 0.01, "a")), "a"), slim(events(spark, swarm(2, 200, 4, 0.01, "b")), "b")
+    left, right = proximity.in_blocks(a.withColumn("k", F.lit(1)), b.withColumn("k", F.lit(1)), ["k"], rows=50)
+    met = left.join(right, ["k", "_x", "_y"])
+    assert met.count() == 300 * 200 == met.select("a_id", "b_id").distinct().count()
+    sizes = [r["n"] for r in left.groupBy("_x", "_y").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 6 * 4 and max(sizes) < 100
 
 
-def test_crowded_cells_among_quiet_ones_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(proximity.crowded_cells, "__defaults__", (500,))
-    a = swarm(1, 120, 6, 0.5, "a") + [(f"q{i}", 100 + i * 11, 30 + i * 0.1, 130.0) for i in range(60)]
-    b = swarm(2, 120, 6, 0.5, "b") + [(f"r{i}", 103 + i * 11, 30 + i * 0.1, 130.2) for i in range(60)]
-    b += [(f"s{i}", 10 + i, 35.9, 140.9) for i in range(10)]  # just outside the swarm
+def test_a_steady_offset_between_agencies_in_a_swarm(spark):
+    a = swarm(1, 120, 4, 0.01, "a")
+    b = [(i.replace("a", "b"), t + 3, lat + 0.18, lon) for i, t, lat, lon in a]
     assert found(mutual_best(events(spark, a), events(spark, b))) == brute_force(a, b)
 
 
