@@ -68,12 +68,12 @@ def readable_place(place: Column) -> Column:
 
     def word(w: Column, i: Column) -> Column:
         known = code_label(w, PLACE_WORDS)
-        first_upper = F.concat(F.upper(F.substring(known, 1, 1)), F.substring(known, 2, 100))
+        first_upper = F.concat(F.upper(F.substring(known, 1, 1)), F.substr(known, F.lit(2)))
         return (
             F.when(w.isin(*COMPASS_POINTS), w)
             .when(known.isNotNull() & (i == 0), first_upper)
             .when(known.isNotNull(), known)
-            .otherwise(F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1_000_000))))
+            .otherwise(F.concat(F.substring(w, 1, 1), F.lower(F.substr(w, F.lit(2)))))
         )
 
     words = F.transform(F.split(place, r"\s+"), word)

@@ -38,21 +38,15 @@ def missing_days(present: DataFrame, first: Column | None = None) -> DataFrame:
     return bounds.select(F.explode(span).alias("day")).join(distinct, "day", "left_anti")
 
 
-def days_to_load(
-    spark: SparkSession,
-    done_until: date | None,
-    today: date,
-    start: date,
-    lookback_days: int = 7,
-    lag_days: int = 2,
-) -> DataFrame:
-    """Days a daily source should be (re)loaded for.
+def days_to_load(state: DataFrame, today: date, start: date, lookback_days: int = 7, lag_days: int = 2) -> DataFrame:
+    """Days a daily source should be (re)loaded for, from a one-row state with the last finished day, ``done_until``.
 
     Everything after the last finished day plus the last ``lookback_days`` available days, whose
     lists may be revised; never before ``start``, never later than ``lag_days`` before today.
     """
-    available = today - timedelta(days=lag_days)
-    first = start
-    if done_until is not None:
-        first = max(start, min(done_until + timedelta(days=1), available - timedelta(days=lookback_days - 1)))
-    return days(spark, first, available)
+    last = F.lit(today - timedelta(days=lag_days))
+    resumed = F.least(F.date_add("done_until", 1), F.date_sub(last, lookback_days - 1))
+    # A state without a finished day begins at the start; greatest() passes over the NULL.
+    first = F.greatest(F.lit(start), F.when(F.col("done_until").isNotNull(), resumed))
+    span = F.when(last >= first, F.sequence(first, last, F.expr("interval 1 day")))
+    return state.select(F.explode(span).alias("day"))

@@ -41,7 +41,13 @@ def next_mark(events: DataFrame, previous: Column | None = None) -> DataFrame:
 
 
 def capped_windows(
-    events: DataFrame, time_col: str, cap: int, min_span_s: float = 60.0, by: str = "year"
+    events: DataFrame,
+    time_col: str,
+    cap: int,
+    min_span_s: float = 60.0,
+    by: str = "year",
+    start: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
     """Cut time into chronological ranges of at most ``cap`` events: (window_start, window_end, n).
 
@@ -49,10 +55,18 @@ def capped_windows(
     ``cap`` events or is no longer than ``min_span_s``. Empty pieces are skipped. Instead of
     counting piece by piece, events are counted once per finest piece and rolled up through all
     levels; a piece is kept when it need not be split but its parent had to be.
+
+    A job may begin and end within a year: ``start`` and ``end`` (exclusive) clip the first and the last
+    year, and the clipped piece is what gets halved.
     """
-    start = F.date_trunc(by, time_col)
-    finish = start + F.expr(f"interval 1 {by}")
-    low, span = F.unix_micros(start), F.unix_micros(finish) - F.unix_micros(start)
+    rows = changed_since(events.withColumn("event_time", F.col(time_col)), None, start, end) if start or end else events
+    opens = F.date_trunc(by, time_col)
+    closes = opens + F.expr(f"interval 1 {by}")
+    if start is not None:
+        opens = F.greatest(opens, instant(start))
+    if end is not None:
+        closes = F.least(closes, instant(end))
+    low, span = F.unix_micros(opens), F.unix_micros(closes) - F.unix_micros(opens)
     # A year halves 20 times before its pieces are under a minute.
     longest = (366 if by == "year" else 31) * 86_400.0
     depth = 0
@@ -64,7 +78,7 @@ def capped_windows(
         F.floor(offset.cast("double") * pieces.cast("double") / F.col("span")).cast("bigint"), pieces - 1
     )
     leaves = (
-        events.where(F.col(time_col).isNotNull())
+        rows.where(F.col(time_col).isNotNull())
         .select(time_col, low.alias("low"), span.alias("span"))
         .groupBy("low", "span", leaf.alias("leaf"))
         .agg(F.count("*").alias("n"))

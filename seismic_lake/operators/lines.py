@@ -13,6 +13,14 @@ MIN_RING_POINTS = 4  # fixed value
 STEPS_PER_CHUNK = 100_000
 
 
+def step_rejects(steps: DataFrame) -> DataFrame:
+    """One row: steps that name no boundary or have no place in it, and so are in no line."""
+    return steps.agg(
+        F.count_if(F.col("boundary").isNull()).alias("no_boundary"),
+        F.count_if(F.col("boundary").isNotNull() & F.col("seq").isNull()).alias("no_seq"),
+    )
+
+
 def merge_steps(steps: DataFrame, decimals: int = DECIMALS, chunk: int = STEPS_PER_CHUNK) -> DataFrame:
     """Join consecutive boundary steps into lines: (boundary, type, line_no, point_no, lon, lat).
 
@@ -22,7 +30,8 @@ def merge_steps(steps: DataFrame, decimals: int = DECIMALS, chunk: int = STEPS_P
     a long boundary is never gathered into one value.
 
     Steps are numbered inside chunks of ``chunk`` sequence numbers and the chunks' totals carried
-    over, so no task sorts a whole boundary.
+    over, so no task sorts a whole boundary; the result does not depend on ``chunk``. Steps without
+    boundary or seq are left out and counted by :func:`step_rejects`.
     """
     start = F.struct(F.round("start_lon", decimals).alias("lon"), F.round("start_lat", decimals).alias("lat"))
     end = F.struct(F.round("end_lon", decimals).alias("lon"), F.round("end_lat", decimals).alias("lat"))
@@ -86,27 +95,15 @@ def merge_steps(steps: DataFrame, decimals: int = DECIMALS, chunk: int = STEPS_P
     )
 
 
-def assemble_lines(points: DataFrame, chunk: int = STEPS_PER_CHUNK) -> DataFrame:
-    """Ordered point arrays for drawing: (boundary, type, line_no, part, points).
-
-    A line is one row unless it runs over more than one chunk of sequence numbers; then it has one
-    row per chunk, each starting at the last point of the one before, so it draws unbroken and no
-    array outgrows a chunk.
-    """
-    keys = ["boundary", "type", "line_no"]
-    part = F.floor(F.col("point_no") / (2 * chunk)).cast("bigint")
-    placed = points.withColumn("part", part)
-    ordered = F.array_sort(F.collect_list(F.struct("point_no", "lon", "lat")))
-    shapes = placed.groupBy(*keys, "part").agg(
-        F.transform(ordered, lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("points")
-    )
-    tails = placed.groupBy(*keys, "part").agg(F.max_by(F.struct("lon", "lat"), "point_no").alias("tail"))
-    joint = F.lag("tail").over(Window.partitionBy(*keys).orderBy("part"))
-    return (
-        shapes.join(tails.withColumn("joint", joint).drop("tail"), [*keys, "part"])
-        .withColumn("points", F.concat(F.array_compact(F.array("joint")), "points"))
-        .drop("joint")
-    )
+def line_extents(points: DataFrame) -> DataFrame:
+    """One row per line, however long: number of points, first and last point, extent."""
+    at = lambda pick, column, name: pick(column, "point_no").alias(name)
+    return points.groupBy("boundary", "type", "line_no").agg(
+        F.count("*").alias("points"),
+        at(F.min_by, "lon", "first_lon"), at(F.min_by, "lat", "first_lat"),
+        at(F.max_by, "lon", "last_lon"), at(F.max_by, "lat", "last_lat"),
+        F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"),
+    )
 
 
 def clean_ring(points: Column, decimals: int = DECIMALS) -> Column:

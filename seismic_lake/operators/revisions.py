@@ -30,15 +30,22 @@ def _descending(*names: str) -> list[Column]:
 # however often a task runs, and no column is shuffled only to break ties.
 
 
+def event_order() -> list[Column]:
+    return _descending("updated_at", "ingested_at", "event_time", "mag", "latitude", "longitude")
+
+
+def bulletin_order() -> list[Column]:
+    return _descending("updated_at", "snapshot", "event_time", "mag", "max_intensity")
+
+
 def newest_revision(events: DataFrame) -> DataFrame:
     """Latest update of every event; equal updates go to the latest download."""
-    order = _descending("updated_at", "ingested_at", "event_time", "mag", "latitude", "longitude")
-    return latest_by(events, ["event_id"], order)
+    return latest_by(events, ["event_id"], event_order())
 
 
 def newest_bulletin(felt: DataFrame) -> DataFrame:
     """Latest bulletin of every report; equal updates go to the latest snapshot."""
-    return latest_by(felt, ["report_id"], _descending("updated_at", "snapshot", "event_time", "mag", "max_intensity"))
+    return latest_by(felt, ["report_id"], bulletin_order())
 
 
 def one_per_event(events: DataFrame) -> DataFrame:

@@ -61,6 +61,20 @@ def per_check(dq: DataFrame) -> DataFrame:
     )
 
 
+def failed_text(listed: Column) -> Column:
+    """Each failed check once, in alphabetical order, with "(n)" after it where n > 1 of its rows failed.
+
+    ``listed`` has a (label, n) per distinct check, so the text does not grow with the rows.
+    """
+    labels = F.array_sort(F.array_distinct(F.transform(listed, lambda x: x["label"])))
+
+    def entry(name: Column) -> Column:
+        n = F.aggregate(F.filter(listed, lambda x: x["label"] == name), F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+        return F.concat(name, F.when(n > 1, F.concat(F.lit(" ("), n.cast("string"), F.lit(")"))).otherwise(""))
+
+    return F.array_join(F.transform(labels, entry), ", ")
+
+
 def run_health(label: Column, counted: Column) -> list[Column]:
     """Aggregates of a run over :func:`per_check` rows; ``counted`` marks the rows whose row count
     and freshness are shown, ``label`` names a failed check."""
@@ -72,8 +86,7 @@ def run_health(label: Column, counted: Column) -> list[Column]:
     def measured(check: str) -> Column:
         return F.max(F.when(counted & (F.col("check") == check), F.col("value")))
 
-    listed = F.array_sort(F.collect_list(F.when(failed, F.struct(label.alias("label"), F.col("n").alias("n")))))
-    repeated = F.flatten(F.transform(listed, lambda x: F.array_repeat(x["label"], x["n"].cast("int"))))
+    listed = F.collect_list(F.when(failed, F.struct(label.alias("label"), F.col("n").alias("n"))))
     return [
         F.min("run_at").alias("run_at"),
         F.bool_and(F.col("passed") | (F.col("severity") == WARN)).alias("published"),
@@ -81,7 +94,7 @@ def run_health(label: Column, counted: Column) -> list[Column]:
         failures(WARN).alias("warnings"),
         measured("not empty").alias("row_count"),
         measured("data is fresh").alias("hours_since_newest_event"),
-        F.array_join(repeated, ", ").alias("failed_checks"),
+        failed_text(listed).alias("failed_checks"),
     ]
 
 

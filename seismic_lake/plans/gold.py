@@ -203,7 +203,7 @@ def run_history(dq: DataFrame) -> DataFrame:
 
 def newest_run(dq: DataFrame) -> Column:
     """Id of the run with the latest result, as a scalar subquery."""
-    return dq.agg(F.max_by("run_id", "run_at").alias("run_id")).scalar()
+    return dq.agg(F.max(F.struct("run_at", "run_id"))["run_id"].alias("run_id")).scalar()
 
 
 def latest_checks(dq: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Write gold tables as Parquet and as compact JSON documents for a web page."""
+"""Write gold tables as Parquet and as JSON documents for a web page."""
 
 from __future__ import annotations
 
@@ -11,26 +11,26 @@ from pyspark.sql import functions as F
 from seismic_lake.plans.gold import GoldTable, utc
 from seismic_lake.sources.lake import Lake
 
-MAX_DOCUMENT_ROWS = 50_000
-
 
 def json_document(table: DataFrame, generated_at: datetime, extras: dict) -> DataFrame:
-    """One row, one JSON text: {generated_at, columns, rows: [[...]], ...extras}.
+    """The lines of one JSON text {generated_at, columns, rows: [[...]], ...extras}, in order.
 
-    Rows keep the table's order. Only for tables known to be small.
+    ``table`` is stored Parquet; its rows keep the order they were written in. One line for each row, so a
+    table of any size is one document and no value holds more than a row. The lines are in one
+    partition, sorted there (spilling if need be), as a single file needs them.
     """
-    numbered = table.withColumn("_no", F.monotonically_increasing_id())
-    cells = F.concat(
-        F.lit("["),
-        F.array_join(F.array(*[_cell(table, c) for c in table.columns]), ","),
-        F.lit("]"),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("_no", cells.alias("row"))))
-    rows = F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda r: r["row"]), ","), F.lit("]"))
+    cells = F.concat(F.lit("["), F.array_join(F.array(*[_cell(table, c) for c in table.columns]), ","), F.lit("]"))
+    place = (F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = table.select(F.lit(1).alias("part"), *place, cells.alias("value"))
     head = {"generated_at": utc(generated_at).isoformat(timespec="seconds"), "columns": table.columns}
-    before = json.dumps(head, separators=(",", ":"))[:-1] + ',"rows":'
-    after = "".join(f",{json.dumps(k)}:{json.dumps(v, separators=(',', ':'), default=str)}" for k, v in extras.items())
-    return numbered.agg(F.concat(F.lit(before), rows, F.lit(after + "}")).alias("value"))
+    before = json.dumps(head, separators=(",", ":"))[:-1] + ',"rows":['
+    after = "]" + "".join(f",{json.dumps(k)}:{json.dumps(v, separators=(',', ':'), default=str)}" for k, v in extras.items()) + "}"
+    # The first row has no comma before it; files may be empty, so it is looked up.
+    first = rows.agg(F.min(F.struct("file", "row")).alias("first")).scalar()
+    comma = F.when(F.struct("file", "row") == first, "").otherwise(",")
+    rows = rows.withColumn("value", F.concat(comma, "value"))
+    ends = table.sparkSession.createDataFrame([(0, "", 0, before), (2, "", 0, after)], "part int, file string, row long, value string")
+    return rows.unionByName(ends).repartition(1).sortWithinPartitions("part", "file", "row").select("value")
 
 
 def _cell(table: DataFrame, name: str):
@@ -40,10 +40,9 @@ def _cell(table: DataFrame, name: str):
 
 
 def write(tables: dict[str, GoldTable], lake: Lake, now: datetime, site: str | None = None) -> dict[str, int]:
-    """Parquet under gold/, JSON under ``site``; returns row counts.
+    """Parquet under gold/, one JSON document each under ``site``; returns row counts.
 
-    A table within the document size goes out as one JSON document. A larger one is written as
-    JSON lines by all tasks, with a header document that says so; no row is left out.
+    Each table is computed once; counts and documents come from the stored files.
     """
     counts = {}
     for name, table in tables.items():
@@ -51,15 +50,6 @@ def write(tables: dict[str, GoldTable], lake: Lake, now: datetime, site: str | N
         table.rows.write.mode("overwrite").parquet(path)
         stored = lake.spark.read.schema(table.rows.schema).parquet(path)
         counts[name] = stored.count()
-        if site is None:
-            continue
-        extras = dict(table.extras)
-        if counts[name] <= MAX_DOCUMENT_ROWS:
-            # Sorting happened before the write; the few files are read back in name order.
-            document = json_document(table.rows.coalesce(1), now, extras)
-        else:
-            stored.write.mode("overwrite").option("ignoreNullFields", False).json(f"{site}/{name}_rows")
-            empty = stored.limit(0)
-            document = json_document(empty, now, extras | {"rows_folder": f"{name}_rows"})
-        document.coalesce(1).write.mode("overwrite").text(f"{site}/{name}.json")
+        if site is not None:
+            json_document(stored, now, dict(table.extras)).write.mode("overwrite").text(f"{site}/{name}.json")
     return counts

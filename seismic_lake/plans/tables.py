@@ -64,17 +64,27 @@ def register_history(spark: SparkSession, path: str, database: str = DATABASE) -
         f"USING parquet OPTIONS (recursiveFileLookup true) LOCATION '{path}'"
     )
     spark.catalog.refreshTable(f"{database}.dq_results")
+    # The definition of analytics.dq_runs: equal results are counted first, then each failed check is listed once.
     spark.sql(f"""
         CREATE OR REPLACE VIEW {database}.dq_runs AS
-        SELECT run_id, coalesce(dataset, 'usgs') AS dataset, min(run_at) AS run_at,
-               every(passed OR severity = 'warn') AS published,
-               count_if(NOT passed AND severity = 'error') AS errors,
-               count_if(NOT passed AND severity = 'warn') AS warnings,
-               max(value) FILTER (WHERE check = 'not empty') AS row_count,
-               max(value) FILTER (WHERE check = 'data is fresh') AS hours_since_newest_event,
-               array_join(array_sort(collect_list(CASE WHEN NOT passed THEN check END)), ', ') AS failed_checks
-        FROM {database}.dq_results
-        GROUP BY run_id, coalesce(dataset, 'usgs')
+        WITH per_check AS (
+            SELECT run_id, coalesce(dataset, 'usgs') AS dataset, check, severity, passed,
+                   count(*) AS n, min(run_at) AS run_at, max(value) AS value
+            FROM {database}.dq_results GROUP BY 1, 2, 3, 4, 5),
+        failed AS (
+            SELECT run_id, dataset, check || CASE WHEN sum(n) > 1 THEN ' (' || sum(n) || ')' ELSE '' END AS label
+            FROM per_check WHERE NOT passed GROUP BY run_id, dataset, check),
+        labels AS (
+            SELECT run_id, dataset, array_join(array_sort(collect_list(label)), ', ') AS failed_checks
+            FROM failed GROUP BY run_id, dataset),
+        runs AS (
+            SELECT run_id, dataset, min(run_at) AS run_at, every(passed OR severity = 'warn') AS published,
+                   coalesce(sum(n) FILTER (WHERE NOT passed AND severity = 'error'), 0) AS errors,
+                   coalesce(sum(n) FILTER (WHERE NOT passed AND severity = 'warn'), 0) AS warnings,
+                   max(value) FILTER (WHERE check = 'not empty') AS row_count,
+                   max(value) FILTER (WHERE check = 'data is fresh') AS hours_since_newest_event
+            FROM per_check GROUP BY run_id, dataset)
+        SELECT runs.*, coalesce(failed_checks, '') AS failed_checks FROM runs LEFT JOIN labels USING (run_id, dataset)
     """)
 
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 REQUIRED_CONF = {
     # Event ids, year partitions and day counts are all defined in UTC.
@@ -54,43 +51,14 @@ def _scan_bytes(spark: SparkSession) -> int:
     return int(text[:-1]) if text.endswith("b") else int(text) if text.isdigit() else 128 << 20
 
 
-@contextmanager
-def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Size scans and shuffles for an input, so partitions fit in memory at any scale.
+def size_for(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Size scans and shuffles of a session for its largest input; called once, before any job.
 
     Only raises the numbers Spark starts from; AQE merges partitions that turn out too small.
     """
-    raised = {}
     partitions = min(MAX_PARTITIONS, -(-input_bytes // INPUT_PER_PARTITION))
     if partitions > int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
-        raised[INITIAL_PARTITIONS] = str(partitions)
+        spark.conf.set(INITIAL_PARTITIONS, str(partitions))
     if input_bytes // MAX_SCAN_TASKS > _scan_bytes(spark):
-        raised[SCAN_BYTES] = str(input_bytes // MAX_SCAN_TASKS)
-    before = {key: spark.conf.get(key, None) for key in raised}
-    try:
-        for key, value in raised.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise to reliable storage, in the folder the cluster names in ``spark.checkpoint.dir``.
-
-    Callers reuse the result several times, and a lost executor then costs a re-read, not a
-    recomputation. Where no folder is named the plan is returned as it is: same rows, computed
-    again for each use.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        spark.conf.set(SCAN_BYTES, str(input_bytes // MAX_SCAN_TASKS))
+    return spark

@@ -17,7 +17,6 @@ from seismic_lake.functions.times import fixed_offset_local
 from seismic_lake.vocab import EVENT_CLASS_CODES, EVENT_CLASS_DEFAULT, INTENSITY_CODES, MAG_TYPE_CODES
 
 LINES_PER_BATCH = 50_000
-SKEWED_FILE_BYTES = 32 << 20
 MIN_LINE_LENGTH = 68  # fixed value: shorter lines are not hypocenter records
 
 
@@ -58,18 +57,11 @@ def list_catalog_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def has_dominant_file(files: DataFrame, tasks: int, floor: int = SKEWED_FILE_BYTES) -> bool:
-    """True when one file is large and holds more than two tasks' fair share of the bytes."""
-    sizes = files.agg(F.max("size").alias("largest"), F.sum("size").alias("total")).first()
-    largest, total = sizes["largest"] or 0, sizes["total"] or 0
-    return largest > floor and largest > 2 * total / tasks
-
-
 def read_catalog_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every member of every zip. Files are spread over tasks by size.
 
-    A zip is unpacked by one task. Where the listing shows one file holding much of the data, its
-    lines are dealt out again before the costlier parsing; AQE splits the large partition.
+    A zip is unpacked by one task, a block of lines at a time; the lines are dealt out again before the
+    costlier parsing, and AQE merges or splits the partitions.
     """
     files = (
         spark.read.format("binaryFile")
@@ -80,8 +72,7 @@ def read_catalog_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = files.select("path", "content").mapInPandas(
         _zip_lines, "file string, member string, line_no bigint, line string"
     )
-    listed = list_catalog_files(spark, folder)
-    return lines.hint("rebalance") if has_dominant_file(listed, spark.sparkContext.defaultParallelism) else lines
+    return lines.hint("rebalance")
 
 
 def parse_catalog(lines: DataFrame) -> DataFrame:

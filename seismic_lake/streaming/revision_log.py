@@ -1,20 +1,24 @@
 """Incremental loading as streams that run until the available files are used up.
 
 The stream appends each micro-batch's newest revisions to a log of revisions; the newest revision
-over the log is the current table. Batches may be retried after a failure: every batch owns one
-folder and overwriting it again gives the same content, so nothing is lost or doubled.
+over the log is the current table. Batches may be retried after a failure: every batch of a query owns
+one folder and overwriting it again gives the same content, so nothing is lost or doubled. A query
+with a new checkpoint has another id, so it adds to an older log and overwrites none of it. Rows
+without a key are no revision; each batch records how many it had.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from seismic_lake.operators.revisions import latest_by
+from seismic_lake.operators.revisions import event_order, latest_by
 from seismic_lake.sources.raw_events import type_events
 from seismic_lake.vocab import FEED_SCHEMA, RAW_EVENT_SCHEMA
 
@@ -52,8 +56,13 @@ def log_revisions(
     """Append the newest revision per key of every micro-batch to the log, then stop."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_by(prepare(batch), keys, order)
-        newest.write.mode("overwrite").parquet(f"{log_folder}/batch={batch_id}")
+        # The id is kept in the checkpoint: the same for a restarted query, another for a new one.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = prepare(batch)
+        place = f"query={query}/batch={batch_id}"
+        latest_by(rows, keys, order).write.mode("overwrite").parquet(f"{log_folder}/revisions/{place}")
+        lacking = F.count_if(reduce(or_, [F.col(k).isNull() for k in keys]))
+        rows.agg(lacking.alias("rejected")).write.mode("overwrite").parquet(f"{log_folder}/rejects/{place}")
 
     return (
         stream.writeStream.foreachBatch(append)
@@ -64,14 +73,18 @@ def log_revisions(
 
 
 def current(
-    spark: SparkSession, log_folder: str, schema: T.StructType, keys: Sequence[str], order: Sequence[Column]
+    spark: SparkSession, log_folder: str, schema: T.StructType, keys: Sequence[str], order: Sequence[Column], also: str = ""
 ) -> DataFrame:
-    """Newest revision per key over the whole log."""
-    return latest_by(spark.read.schema(schema).parquet(log_folder).select(*schema.fieldNames()), keys, order)
+    """Newest revision per key over the whole log; ``also`` names logged columns that only the order reads."""
+    logged = T.StructType([*schema.fields, *(T.StructType.fromDDL(also).fields if also else [])])
+    log = spark.read.schema(logged).option("recursiveFileLookup", True).parquet(f"{log_folder}/revisions")
+    return latest_by(log, keys, order).select(*schema.fieldNames())
 
 
-def event_revision_order() -> list[Column]:
-    return [F.col("updated_at").desc_nulls_last(), F.col("ingested_at").desc_nulls_last()]
+def rejected(spark: SparkSession, log_folder: str) -> int:
+    """Rows without a key over the whole log."""
+    counts = spark.read.schema("rejected bigint").option("recursiveFileLookup", True).parquet(f"{log_folder}/rejects")
+    return counts.agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
 
 
 def stream_events(spark: SparkSession, raw_folder: str, log_folder: str, checkpoint: str) -> StreamingQuery:
@@ -81,6 +94,6 @@ def stream_events(spark: SparkSession, raw_folder: str, log_folder: str, checkpo
         log_folder,
         checkpoint,
         ["event_id"],
-        event_revision_order(),
+        event_order(),
         type_events,
     )

@@ -117,14 +117,13 @@ def test_files(built, tmp_path):
     assert [r[-1] for r in quakes["rows"]][-2:] == ["yesterday", "tonight"]
 
 
-def test_large_tables_go_out_as_rows(built, tmp_path, monkeypatch):
-    lake, t = built
-    monkeypatch.setattr(gold_files, "MAX_DOCUMENT_ROWS", 3)
-    gold_files.write({"recent_quakes": t["recent_quakes"]}, lake, NOW, str(tmp_path / "site"))
-    assert lake.spark.read.json(str(tmp_path / "site/recent_quakes_rows")).count() == 6
-    [part] = Path(tmp_path / "site/recent_quakes.json").glob("part-*.txt")
-    page = json.loads(part.read_text())
-    assert page["rows"] == [] and page["rows_folder"] == "recent_quakes_rows"
+def test_a_document_is_one_text_at_any_size(lake, tmp_path):
+    rows = lake.spark.range(0, 3000, 1, 7).select("id", F.concat(F.lit('a "'), F.col("id").cast("string")).alias("name"))
+    for name, df in {"many": rows, "none": rows.limit(0)}.items():
+        gold_files.write({name: gold.GoldTable(df, {"days": 30})}, lake, NOW, str(tmp_path / "site"))
+        [part] = Path(tmp_path / f"site/{name}.json").glob("part-*.txt")
+        page = json.loads(part.read_text())
+        assert page["rows"] == [[r["id"], r["name"]] for r in df.collect()] and page["days"] == 30
 
 
 def test_no_clean_table_is_an_error(lake):

@@ -182,17 +182,14 @@ def test_a_build_without_links_is_an_empty_table(lake):
     assert link_plan.read_matches(lake, "built").count() == 0
 
 
-def test_scans_and_shuffles_are_sized_for_the_input(spark):
-    from seismic_lake.session import INITIAL_PARTITIONS, SCAN_BYTES, shuffles_for
-
-    def now():
-        return spark.conf.get(INITIAL_PARTITIONS, None), spark.conf.get(SCAN_BYTES)
-
-    usual = now()
-    with shuffles_for(spark, 100 << 40):
-        assert now() == ("50000", str((100 << 40) // 100_000))
-    with shuffles_for(spark, 1 << 30):
-        assert now() == ("8", usual[1])
-    with shuffles_for(spark, 100):
-        assert now() == usual
-    assert now() == usual
+def test_a_session_is_sized_for_its_input(spark):
+    from seismic_lake.session import INITIAL_PARTITIONS, SCAN_BYTES, size_for
+
+    own = spark.newSession()
+    usual = own.conf.get(SCAN_BYTES)
+    size_for(own, 1 << 30)
+    assert (own.conf.get(INITIAL_PARTITIONS), own.conf.get(SCAN_BYTES)) == ("8", usual)
+    size_for(own, 100 << 40)
+    assert (own.conf.get(INITIAL_PARTITIONS), own.conf.get(SCAN_BYTES)) == ("50000", str((100 << 40) // 100_000))
+    size_for(own, 100)
+    assert own.conf.get(INITIAL_PARTITIONS) == "50000" and spark.conf.get(INITIAL_PARTITIONS, None) is None

@@ -73,17 +73,21 @@ def listed(df):
     return [r["day"] for r in df.orderBy("day").collect()]
 
 
+def state(spark, done_until):
+    return spark.createDataFrame([(done_until,)], "done_until date")
+
+
 def test_days_to_load(spark):
     start = date(2023, 11, 28)
-    first = listed(calendar.days_to_load(spark, None, date(2023, 12, 3), start))
+    first = listed(calendar.days_to_load(state(spark, None), date(2023, 12, 3), start))
     assert first == [date(2023, 11, 28), date(2023, 11, 29), date(2023, 11, 30), date(2023, 12, 1)]
     # Up to date: the last week again. Far behind: everything since. Just begun: not before the start.
-    week = listed(calendar.days_to_load(spark, date(2023, 12, 30), date(2024, 1, 2), start))
+    week = listed(calendar.days_to_load(state(spark, date(2023, 12, 30)), date(2024, 1, 2), start))
     assert week == [date(2023, 12, d) for d in range(25, 32)]
-    behind = listed(calendar.days_to_load(spark, date(2023, 12, 10), date(2024, 1, 2), start, lookback_days=2))
+    behind = listed(calendar.days_to_load(state(spark, date(2023, 12, 10)), date(2024, 1, 2), start, lookback_days=2))
     assert behind == [date(2023, 12, d) for d in range(11, 32)]
-    assert listed(calendar.days_to_load(spark, date(2023, 11, 29), date(2023, 12, 2), start))[0] == start
-    assert listed(calendar.days_to_load(spark, None, date(2023, 11, 29), start)) == []
+    assert listed(calendar.days_to_load(state(spark, date(2023, 11, 29)), date(2023, 12, 2), start))[0] == start
+    assert listed(calendar.days_to_load(state(spark, None), date(2023, 11, 29), start)) == []
 
 
 def test_missing_days(spark):
@@ -96,36 +100,32 @@ def test_missing_days(spark):
 # --- Windows and incremental loads ---------------------------------------------------------------------------
 
 
-def brute_windows(moments, cap, min_span=60e6):
-    """Halving by counting, piece by piece."""
-    out = []
-    for year in sorted({m.year for m in moments}):
-        low, high = times.to_micros(datetime(year, 1, 1)), times.to_micros(datetime(year + 1, 1, 1))
-        us = [times.to_micros(m) for m in moments if m.year == year]
-        stack = [(low, high, 0, 0)]
-        while stack:
-            a, b, level, k = stack.pop()
-            n = sum(a <= x < b for x in us)
-            if not n:
-                continue
-            if n <= cap or b - a <= min_span:
-                out.append((a, b, n))
-                continue
-            size = (high - low) / 2 ** (level + 1)
-            edge = [round(low + size * i) for i in (2 * k, 2 * k + 1, 2 * k + 2)]
-            stack += [(edge[1], edge[2], level + 1, 2 * k + 1), (edge[0], edge[1], level + 1, 2 * k)]
-    return sorted(out)
-
-
 @pytest.mark.parametrize("n,gap,cap", [(3000, 190, 400), (300, 0.01, 50), (40, 10**6, 100)])
-def test_capped_windows_equal_piecewise_counting(spark, n, gap, cap):
+def test_properties_of_capped_windows(spark, n, gap, cap):
     start = utc(2019, 11, 3, 5)
-    moments = [start + timedelta(seconds=i * gap) for i in range(n)]
-    df = spark.createDataFrame([(times.to_micros(m),) for m in moments], "us bigint").select(F.timestamp_micros("us").alias("t"))
-    got = incremental.capped_windows(df, "t", cap)
-    got = got.select(F.unix_micros("window_start"), F.unix_micros("window_end"), "n").collect()
-    assert sorted(map(tuple, got)) == brute_windows(moments, cap)
-    assert sum(r["n"] for r in got) == n
+    us = [times.to_micros(start + timedelta(seconds=i * gap)) for i in range(n)]
+    df = spark.createDataFrame([(u,) for u in us], "us bigint").select(F.timestamp_micros("us").alias("t"))
+    got = incremental.capped_windows(df, "t", cap).select(F.unix_micros("window_start"), F.unix_micros("window_end"), "n")
+    got = sorted(map(tuple, got.collect()))
+    assert all(a[1] <= b[0] for a, b in zip(got, got[1:], strict=False))
+    for low, high, count in got:
+        assert count == sum(low <= u < high for u in us) and (count <= cap or high - low <= 60e6)
+        # Not cut further than needed: a whole year, or with its other half above the cap.
+        whole = datetime.fromtimestamp(low / 1e6, tz=start.tzinfo)
+        size = high - low
+        at = low - times.to_micros(datetime(whole.year, 1, 1))
+        parent = low - size if round(at / size) % 2 else low
+        assert size > 364 * 86_400e6 or sum(parent <= u < parent + 2 * size for u in us) > cap
+    assert sum(r[2] for r in got) == n
+
+
+def test_a_job_window_clips_its_first_and_last_piece(spark):
+    # Yearly events over 147 calendar years; the job ends in October of the last.
+    df = spark.range(147).select(F.make_timestamp(F.lit(1880) + F.col("id").cast("int"), F.lit(3), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("t"))
+    got = incremental.capped_windows(df, "t", 10, start=utc(1880, 2, 1), end=utc(2026, 10, 1)).orderBy("window_start").collect()
+    edges = [(r["window_start"].isoformat()[:10], r["window_end"].isoformat()[:10]) for r in got]
+    assert len(got) == 147 and edges[0] == ("1880-02-01", "1881-01-01") and edges[-1] == ("2026-01-01", "2026-10-01")
+    assert incremental.capped_windows(df, "t", 10, start=utc(1990, 4, 1), end=utc(1990, 6, 1)).count() == 0
 
 
 def test_large_ranges_are_cut_under_the_cap(spark):
@@ -172,26 +172,6 @@ def test_changed_files(spark):
 STEP = "boundary string, seq bigint, step_class string, start_lon double, start_lat double, end_lon double, end_lat double"
 
 
-def walk(steps):
-    """Lines drawn one step at a time."""
-    out, line, current = [], [], None
-    for s in sorted(steps, key=lambda x: (x[0], x[1])):
-        kind = (s[0], lines.BOUNDARY_TYPES[s[2]])
-        start, end = (round(s[3], 2), round(s[4], 2)), (round(s[5], 2), round(s[6], 2))
-        wraps = abs(end[0] - start[0]) > 180
-        if kind != current or wraps or (line and line[-1] != start):
-            if current and len(line) > 1:
-                out.append((*current, line))
-            line, current = [start], kind
-        if wraps:
-            line, current = [], None
-        else:
-            line.append(end)
-    if current and len(line) > 1:
-        out.append((*current, line))
-    return sorted(out)
-
-
 def random_steps(seed, n=120):
     rnd, out = random.Random(seed), []
     for b in ("AB", "CD"):
@@ -205,25 +185,46 @@ def random_steps(seed, n=120):
     return out
 
 
+def drawn(points):
+    out = {}
+    for r in points.orderBy("boundary", "line_no", "point_no").collect():
+        out.setdefault((r["boundary"], r["line_no"]), []).append((r["type"], r["lon"], r["lat"]))
+    return out
+
+
+def test_lines_listed_by_hand(spark):
+    steps = [
+        ("AB", 1, "SUB", 0.0, 0.0, 1.0, 0.0),
+        ("AB", 2, "SUB", 1.0, 0.0, 2.0, 0.001),  # goes on; rounded
+        ("AB", 5, "OCB", 2.0, 0.0, 3.0, 0.0),  # another type
+        ("AB", 6, "OCB", 3.5, 0.0, 4.0, 0.0),  # starts elsewhere
+        ("AB", 7, "OCB", 4.0, 0.0, -179.0, 0.0),  # around the dateline: dropped
+        ("AB", 8, "OCB", -179.0, 0.0, -178.0, 0.0),
+        ("CD", 1, "SUB", 9.0, 9.0, 8.0, 9.0),
+        ("CD", None, "SUB", 8.0, 9.0, 7.0, 9.0),
+        (None, 1, "SUB", 8.0, 9.0, 7.0, 9.0),
+    ]
+    df = spark.createDataFrame(steps, STEP)
+    got = [[lon for _, lon, _ in line] for _, line in sorted(drawn(lines.merge_steps(df, chunk=2)).items())]
+    assert got == [[0.0, 1.0, 2.0], [2.0, 3.0], [3.5, 4.0], [-179.0, -178.0], [9.0, 8.0]]
+    assert tuple(lines.step_rejects(df).first()) == (1, 1)
+    [whole] = [r for r in lines.line_extents(lines.merge_steps(df)).collect() if (r["boundary"], r["line_no"]) == ("AB", 1)]
+    assert (whole["points"], whole["first_lon"], whole["last_lon"], whole["west"], whole["east"]) == (3, 0.0, 2.0, 0.0, 2.0)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("chunk", [7, 50, 100_000])
-def test_merged_steps_equal_drawing_them_in_order(spark, seed, chunk):
+def test_properties_of_merged_steps(spark, seed):
     steps = random_steps(seed)
-    points = lines.merge_steps(spark.createDataFrame(steps, STEP), chunk=chunk)
-    got = lines.assemble_lines(points).collect()
-    drawn = sorted((r["boundary"], r["type"], [(p["lon"], p["lat"]) for p in r["points"]]) for r in got)
-    assert drawn == walk(steps)
-
-
-def test_long_lines_are_parts_that_join_up(spark):
-    steps = [("AB", i, "SUB", float(i), 0.0, float(i + 1), 0.0) for i in range(25)]
-    points = lines.merge_steps(spark.createDataFrame(steps, STEP), chunk=10)
-    parts = lines.assemble_lines(points, chunk=10).orderBy("part").collect()
-    assert [[p["lon"] for p in r["points"]] for r in parts] == [
-        [float(x) for x in range(0, 11)],
-        [float(x) for x in range(10, 21)],
-        [float(x) for x in range(20, 26)],
-    ]
+    df = spark.createDataFrame(steps, STEP)
+    by_chunk = [drawn(lines.merge_steps(df, chunk=c)) for c in (7, 50, 100_000)]
+    assert by_chunk[0] == by_chunk[1] == by_chunk[2]
+    kept = [s for s in steps if abs(round(s[5], 2) - round(s[3], 2)) <= 180]
+    pairs = []
+    for (boundary, _), line in by_chunk[0].items():
+        assert len({kind for kind, _, _ in line}) == 1 and len(line) > 1
+        pairs += [(boundary, a[1], b[1]) for a, b in zip(line, line[1:], strict=False)]
+    # Every kept step is in exactly one line.
+    assert sorted(pairs) == sorted((s[0], round(s[3], 2), round(s[5], 2)) for s in kept)
 
 
 def test_polygons(spark):
@@ -243,7 +244,7 @@ def run_stream(lake):
     q = revision_log.stream_events(lake.spark, lake.path("raw/usgs"), lake.path("log"), lake.path("offsets"))
     q.awaitTermination(120)
     assert q.exception() is None
-    return revision_log.current(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revision_log.event_revision_order())
+    return revision_log.current(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revisions.event_order())
 
 
 def test_streamed_revisions_equal_a_full_rebuild(lake):
@@ -266,7 +267,7 @@ def test_streamed_bulletins(lake):
     from seismic_lake.sources.feed import parse_feed
     from seismic_lake.vocab import FELT_SCHEMA
 
-    order = [F.col("updated_at").desc_nulls_last()]
+    order = revisions.bulletin_order()
     write_feed(lake, "1", [bulletin("e1", "2025-04-21T08:00:00+09:00", mag="2.3")])
     write_feed(lake, "2", [bulletin("e1", "2025-04-21T08:00:00+09:00", mag="2.4", rdt="2025-04-21T09:30:00+09:00")])
     q = revision_log.log_revisions(
@@ -274,5 +275,27 @@ def test_streamed_bulletins(lake):
         ["report_id"], order, parse_feed,
     )
     q.awaitTermination(120)
-    [r] = revision_log.current(lake.spark, lake.path("felt_log"), FELT_SCHEMA, ["report_id"], order).collect()
+    [r] = revision_log.current(lake.spark, lake.path("felt_log"), FELT_SCHEMA, ["report_id"], order, "snapshot string").collect()
     assert r["mag"] == 2.4
+
+
+def test_ties_and_missing_ids_in_a_stream_are_treated_as_in_a_rebuild(lake):
+    from seismic_lake.sources.raw_events import read_raw_events, type_events
+
+    same = {"updated": iso(utc(2021, 9, 9))}
+    for run, mags in (("r1", "4 7 5"), ("r2", "3 6")):
+        rows = [raw_event(id="a", mag=m, **same) for m in mags.split()] + [raw_event(id="")]
+        write_raw(lake, run, rows)
+        got = run_stream(lake)
+    rebuilt = revisions.newest_revision(type_events(read_raw_events(lake.spark, lake.path("raw/usgs"))))
+    assert [r["mag"] for r in got.collect()] == [r["mag"] for r in rebuilt.collect()] == [6.0]
+    assert revision_log.rejected(lake.spark, lake.path("log")) == 2
+
+
+def test_a_new_checkpoint_does_not_overwrite_an_older_log(lake):
+    write_raw(lake, "r1", [raw_event(id="a"), raw_event(id="b")])
+    run_stream(lake)
+    for folder in ("offsets2", "offsets3"):
+        revision_log.stream_events(lake.spark, lake.path("raw/usgs"), lake.path("log"), lake.path(folder)).awaitTermination(120)
+    assert lake.spark.read.option("recursiveFileLookup", True).parquet(lake.path("log/revisions")).count() == 6
+    assert run_stream(lake).count() == 2

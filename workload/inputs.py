@@ -8,13 +8,10 @@ no row is left out: conditions only choose values (a blank field, a bad coordina
 from __future__ import annotations
 
 import re
-from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seismic_lake.session import configure
-from seismic_lake.sources.lake import input_bytes
 
 # Tokens: `a // b` whole division; US(c) epoch microseconds of a timestamp column; AT(x) timestamp
 # from epoch microseconds; YMD(c), DAY(c) date text.
@@ -317,49 +314,19 @@ def _render(expression: str, rules: list[tuple[str, str]]) -> str:
     return expression
 
 
-# A file below this size may be a single row group, which one task reads however many cores wait.
-SPREAD_BELOW = 64 << 20
-SPREAD_ABOVE = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table. Small single-file tables are dealt out to all cores before any work;
-    tables of more than one scan split per core are read as they are, with no shuffle."""
+    """A supplied table, dealt out to all tasks: its files may be single row groups, which one task reads each."""
     configure(spark)
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if SPREAD_ABOVE < input_bytes(spark, path) < SPREAD_BELOW:
-        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-    return df
-
-
-# The column an input's times derive from; times are at most a day and a bit later or earlier.
-TIMED_BY = {"usgs": "o_orderdate", "jma": "o_orderdate", "felt": "ts", "dq": "ts"}
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").hint("rebalance")
 
 
-def spark_input(
-    spark: SparkSession, sf_dir: str, name: str, since: datetime | None = None, until: datetime | None = None
-) -> DataFrame:
-    """An input as a DataFrame.
-
-    A query over a time window says so: derived times cannot be pushed to the scan, so the window,
-    widened by two days, is put on the stored column they come from. The query's own exact bounds
-    still apply, as a lake table's year folders and its event times work together.
-    """
+def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input as a DataFrame."""
     source, columns = INPUTS[name]
     rows = table(spark, sf_dir, source)
-    slack = timedelta(days=2)
-    if since is not None:
-        rows = rows.where(F.col(TIMED_BY[name]) >= _stored(since - slack))
-    if until is not None:
-        rows = rows.where(F.col(TIMED_BY[name]) <= _stored(until + slack))
     return rows.selectExpr(*[f"{_render(e, _SPARK)} AS `{c}`" for c, e in columns.items()])
 
 
-def _stored(moment: datetime):
-    return F.lit(f"{moment:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
-
-
 def duck_input(name: str) -> str:
     """The same projection as a DuckDB subquery."""
     source, columns = INPUTS[name]

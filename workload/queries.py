@@ -431,8 +431,8 @@ def dq_reconcile(spark, sf):
     return audit.reconcile_metrics(jma, link.link(jma, usgs))
 
 
-def _dq(spark, sf, since=None):
-    return spark_input(spark, sf, "dq", since).withColumn("ds", F.coalesce("dataset", F.lit("usgs")))
+def _dq(spark, sf):
+    return spark_input(spark, sf, "dq").withColumn("ds", F.coalesce("dataset", F.lit("usgs")))
 
 
 @query
@@ -450,7 +450,7 @@ def dq_runs_newest(spark, sf):
 
 @query
 def failed_checks_recent(spark, sf):
-    return analytics.failed_checks(_dq(spark, sf, NOW_EVENTS - timedelta(days=20)), NOW_EVENTS, 20).withColumn("run_at", F.unix_micros("run_at"))
+    return analytics.failed_checks(_dq(spark, sf), NOW_EVENTS, 20).withColumn("run_at", F.unix_micros("run_at"))
 
 
 @query
@@ -479,8 +479,8 @@ def check_statuses(spark, sf):
 # --- Gold ----------------------------------------------------------------------------------------------
 
 
-def _usgs(spark, sf, since=None):
-    return spark_input(spark, sf, "usgs", since)
+def _usgs(spark, sf):
+    return spark_input(spark, sf, "usgs")
 
 
 MAP_SINCE = NOW_ORDERS - timedelta(days=30)
@@ -493,27 +493,27 @@ def summary_counts(spark, sf):
 
 @query
 def largest_this_month(spark, sf):
-    return gold.largest_this_month(_usgs(spark, sf, datetime(2001, 7, 1)), datetime(2001, 7, 20, 12, tzinfo=timezone.utc))
+    return gold.largest_this_month(_usgs(spark, sf), datetime(2001, 7, 20, 12, tzinfo=timezone.utc))
 
 
 @query
 def recent_quakes(spark, sf):
-    return gold.recent_quakes(_usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
+    return gold.recent_quakes(_usgs(spark, sf), NOW_ORDERS)
 
 
 @query
 def daily_counts(spark, sf):
-    return gold.daily_counts(_usgs(spark, sf, NOW_ORDERS - timedelta(days=91)), NOW_ORDERS)
+    return gold.daily_counts(_usgs(spark, sf), NOW_ORDERS)
 
 
 @query
 def strongest_this_year(spark, sf):
-    return gold.strongest_this_year(_usgs(spark, sf, datetime(2001, 1, 1)), NOW_ORDERS)
+    return gold.strongest_this_year(_usgs(spark, sf), NOW_ORDERS)
 
 
 @query
 def japan_quakes(spark, sf):
-    return gold.japan_quakes(spark_input(spark, sf, "jma", MAP_SINCE), _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
+    return gold.japan_quakes(spark_input(spark, sf, "jma"), _usgs(spark, sf), NOW_ORDERS)
 
 
 @query
@@ -523,7 +523,7 @@ def japan_totals(spark, sf):
 
 @query
 def japan_fallback(spark, sf):
-    return gold.japan_quakes(None, _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
+    return gold.japan_quakes(None, _usgs(spark, sf), NOW_ORDERS)
 
 
 @query
@@ -533,7 +533,7 @@ def newest_felt(spark, sf):
 
 @query
 def strongest_shaking(spark, sf):
-    ranked = gold.strongest_shaking(spark_input(spark, sf, "felt", NOW_EVENTS - timedelta(days=30)), NOW_EVENTS)
+    ranked = gold.strongest_shaking(spark_input(spark, sf, "felt"), NOW_EVENTS)
     return ranked.withColumn("time", F.floor(F.col("time") / 1000))
 
 
@@ -556,18 +556,18 @@ def coverage_percent(spark, sf):
 
 @query
 def per_year(spark, sf):
-    return analytics.per_year(_usgs(spark, sf, datetime(1996, 1, 1)), 1996).withColumn("year", F.col("year").cast("bigint"))
+    return analytics.per_year(_usgs(spark, sf), 1996).withColumn("year", F.col("year").cast("bigint"))
 
 
 @query
 def strongest_near(spark, sf):
-    top = analytics.strongest_near(_usgs(spark, sf, datetime(1991, 1, 1)), 2001)
+    top = analytics.strongest_near(_usgs(spark, sf), 2001)
     return top.select(us("event_time"), us("time_jst"), "mag", "depth_km", "place")
 
 
 @query
 def recent_events(spark, sf):
-    return analytics.most_recent(_usgs(spark, sf, datetime(2001, 1, 1)), 2001).select(us("event_time"), "mag", "place", us("updated_at"))
+    return analytics.most_recent(_usgs(spark, sf), 2001).select(us("event_time"), "mag", "place", us("updated_at"))
 
 
 @query
@@ -590,12 +590,12 @@ def local_clock(spark, sf):
 
 @query
 def busiest_day(spark, sf):
-    return analytics.busiest_day(gold.daily_counts(_usgs(spark, sf, NOW_ORDERS - timedelta(days=91)), NOW_ORDERS))
+    return analytics.busiest_day(gold.daily_counts(_usgs(spark, sf), NOW_ORDERS))
 
 
 @query
 def largest_shown(spark, sf):
-    quakes = gold.japan_quakes(spark_input(spark, sf, "jma", MAP_SINCE), _usgs(spark, sf, MAP_SINCE), NOW_ORDERS)
+    quakes = gold.japan_quakes(spark_input(spark, sf, "jma"), _usgs(spark, sf), NOW_ORDERS)
     return analytics.largest_shown(quakes)
 
 
@@ -685,11 +685,15 @@ def line_points(spark, sf):
 
 @query
 def line_shapes(spark, sf):
-    """Lines cut at every 700 sequence numbers, as long boundaries would be at 100,000."""
-    merged = lines.merge_steps(spark_input(spark, sf, "steps"), chunk=700)
-    shapes = lines.assemble_lines(merged, chunk=700)
-    text_of = F.transform("points", lambda p: F.concat(p["lon"].cast("int").cast("string"), F.lit(" "), p["lat"].cast("int").cast("string")))
-    return shapes.select("boundary", "type", "line_no", "part", F.array_join(text_of, ",").alias("points"))
+    """Whole lines: their size, ends and extent, in one row each."""
+    return lines.line_extents(lines.merge_steps(spark_input(spark, sf, "steps"), chunk=700))
+
+
+@query
+def step_rejects(spark, sf):
+    odd = F.col("seq") % 7 == 0
+    steps = spark_input(spark, sf, "steps").withColumn("boundary", F.when(~odd, F.col("boundary")))
+    return lines.step_rejects(steps.withColumn("seq", F.when(F.col("seq") % 5 != 0, F.col("seq"))))
 
 
 @query
@@ -716,6 +720,15 @@ def capped_windows_years(spark, sf):
     return windows.select(F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), "n")
 
 
+@query
+def capped_windows_job(spark, sf):
+    """Ranges of a job that begins and ends within a year."""
+    events = spark_input(spark, sf, "usgs")
+    begin, end = datetime(1995, 3, 14, 15), datetime(2000, 10, 2)
+    windows = incremental.capped_windows(events, "event_time", WINDOW_CAP, start=begin, end=end)
+    return windows.select(F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), "n")
+
+
 @query
 def resume_ranges(spark, sf):
     """Planned ranges that were not finished by an earlier, smaller load of the same start."""
@@ -737,7 +750,7 @@ MARK = datetime(2000, 6, 1, tzinfo=timezone.utc)
 @query
 def incremental_rows(spark, sf):
     begin, end = datetime(2000, 5, 1), datetime(2000, 7, 1)
-    events = spark_input(spark, sf, "usgs", begin, end)
+    events = spark_input(spark, sf, "usgs")
     changed = incremental.changed_since(events, MARK, begin, end, min_mag=2.0)
     return changed.select("event_id", us("event_time"), us("updated_at"), "mag")
 
@@ -751,8 +764,8 @@ def next_mark(spark, sf):
 @query
 def days_to_load(spark, sf):
     """Days between the newest event and a later day, from the state the events give."""
-    newest = table(spark, sf, "events").agg(F.max(F.to_date("ts")).alias("d")).first()["d"]
-    wanted = calendar.days_to_load(spark, newest, date(2024, 2, 20), date(2024, 1, 1))
+    state = table(spark, sf, "events").agg(F.max(F.to_date("ts")).alias("done_until"))
+    wanted = calendar.days_to_load(state, date(2024, 2, 20), date(2024, 1, 1))
     loaded = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("have"))
     days = wanted.join(loaded, "day", "left")
     return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("have", F.lit(0)).alias("have"))
