@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 REQUIRED_CONF = {
@@ -21,6 +25,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, which import its functions by name.
+
+    Not needed where it is installed on every machine or given with ``--py-files``. Spark serves the archive
+    from the driver, so no shared folder is involved; once per session is enough.
+    """
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+    return spark
+
+
 def local_session(cores: int | str = "*", name: str = "seismic_lake", memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     parallel = 8 if cores == "*" else int(cores)

@@ -39,23 +39,31 @@ def decode_page(page: bytes) -> str:
     return page.decode("cp932", "replace")
 
 
-def text_lines(markup: str) -> list[str]:
-    """Lines of a page's text; a tag ends a line."""
-    return html.unescape(TAG.sub("\n", markup)).splitlines()
+def page_text(markup: str) -> str:
+    """Text of a page; a tag ends a line."""
+    return html.unescape(TAG.sub("\n", markup))
 
 
-def _page_rows(key: str, column: str, decode) -> callable:
+# Where Python's splitlines() cuts, with a line break at the very end giving no further line.
+LINE_END = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+
+
+def _page_text(column: str, decode) -> callable:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for ident, page in zip(batch[key], batch[column], strict=True):
-                lines = text_lines(decode(page))
-                yield pd.DataFrame({key: ident, "line_no": range(1, len(lines) + 1), "line": lines}).astype(
-                    {"line": "object"}
-                )
+            texts = [page_text(decode(page)) for page in batch.pop(column)]
+            yield batch.assign(text=pd.Series(texts, index=batch.index, dtype="object"))
 
     return rows
 
 
+def _lines(pages: DataFrame, key: str) -> DataFrame:
+    """(key, line_no, line): pages cut at line ends, outside Python."""
+    body = F.regexp_replace("text", f"({LINE_END})\\z", "")
+    cut = F.when(F.col("text") != "", F.split(body, LINE_END, -1))
+    return pages.select(key, F.posexplode(cut).alias("at", "line")).select(key, (F.col("at") + 1).cast("bigint").alias("line_no"), "line")
+
+
 def read_daily_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Text lines of every page with the day its file is named after."""
     files = (
@@ -65,15 +73,15 @@ def read_daily_lines(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
     )
     named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).substr(1, 8).alias("day"), "content")
-    expand = _page_rows("day", "content", lambda blob: decode_page(gzip.decompress(blob)))
-    return named.mapInPandas(expand, "day string, line_no bigint, line string")
+    expand = _page_text("content", lambda blob: decode_page(gzip.decompress(blob)))
+    return _lines(named.mapInPandas(expand, "day string, text string"), "day")
 
 
 def html_lines(pages: DataFrame, key: str, column: str) -> DataFrame:
     """The same expansion for pages already held as text in a table."""
     kind = pages.schema[key].dataType.simpleString()
-    expand = _page_rows(key, column, lambda markup: markup or "")
-    return pages.select(key, column).mapInPandas(expand, f"{key} {kind}, line_no bigint, line string")
+    expand = _page_text(column, lambda markup: markup or "")
+    return _lines(pages.select(key, column).mapInPandas(expand, f"{key} {kind}, text string"), key)
 
 
 def parse_daily(lines: DataFrame) -> DataFrame:

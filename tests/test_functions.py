@@ -6,7 +6,7 @@ from samples import daily_line, daily_page, utc
 from pyspark.sql import functions as F
 
 from seismic_lake.functions import fixed_width, geo, labels, text, times
-from seismic_lake.sources.daily_pages import decode_page, html_lines, parse_daily, text_lines
+from seismic_lake.sources.daily_pages import decode_page, html_lines, page_text, parse_daily
 from seismic_lake.vocab import JAPAN_BOX, SHINDO_ORDER
 
 
@@ -127,7 +127,7 @@ def test_page_charsets():
 
 
 def test_tags_end_lines_and_entities_are_text():
-    assert text_lines("<p>a<br>b &amp; c</p>&copy;d") == ["", "a", "b & c", "©d"]
+    assert page_text("<p>a<br>b &amp; c</p>&copy;d") == "\na\nb & c\n©d"
 
 
 def test_daily_lines(spark):
@@ -152,3 +152,12 @@ def test_html_lines_of_a_table(spark):
     df = spark.createDataFrame([(1, "<p>a</p><p>b</p>"), (2, None), (3, "")], "id bigint, html string")
     got = html_lines(df, "id", "html").orderBy("id", "line_no").collect()
     assert [tuple(r) for r in got] == [(1, 1, ""), (1, 2, "a"), (1, 3, ""), (1, 4, "b")]
+
+
+def test_lines_end_where_python_ends_them(spark):
+    texts = ["", "\n", "a", "a\n", "a\r\n\n", "a\rb\u2028c\x0bd\x85e\x1cf", "\r\na\n\n\n", None, "<p></p>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, html string")
+    got = {}
+    for r in html_lines(df, "id", "html").orderBy("id", "line_no").collect():
+        got.setdefault(r["id"], []).append(r["line"])
+    assert got == {i: page_text(t or "").splitlines() for i, t in enumerate(texts) if page_text(t or "").splitlines()}

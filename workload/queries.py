@@ -373,8 +373,7 @@ def dq_known_issues(spark, sf):
 
 @query
 def dq_stale_issues(spark, sf):
-    metrics = audit.audit_metrics(spark_input(spark, sf, "faulty"), AUDITED, NOW_ORDERS, _known(spark, sf))
-    return metrics.select(F.explode("stale").alias("s")).select("s.check", "s.event_id")
+    return audit.stale_issues(spark_input(spark, sf, "faulty"), _known(spark, sf), AUDITED).select("check", "event_id")
 
 
 def _audit_results(spark, sf):
