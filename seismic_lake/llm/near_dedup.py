@@ -7,7 +7,7 @@ A document is its set of distinct word shingles; sets with 100 * intersection >=
    union are the maxima of the registers, and equal with a chance close to the sets' likeness.
 2. Documents with one and the same set stand behind one representative.
 3. Bands of ``ROWS`` registers put likely partners into buckets; a pair of likeness 0.8 shares none of the
-   ``REGISTERS / ROWS`` bands with a chance of 5e-8.
+   ``BANDS`` bands with a chance of 1e-5.
 4. In a bucket every member is held against a hub first, not against every other: the hub most of its
    buckets name. Where members stay in different components, other hubs follow while that saves work, and
    then every pair of the bucket that is still in two components is looked at. No candidate is dropped but
@@ -40,11 +40,13 @@ from seismic_lake.llm.common import (
     written,
 )
 
-REGISTERS, ROWS = 128, 4
+ROWS, BANDS = 7, 48  # likeness 0.8 shares a band with a chance of 1 - 1e-5, likeness 0.5 with one of 0.3
+REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 LIKENESS = 80  # percent
 DOUBT = 14.0  # log likelihood a likeness of 0.8 may lie under the best one
-HUB_ROUNDS = 6
+HUB_ROUNDS = 3
+WORTH = 40  # pairs still open for each member of a bucket, over which another hub saves work
 MULTIPLY = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 ADD = mix64(np.arange(1001, REGISTERS + 1001, dtype=np.uint64))
 
@@ -148,7 +150,7 @@ def sketches(documents: DataFrame, size: int) -> DataFrame:
 def _buckets(reps: DataFrame) -> DataFrame:
     """(bucket, rep) for every bucket with company."""
     bands = F.transform(
-        F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)),
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
     )
     members = reps.select("rep", F.explode(bands).alias("bucket"))
@@ -204,23 +206,24 @@ def components(links: DataFrame) -> DataFrame:
     the least one it knows. Least neighbours are aggregates, so a node of any degree is no group.
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
-    while True:
+    while _not_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(least, "u")
-        small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = written(small.where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
-            break
-        state = tuple(now)
     members = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _not_stars(edges: DataFrame) -> bool:
+    """Whether a node hangs on two others, or on one that hangs itself."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return bool(ends.where("hangs > 1 OR hangs > 0 AND holds > 0").limit(1).count())
+
+
 def _labelled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
     """The buckets' members with their components, for the buckets that still hold more than one."""
     if found is None:
@@ -253,7 +256,7 @@ def link(documents: DataFrame, size: int) -> DataFrame:
         open_pairs, members = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
         if not open_pairs:
             break
-        last = turn == HUB_ROUNDS or turn > 0 and open_pairs <= 4 * members
+        last = turn == HUB_ROUNDS or turn > 0 and open_pairs <= WORTH * members
         if last:
             left, right = now.select("bucket", F.col("rep").alias("a"), F.col("component").alias("x")), now.select("bucket", F.col("rep").alias("b"), F.col("component").alias("y"))
             pairs = left.join(right, "bucket").where("a < b AND x <> y").select("a", "b").distinct()
