@@ -73,20 +73,19 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     first of the next range, of which there is one row each.
     """
     ranged = docs.withColumn("_range", id_bucket(docs, "doc_id", 4 * tasks(docs.sparkSession)))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    inside = W.partitionBy("_range").orderBy(*order)
-    value = F.struct(*columns)
-    rows = ranged.withColumn("_next", F.lead(value).over(inside))
-    ids = ranged.groupBy("_range").agg(F.min("doc_id").alias("first_id"))
-    heads = ranged.join(ids, "_range").where(F.col("doc_id").eqNullSafe(F.col("first_id")) | F.col("doc_id").isNull())
-    heads = heads.withColumn("_place", F.row_number().over(inside)).where("_place = 1").select("_range", value.alias("_head"))
+    inside = W.partitionBy("_range").orderBy(F.col("doc_id").asc_nulls_first(), F.col("text"))
+    rows = ranged.withColumns({f"_{c}": F.lead(c).over(inside) for c in columns}).withColumn("_last", F.lead(F.lit(False), 1, True).over(inside))
+    # A number for each range, so that the few first rows are read by their ids.
+    firsts = [r["first_id"] for r in ranged.groupBy("_range").agg(F.min("doc_id").alias("first_id")).collect()]
+    heads = ranged.where(F.col("doc_id").isin([i for i in firsts if i is not None]) | F.col("doc_id").isNull())
+    heads = heads.withColumn("_place", F.row_number().over(inside)).where("_place = 1")
+    heads = heads.select("_range", *[F.col(c).alias(f"_head_{c}") for c in columns])
     around = W.orderBy("_range")  # a row for each range
-    heads = heads.select(
-        "_range",
-        F.coalesce(F.lead("_head").over(around), F.first("_head").over(around.rowsBetween(W.unboundedPreceding, W.currentRow))).alias("_head"),
-    )
-    joined = rows.join(heads, "_range").withColumn("_next", F.coalesce("_next", "_head"))
-    return joined.select(*docs.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
+    opening = around.rowsBetween(W.unboundedPreceding, W.currentRow)
+    heads = heads.select("_range", *[F.coalesce(F.lead(c).over(around), F.first(c).over(opening)).alias(c) for c in heads.columns[1:]])
+    joined = rows.join(heads, "_range")
+    following = [F.when(F.col("_last"), F.col(f"_head_{c}")).otherwise(F.col(f"_{c}")).alias(f"next_{c}") for c in columns]
+    return joined.select(*docs.columns, *following)
 
 
 def fingerprint(documents: DataFrame) -> DataFrame:
