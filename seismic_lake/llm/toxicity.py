@@ -18,7 +18,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -64,6 +64,15 @@ class Lexicon:
             node[""] = term
         # One edit leaves the first two or the last two characters as they are.
         self.heads, self.tails = {t[:2] for t in fuzzy}, {t[-2:] for t in fuzzy}
+        first = self.heads | {t[:2] for t in self.whole | self.stems}
+        self.first, self.last = _pairs(t.encode()[:2] for t in first), _pairs(t.encode()[-2:] for t in self.tails)
+
+    def possible(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Words that can be a hit, by their first and last two bytes; words that begin or end beyond ASCII are let through."""
+        head = data[start].astype(np.int64) << 8 | data[np.minimum(start + 1, end - 1)]
+        tail = data[np.maximum(end - 2, start)].astype(np.int64) << 8 | data[end - 1]
+        beyond = (head & 0x8080 | tail & 0x8080) > 0
+        return (self.first[head] | self.last[tail] | beyond) & (end - start >= 3)
 
     def exact(self, word: str) -> bool:
         return word in self.whole or any(word[:n] in self.stems for n in self.lengths if n < len(word))
@@ -96,6 +105,12 @@ class Lexicon:
         return None
 
 
+def _pairs(two: Iterable[bytes]) -> np.ndarray:
+    out = np.zeros(1 << 16, dtype=bool)
+    out[[p[0] << 8 | p[1] for p in two]] = True
+    return out
+
+
 class Scanner:
     """Weighted hits of texts; what a word is, is kept by its hash."""
 
@@ -111,17 +126,18 @@ class Scanner:
         for _, _, data, offsets in text_blocks(texts):
             lower = ASCII_LOWER[data]
             start, end, at = words(lower, offsets, WORD)
-            unique, first, which = np.unique(word_hashes(lower, start, end), return_index=True, return_inverse=True)
+            can = np.flatnonzero(self.lexicon.possible(lower, start, end))
+            unique, first, which = np.unique(word_hashes(lower, start[can], end[can]), return_index=True, return_inverse=True)
             if len(self.known) > MEMO:
                 self.known = {}
             flags = np.zeros(len(unique), dtype=bool)
-            for k, (h, i) in enumerate(zip(unique.tolist(), first.tolist(), strict=True)):
+            for k, (h, i) in enumerate(zip(unique.tolist(), can[first].tolist(), strict=True)):
                 hit = self.known.get(h)
                 if hit is None:
                     hit = self.known[h] = self._is_hit(lower[start[i] : end[i]].tobytes())
                 flags[k] = hit
             total = np.zeros(len(offsets) - 1)
-            for i in np.flatnonzero(flags[which]).tolist():
+            for i in can[flags[which]].tolist():
                 k = int(np.searchsorted(at, i, side="right")) - 1
                 total[k] += self._weight(data, start, end, i, at[k], at[k + 1], offsets[k], offsets[k + 1])
             out.append(total)
