@@ -4,7 +4,7 @@ Every byte that a string of ``LENGTH`` bytes covers goes if that string also sta
 same text or another; matches stay inside a text and are judged on the input.
 
 1. Anchors bring possible repeats together. An anchor is a gram of ``GRAMS[0]`` bytes with the least hash
-   in some window of LENGTH bytes; equal windows have the same anchors, and about one position in 170 is
+   in some window of LENGTH bytes; equal windows have the same anchors, and about one position in 137 is
    one. An anchor's region is the stretch of text that all its windows lie in.
 2. Anchors that occur once are done. Regions that are equal, byte for byte, are one class: if a class has
    two members, all its windows repeat, and no text has to move.
@@ -35,14 +35,14 @@ from pyspark.sql import functions as F
 from seismic_lake.llm.common import mix64, prefix_hashes, stretch_hash, text_blocks, written
 
 LENGTH = 400
-GRAMS = (64, 250, 350, LENGTH)  # bytes of an anchor, by level of splitting
+GRAMS = (128, 300, 370, LENGTH)  # bytes of an anchor, by level of splitting
 HOT = 1500  # classes of an anchor that one shard takes
 SHARD_BYTES = 512 << 10  # of regions, on average
 BLOCK_BYTES = 1 << 20  # of a suffix array
 STRIP = 256
-TEXT_BYTES = 2 << 20  # anchors are drawn from so much text at once
+TEXT_BYTES = 1 << 20  # anchors are drawn from so much text at once
 
-REGION = "anchor long, same long, size int, u long, start int"
+REGION = ["anchor", "same", "size", "u", "start"]
 
 
 def sliding_least(x: np.ndarray, w: int) -> np.ndarray:
@@ -303,27 +303,34 @@ def _from_texts(documents: DataFrame) -> DataFrame:
 
 
 def _from_regions(regions: DataFrame, gram: int) -> DataFrame:
-    """The regions (u, start, raw) of hot anchors split by longer grams, with their bytes."""
+    """The regions (anchor, u, start, raw) of hot anchors split by longer grams, without their bytes.
+
+    ``inside`` and ``of`` name the region split: its start and anchor.
+    """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, first = batch.column("u").to_numpy(), batch.column("start").to_numpy()
-            raw = batch.column("raw").to_pylist()
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-            joined = b"".join(raw)
-            anchor, same, start, end = anchors(np.frombuffer(joined, np.uint8), offsets, gram)
-            own = np.searchsorted(offsets, start, side="right") - 1
-            columns = [
-                pa.array(anchor.view(np.int64)),
-                pa.array(same.view(np.int64)),
-                pa.array((end - start).astype(np.int32)),
-                pa.array(u[own]),
-                pa.array((first[own] + start - offsets[own]).astype(np.int32)),
-                pa.array([joined[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "same", "size", "u", "start", "raw"])
-
-    return regions.select("u", "start", "raw").mapInArrow(draw, REGION + ", raw binary")
+            for at in range(0, len(batch), 1000):
+                rows = batch.slice(at, 1000)
+                raw = rows.column("raw").to_pylist()
+                offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+                anchor, same, start, end = anchors(np.frombuffer(b"".join(raw), np.uint8), offsets, gram)
+                own = np.searchsorted(offsets, start, side="right") - 1
+                first = rows.column("start").to_numpy()[own]
+                columns = [
+                    pa.array(anchor.view(np.int64)),
+                    pa.array(same.view(np.int64)),
+                    pa.array((end - start).astype(np.int32)),
+                    pa.array(rows.column("u").to_numpy()[own]),
+                    pa.array((first + start - offsets[own]).astype(np.int32)),
+                    pa.array(first),
+                    pa.array(rows.column("anchor").to_numpy()[own]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[*REGION, "inside", "of"])
+
+    parts = regions.select("anchor", "u", "start", "raw").mapInArrow(draw, "anchor long, same long, size int, u long, start int, inside int, of long")
+    # Regions that overlap have anchors in common.
+    return parts.groupBy(*REGION).agg(F.first("inside").alias("inside"), F.first("of").alias("of"))
 
 
 def _shards(regions: DataFrame) -> DataFrame:
@@ -342,37 +349,41 @@ def _shards(regions: DataFrame) -> DataFrame:
 def _texts_of(documents: DataFrame, rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """``rows`` (.., u, start, size) with the bytes of their regions."""
     wanted = rows.join(numbers.select("u", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "u")
-    lists = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "u", "start", "size")).alias("regions"))  # of one text
+    lists = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "u", "start", "size", "hot")).alias("regions"))  # of one text
     texts = documents.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), F.encode("text", "UTF-8").alias("bytes"))
     texts = texts.where(F.length("bytes") >= LENGTH)
+    # Rows that repeat a doc_id and its text bring one region more than once; laying out makes them one.
     found = texts.join(lists, texts["id"].eqNullSafe(lists["id"]) & (texts["key"] == lists["key"])).select("bytes", F.explode("regions").alias("r"))
     cut = F.substring("bytes", F.col("r.start") + 1, F.col("r.size"))
-    return found.select("r.anchor", "r.u", "r.start", cut.alias("raw")).dropDuplicates(["anchor", "u", "start"])
+    return found.select("r.anchor", "r.u", "r.start", "r.hot", cut.alias("raw"))
 
 
 def spans(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, spans): repeated stretches of bytes of each distinct row that has any."""
     numbers = written(_from_texts(documents), "anchors")
     found = numbers.select(F.explode(F.arrays_zip("anchor", "same", "size", "start")).alias("a"), "u").select("a.*", "u")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    regions = found.join(often, "anchor", "left_semi")
+    found = found.withColumns({"inside": F.lit(0), "of": F.lit(0).cast("long")})
     out: list[DataFrame] = []
+    hot = None
     for level, gram in enumerate(GRAMS):
         if level:
-            regions = _from_regions(hot, gram).dropDuplicates(["anchor", "same", "u", "start"])  # noqa: F821
-        regions = written(regions, "regions")
-        first = F.min(F.struct("u", "start")).alias("first")
+            found = written(_from_regions(hot, gram), "splits")
+        often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+        regions = written(found.join(often, "anchor", "left_semi"), "regions")
+        first = F.min(F.struct("u", "start", "inside", "of")).alias("first")
         classes = written(regions.groupBy("anchor", "same", "size").agg(F.count("*").alias("n"), first), "classes")
         several = classes.where(f"n > 1 AND size >= {LENGTH}").select("anchor", "same", "size")
         out.append(regions.join(several, ["anchor", "same", "size"], "left_semi").select("u", "start", (F.col("start") + F.col("size")).alias("end")))
-        kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-        one = classes.join(kinds, "anchor").select("anchor", "first.u", "first.start", "size", (F.col("kinds") > HOT).alias("hot"))
         if level == len(GRAMS) - 1:
             break  # a class is a window here; what has one member is not repeated
-        if not level:
-            one = _texts_of(documents, one, numbers).join(kinds.select("anchor", (F.col("kinds") > HOT).alias("hot")), "anchor")
+        kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        one = classes.join(kinds, "anchor").select("anchor", "first.*", "size", (F.col("kinds") > HOT).alias("hot"))
+        if level:
+            held = hot.select(F.col("anchor").alias("of"), "u", F.col("start").alias("inside"), F.col("raw").alias("whole"))
+            one = one.join(held, ["of", "u", "inside"])
+            one = one.withColumn("raw", F.substring("whole", F.col("start") - F.col("inside") + 1, F.col("size")))
         else:
-            one = one.join(regions.select("anchor", "u", "start", "size", "raw"), ["anchor", "u", "start", "size"])
+            one = _texts_of(documents, one, numbers)
         one = written(one.select("anchor", "u", "start", "raw", "hot"), "one-of-each")
         out.append(_shards(one.where("NOT hot")))
         hot = one.where("hot")
