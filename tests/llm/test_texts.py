@@ -18,7 +18,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def test_license_labels(spark, docs_of):
     texts = {
-        "Released under the MIT License.": ("mit", "mit", 1, 2),
+        "Released under the MIT License.": ("mit", "mit", 1, 3),
         "Licensed under the Apache License, Version 2.0.": ("apache", "apache,apache-2.0", 1, 3),
         "This work is licensed under the GNU General Public License, version 3.": ("gpl", "gpl,gpl-3.0", 1, 7),
         "Licensed under CC BY-NC 4.0.": ("", "cc-by-nc", 0, None),
