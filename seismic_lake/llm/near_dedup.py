@@ -9,9 +9,12 @@ A document is its set of distinct word shingles; sets with 100 * intersection >=
 3. Bands of ``ROWS`` registers put likely partners into buckets; a pair of likeness 0.8 shares none of the
    ``BANDS`` bands with a chance of 1e-5.
 4. In a bucket every member is held against a hub first, not against every other: the hub most of its
-   buckets name. Where members stay in different components, other hubs follow while that saves work, and
-   then every pair of the bucket that is still in two components is looked at. No candidate is dropped but
-   by the likelihood of its registers (1e-7 odds against a likeness of 0.8) or by its exact sets.
+   buckets name. Where members stay in different components, other hubs follow while that saves work. Then
+   buckets with at most ``WORTH`` members outside their largest component have all pairs between components
+   looked at. The members of the others, say texts of one template, meet by exact prefixes instead: with
+   shingles in one order, common ones last, two linked sets share one of their first few. What still is a
+   large group is dealt to blocks. No candidate is dropped but by the likelihood of its registers (1e-7 odds
+   against a likeness of 0.8) or by its exact sets.
 5. Components come from alternating star joins on the verified links.
 
 Words, shingles and links follow the caller's number of words. NULL and blank texts have the empty set and
@@ -47,6 +50,8 @@ LIKENESS = 80  # percent
 DOUBT = 14.0  # log likelihood a likeness of 0.8 may lie under the best one
 HUB_ROUNDS = 3
 WORTH = 40  # pairs still open for each member of a bucket, over which another hub saves work
+BLOCK = 512  # members of a group on each side of a block
+CELLS, ORDER_ROWS = 1 << 20, 20_000  # counts that put common shingles last, and about how many sets are counted
 MULTIPLY = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 ADD = mix64(np.arange(1001, REGISTERS + 1001, dtype=np.uint64))
 
@@ -158,6 +163,113 @@ def _buckets(reps: DataFrame) -> DataFrame:
     return members.join(shared, "bucket", "left_semi")
 
 
+def _size_classes() -> np.ndarray:
+    """The least size of each class: sizes within 5 percent, small ones each by itself."""
+    least = [1]
+    while least[-1] < 1 << 40:
+        least.append(max(least[-1] + 1, least[-1] * 21 // 20))
+    return np.array(least, dtype=np.int64)
+
+
+SIZE_CLASSES = _size_classes()
+
+
+def prefix_keys(shingles: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set and its sides there: any two sets of likeness 0.8 or more have a key in common.
+
+    Shingles are taken in one order for all sets, by the count of their cell and then by hash. Sets of n and m
+    shingles that are linked share c >= 4 (n + m) / 9 of them, hence one of the first n - c + 1 and m - c + 1.
+    A key is such a shingle with the classes of both sizes; the other size is taken at its class's least. Under
+    keys of two classes the smaller sets (side 1) and the greater ones (side 2) meet, else all (side 0).
+    """
+    n = len(shingles)
+    if not n:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int8)
+    shingles = shingles[np.lexsort((shingles, order[(shingles % np.uint64(CELLS)).astype(np.int64)]))]
+    least, most = -(-LIKENESS * n // 100), 100 * n // LIKENESS
+    own, low, high = (int(c) for c in np.searchsorted(SIZE_CLASSES, [n, least, most], side="right") - 1)
+    out, sides = [], []
+    with np.errstate(over="ignore"):
+        for other in range(low, high + 1):
+            both = n + max(least, int(SIZE_CLASSES[other]))
+            common = -(-LIKENESS * both // (100 + LIKENESS))
+            pair = np.uint64(min(own, other) * len(SIZE_CLASSES) + max(own, other) + 1)
+            out.append(mix64(shingles[: max(n - common + 1, 0)] + mix64(np.array([pair], dtype=np.uint64))))
+            sides.append(np.full(len(out[-1]), 0 if own == other else 1 if own < other else 2, dtype=np.int8))
+    return np.concatenate(out), np.concatenate(sides)
+
+
+def _order(members: DataFrame, size: int) -> np.ndarray:
+    """How many shingles fall to each cell, of about ``ORDER_ROWS`` sets. Any order gives the same links."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column("text")):
+                for s in shingle_hashes(data, offsets, size):
+                    total[(s % np.uint64(CELLS)).astype(np.int64)] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    share = min(1.0, ORDER_ROWS / max(members.count(), 1))
+    drawn = members.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int((1 << 30) * share)).select("text")
+    found = drawn.mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CELLS, dtype=np.int32)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _prefixes(members: DataFrame, size: int) -> DataFrame:
+    """(bucket, side, rep, component) for each prefix key of the members (rep, component, text)."""
+    order = _order(members, size)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_blocks(batch.column("text")):
+                found = [prefix_keys(s, order) for s in shingle_hashes(data, offsets, size)]
+                row = pa.array(np.repeat(np.arange(first, end), [len(k) for k, _ in found]))
+                bucket = pa.array(np.concatenate([k for k, _ in found]).view(np.int64))
+                side = pa.array(np.concatenate([s for _, s in found]))
+                columns = [bucket, side, batch.column("rep").take(row), batch.column("component").take(row)]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "side", "rep", "component"])
+
+    return members.select("rep", "component", "text").mapInArrow(keys, "bucket long, side byte, rep long, component long")
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """Of each bucket with several components: its members (of side 1, of side 2), pairs within components, largest component, members outside it."""
+    count = lambda side: F.count_if(F.col("side") == side)
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), count(1).alias("low"), count(2).alias("high"))
+    sizes = sizes.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max(F.struct("n", "component")).alias("m")
+    )
+    met = sizes.where("m.n < n AND (low + high = 0 OR low > 0 AND high > 0)")
+    return met.select("bucket", "n", "low", "high", "own", F.col("m.component").alias("most"), (F.col("n") - F.col("m.n")).alias("few"))
+
+
+def _crossing(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs (a, b) of two components that meet in one of the groups.
+
+    Members outside the largest component are held against all they meet, and each group is cut into blocks on
+    both sides: a row of the join is a pair of two components, but for those of the lesser components, and no
+    key has more than about ``BLOCK`` rows a side.
+    """
+    placed = members.join(groups.select("bucket", "most", "few", "n", "low", "high"), "bucket")
+    size = lambda zero, one, two: F.when(F.col("side") == 0, F.col(zero)).when(F.col("side") == 1, F.col(one)).otherwise(F.col(two))
+    placed = placed.withColumns({"here": size("n", "low", "high"), "there": size("n", "high", "low")})
+    cuts = lambda n: F.ceil(n / BLOCK).cast("int")
+    part = lambda seed, n: F.pmod(F.xxhash64("rep", F.lit(seed)), cuts(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), cuts(n) - 1))
+    few = lambda n: F.least(F.col("few"), F.col(n))
+    other = F.when(F.col("side") == 0, 0).otherwise(3 - F.col("side")).cast("int")
+    left = placed.where("component <> most").select(
+        "bucket", F.col("side").cast("int").alias("side"), "most", F.col("rep").alias("a"), F.col("component").alias("x"), part(1, few("here")).alias("i"), every(F.col("there")).alias("j")
+    )
+    right = placed.select("bucket", other.alias("side"), F.col("rep").alias("b"), F.col("component").alias("y"), part(2, F.col("here")).alias("j"), every(few("there")).alias("i"))
+    met = left.join(right, ["bucket", "side", "i", "j"]).where("x <> y AND (y = most OR a < b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose registers do not rule out a link."""
     side = lambda name: reps.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
@@ -251,15 +363,17 @@ def link(documents: DataFrame, size: int) -> DataFrame:
     links, found, tried = None, None, None
     for turn in range(HUB_ROUNDS + 1):
         now = written(_labelled(buckets, found), "labelled")
-        sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        open_pairs, members = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
+        groups = written(_groups(now.withColumn("side", F.lit(0))), "groups")
+        open_pairs, members, few = groups.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n"), F.max("few")).first()
         if not open_pairs:
             break
         last = turn == HUB_ROUNDS or turn > 0 and open_pairs <= WORTH * members
         if last:
-            left, right = now.select("bucket", F.col("rep").alias("a"), F.col("component").alias("x")), now.select("bucket", F.col("rep").alias("b"), F.col("component").alias("y"))
-            pairs = left.join(right, "bucket").where("a < b AND x <> y").select("a", "b").distinct()
+            pairs = _crossing(now.withColumn("side", F.lit(0)), groups.where(F.col("few") <= WORTH))
+            if few > WORTH:
+                dense = now.join(groups.where(F.col("few") > WORTH), "bucket", "left_semi").select("rep", "component").distinct()
+                keys = written(_prefixes(dense.join(texts, "rep"), size), "prefixes")
+                pairs = pairs.union(_crossing(keys, written(_groups(keys), "groups"))).distinct()
         else:
             order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
             hubs = now.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("rep").alias("hub"), F.col("component").alias("x"))).alias("h"))

@@ -74,3 +74,42 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102)], "a long, b long")
     got = {r["node"]: r["component"] for r in near_dedup.components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_a_template_of_many_is_not_held_pair_by_pair(spark, docs_of, monkeypatch):
+    # 240 texts of one template, likeness 0.74 to each other, and a near copy of every twelfth.
+    rnd = random.Random(8)
+    template = [f"t{i}" for i in range(160)]
+    texts = [" ".join(template + [f"u{k}x{i}" for i in range(24)]) for k in range(240)]
+    texts += [t + " more" for t in texts[::12]]
+    rnd.shuffle(texts)
+    seen, likely = [], near_dedup._likely
+    monkeypatch.setattr(near_dedup, "_likely", lambda pairs, reps: seen.append(pairs.count()) or likely(pairs, reps))
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 1)
+    monkeypatch.setattr(near_dedup, "WORTH", 4)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.link(docs_of(texts), SIZE).collect()}
+    assert got == components_of(texts, SIZE)
+    assert seen[-1] < 100
+
+
+def test_linked_sets_share_a_prefix_key():
+    rnd = np.random.default_rng(9)
+    order = rnd.integers(0, 5, near_dedup.CELLS).astype(np.int32)
+    for n in [*range(1, 40), 99, 100, 450, 1300]:
+        for m in {n, -(-4 * n // 5), (9 * n) // 10 or 1, 5 * n // 4}:
+            common = -(-4 * (n + m) // 9)
+            if common <= min(n, m):
+                pool = rnd.integers(0, 2**63, n + m - common, dtype=np.uint64)
+                a, b = pool[:n], pool[n - common :]
+                assert len(b) == m and np.intersect1d(near_dedup.prefix_keys(a, order)[0], near_dedup.prefix_keys(b, order)[0]).size
+
+
+def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    # Bucket 1: all meet; bucket 2: one component; bucket 3: two sides; bucket 4: one side alone.
+    rows = [(1, 0, i, 0 if i < 10 else i // 2) for i in range(24)] + [(2, 0, 5, 0), (2, 0, 6, 0)]
+    rows += [(3, 1 + i % 2, 100 + i, 100 if i < 5 else 100 + i // 3) for i in range(20)] + [(4, 1, 200 + i, 200 + i) for i in range(9)]
+    members = spark.createDataFrame(rows, "bucket long, side int, rep long, component long")
+    got = near_dedup._crossing(members, near_dedup._groups(members)).collect()
+    meet = [(a, b) for p, s, a, x in rows for q, t, b, y in rows if p == q and a < b and x != y and (s == 0 or s + t == 3)]
+    assert sorted((r["a"], r["b"]) for r in got) == sorted(meet)
