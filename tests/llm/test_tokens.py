@@ -93,6 +93,21 @@ def test_counts_against_every_split(spark, odd, empty, clashing, docs_of, monkey
     assert token_counts.count(empty, PIECES).count() == 0 and token_counts.count(clashing, PIECES).count() == 6
 
 
+def test_long_pretokens_are_not_kept(monkeypatch):
+    scores, longest = token_counts.vocabulary(PIECES)
+    rnd = random.Random(12)
+    trie = token_counts.Trie(scores, longest)
+    for size in (token_counts.LONG - 1, token_counts.LONG, 3000):
+        word = token_counts.MARK + "".join(rnd.choice(["the", "ing", "q", "漢", "1"]) for _ in range(size))[:size]
+        assert trie.best(word) == best_split(word, scores) == trie.best(word)
+    assert len(trie.nodes) + len(trie.words) <= 2 * token_counts.LONG
+    monkeypatch.setattr(token_counts, "NODES", 200)
+    for _ in range(300):  # the words of one text
+        word = token_counts.MARK + sentence(rnd, 1)
+        assert trie.best(word) == best_split(word, scores)
+        assert len(trie.nodes) + len(trie.words) <= 200 + token_counts.LONG + 1
+
+
 def valid(patterns, counts, capacity):
     placed = Counter()
     for times, content in patterns:
