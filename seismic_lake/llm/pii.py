@@ -4,7 +4,8 @@ Base detectors read the text as it is. A second pass reads it through transducer
 remember where each character came from: look-alike and full-width characters become ASCII, invisible
 ones go, "[at]" or " at ... dot " become the signs, runs of spelled digits become digits. Identifiers
 found there that hold a changed character are mapped back to source positions and added, unless a base
-span of their kind holds them already. Texts that no transducer changes skip the pass.
+span of their kind holds them already. The transducers' own patterns are looked for in every text; only texts
+that none of them changes skip the second pass.
 
 Positions are code points, end exclusive. NULL and empty texts have no spans; repeated rows are read each
 by itself; other columns, whatever their names, pass through :func:`redact` untouched except ``n_chars``,
@@ -122,16 +123,18 @@ def _fold(char: str) -> str:
     return plain if plain.isascii() and len(plain) <= 1 else char
 
 
-def _folded(tape: Tape) -> list[tuple[int, int, str]]:
-    return [(i, i + 1, new) for i, c in enumerate(tape.text) if (c > "ɏ" or c == "­") and (new := _fold(c)) != c]
+def _folded(text: str) -> list[tuple[int, int, str]]:
+    if text.isascii() or max(text) <= "ɏ" and "\u00ad" not in text:
+        return []
+    return [(i, i + 1, new) for i, c in enumerate(text) if (c > "ɏ" or c == "­") and (new := _fold(c)) != c]
 
 
-def _spelled(tape: Tape) -> list[tuple[int, int, str]]:
+def _spelled(text: str) -> list[tuple[int, int, str]]:
     """Runs of spelled digits; a sign stands for its word, blanks between digits go."""
     edits = []
-    for run in RUN.finditer(tape.text):
+    for run in RUN.finditer(text):
         at = run.start()
-        for word in SPELLED.finditer(tape.text, run.start(), run.end()):
+        for word in SPELLED.finditer(text, run.start(), run.end()):
             name = word[0].lower()
             sign = DIGITS.get(name) or {"plus": "+", "dash": "-"}.get(name, ".")
             edits.append((at, word.end(), sign))
@@ -139,30 +142,24 @@ def _spelled(tape: Tape) -> list[tuple[int, int, str]]:
     return edits
 
 
-def _signs(tape: Tape) -> list[tuple[int, int, str]]:
+def _signs(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    for m in DISGUISED.finditer(tape.text):
+    for m in DISGUISED.finditer(text):
         if m["at"] != "@":
             edits.append((*m.span("at"), "@"))
-        edits += [(*d.span(), ".") for d in DOT_SIGN.finditer(tape.text, *m.span("domain"))]
+        edits += [(*d.span(), ".") for d in DOT_SIGN.finditer(text, *m.span("domain"))]
     return edits
 
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
     """Spans of disguised identifiers, in the source."""
-    lower = text.lower()
-    steps = []
-    if not text.isascii() and (max(text) > "ɏ" or "­" in text):
-        steps.append(_folded)
-    if steps or sum(lower.count(w) for w in DIGITS) >= 7:
-        steps.append(_spelled)
-    if steps or any(s in lower for s in (" dot ", " punkt ", "at)", "at]", "at}", "at>", "dot)", "dot]", "dot}", "dot>", "@ ", " @", "(@", "[@")):
-        steps.append(_signs)
-    if not steps:
+    tape = None
+    for step in (_folded, _spelled, _signs):
+        if edits := step(tape.text if tape else text):
+            tape = tape or Tape(text)
+            tape.rewrite(edits)
+    if tape is None:
         return {}
-    tape = Tape(text)
-    for step in steps:
-        tape.rewrite(step(tape))
     if not any(tape.changed) and len(tape.text) == len(text):
         return {}
     out = {}

@@ -206,6 +206,18 @@ def test_disguises_map_back_to_the_source():
         assert not any(pii.find(clean)[1].values()) and pii.redacted(clean) == clean
 
 
+def test_disguises_are_found_whatever_else_a_text_holds():
+    cases = {
+        "email": ["john ( at ) example.com", "john [ at ] example.org", "john@example(punkt)de", "john at example[point]com", "john{at\t}example{ dot }com", "john @ Punkt"],
+        "ip": ["one dot two dot three dot four", "one dot two dot three dot four five", "One point two point three point four"],
+    }
+    for kind, texts in cases.items():
+        for text in texts:
+            alone, beside = (pii.find(f"by {text} now{more}")[1] for more in ("", " \u2019"))
+            assert alone == beside
+            assert [f"by {text} now"[a:b] for a, b in alone[kind]] == ([] if text.endswith("@ Punkt") else [text]), text
+
+
 def test_long_runs_are_linear():
     for text in ("9" * 300_000, "a@" * 100_000, "1." * 100_000, "+1" * 100_000, "a" * 300_000 + "@"):
         pii.find(text)
