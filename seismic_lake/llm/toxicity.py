@@ -2,8 +2,9 @@
 
 ``fit`` learns from labelled rows: words and word stems that occur in toxic texts and hardly in clean ones
 (exact copies of a text count once) become the lexicon; a logistic curve turns a document's hits into a
-score. ``score`` intersects a Levenshtein automaton of each word met with the trie of the lexicon, so
-one edit away from a longer term still is a hit if such variants did not show up in clean training texts.
+score. ``score`` intersects a Levenshtein automaton of each word met with the trie of the lexicon, so a word
+one edit away from a longer term, or one that begins one edit away from a longer stem, still is a hit. Only the
+very words of clean training texts are excepted.
 A hit counts less where the words around it mark a quotation: quotation marks on both sides within the
 window, or a reporting word close before it.
 
@@ -46,6 +47,7 @@ class Model:
     terms: list[tuple[str, bool, bool]] = field(default_factory=list)  # text, whole word (or stem), misspellings count
     intercept: float = -30.0
     slope: float = 0.0
+    spared: frozenset[str] = frozenset()  # words of clean texts that are no misspellings
 
 
 class Lexicon:
@@ -56,39 +58,44 @@ class Lexicon:
         self.stems = {t for t, whole, _ in terms if not whole}
         self.whole = {t for t, whole, _ in terms if whole}
         self.lengths = sorted({len(t) for t in self.stems})
-        fuzzy = [t for t, whole, loose in terms if whole and loose and len(t) >= FUZZY]
-        for term in fuzzy:
+        fuzzy = [(t, whole) for t, whole, loose in terms if loose and len(t) >= FUZZY]
+        for term, whole in fuzzy:
             node = self.trie
             for char in term:
                 node = node.setdefault(char, {})
-            node[""] = term
-        # One edit leaves the first two or the last two characters as they are.
-        self.heads, self.tails = {t[:2] for t in fuzzy}, {t[-2:] for t in fuzzy}
+            node["$$" if whole else "**"] = {}
+        # One edit leaves the first two or the last two characters as they are; after one in the first two
+        # characters of a stem, its next three are one place off at most.
+        self.heads, self.tails = {t[:2] for t, _ in fuzzy}, {t[-2:] for t, whole in fuzzy if whole}
+        self.next = {t[2:5] for t, whole in fuzzy if not whole}
         first = self.heads | {t[:2] for t in self.whole | self.stems}
         self.first, self.last = _pairs(t.encode()[:2] for t in first), _pairs(t.encode()[-2:] for t in self.tails)
+        self.inner = _pairs(t.encode()[:2] for t in self.next)
 
     def possible(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Words that can be a hit, by their first and last two bytes; words that begin or end beyond ASCII are let through."""
+        """Words that can be a hit, by their first, next and last two bytes; words that begin or end beyond ASCII are let through."""
         head = data[start].astype(np.int64) << 8 | data[np.minimum(start + 1, end - 1)]
         tail = data[np.maximum(end - 2, start)].astype(np.int64) << 8 | data[end - 1]
-        beyond = (head & 0x8080 | tail & 0x8080) > 0
-        return (self.first[head] | self.last[tail] | beyond) & (end - start >= 3)
+        at = [data[np.minimum(start + k, end - 1)].astype(np.int64) for k in range(1, 5)]
+        beyond = (head | tail | at[1] | at[2] | at[3]) & 0x8080 > 0
+        inner = np.any([self.inner[a << 8 | b] for a, b in zip(at, at[1:], strict=False)], axis=0)
+        return (self.first[head] | self.last[tail] | inner | beyond) & (end - start >= 3)
 
     def exact(self, word: str) -> bool:
         return word in self.whole or any(word[:n] in self.stems for n in self.lengths if n < len(word))
 
-    def near(self, word: str) -> str | None:
-        """A term one edit away: states are (characters of the word read, edits made)."""
-        if word[:2] not in self.heads and word[-2:] not in self.tails:
-            return None
+    def near(self, word: str) -> bool:
+        """Whether a term, or a stem as its beginning, is at most one edit away: states are (characters of the word read, edits made)."""
+        if word[:2] not in self.heads and word[-2:] not in self.tails and self.next.isdisjoint((word[1:4], word[2:5], word[3:6])):
+            return False
         n = len(word)
         open_ = [(self.trie, frozenset({(0, 0), (1, 1)}))]
         while open_:
             node, states = open_.pop()
-            if "" in node and any(n - i + e <= 1 for i, e in states):
-                return node[""]
+            if "**" in node or "$$" in node and any(n - i + e <= 1 for i, e in states):
+                return True
             for char, child in node.items():
-                if not char:
+                if len(char) > 1:
                     continue
                 after = set()
                 for i, e in states:
@@ -102,7 +109,7 @@ class Lexicon:
                             after.add((i + 2, 1))  # the word has one more
                 if after:
                     open_.append((child, frozenset(after)))
-        return None
+        return False
 
 
 def _pairs(two: Iterable[bytes]) -> np.ndarray:
@@ -114,12 +121,12 @@ def _pairs(two: Iterable[bytes]) -> np.ndarray:
 class Scanner:
     """Weighted hits of texts; what a word is, is kept by its hash."""
 
-    def __init__(self, terms: list[tuple[str, bool, bool]]) -> None:
-        self.lexicon, self.known = Lexicon(terms), {}
+    def __init__(self, terms: list[tuple[str, bool, bool]], spared: frozenset[str] = frozenset()) -> None:
+        self.lexicon, self.spared, self.known = Lexicon(terms), spared, {}
 
     def _is_hit(self, word: bytes) -> bool:
         text = word.decode(errors="replace").lower()
-        return 3 <= len(text) <= 40 and (self.lexicon.exact(text) or self.lexicon.near(text) is not None)
+        return 3 <= len(text) <= 40 and (self.lexicon.exact(text) or text not in self.spared and self.lexicon.near(text))
 
     def weights(self, texts: pa.Array) -> np.ndarray:
         out = []
@@ -199,7 +206,7 @@ def terms(found: list[tuple[str, int, int]]) -> list[tuple[str, bool, bool]]:
         own = whole[bisect.bisect_left(whole, stem) : bisect.bisect_left(whole, stem + "\U0010ffff")]
         if max((texts[w + "$"] for w in own), default=0) < 0.8 * texts[stem]:
             stems.add(stem)
-            out.append((stem, False, False))
+            out.append((stem, False, True))
     covered = {w for w in whole if any(w[:n] in stems for n in range(STEM[0], len(w)))}
     return out + [(w, True, True) for w in whole if w not in covered]
 
@@ -210,21 +217,20 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mode
         chosen = terms(lexicon(train))
         if not chosen:
             return Model()
-        # Misspellings of a term are left out if they are words of clean texts.
-        loose = Lexicon(chosen)
+        # A word of clean texts is no misspelling; other misspellings of the same term are.
+        lexicon_ = Lexicon(chosen)
         clean = train.where("toxic = 0").select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("w"))
 
         def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                near = [loose.near(w) for w in batch.column("w").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array([t for t in near if t], pa.string())], names=["term"])
+                near = [w for w in batch.column("w").to_pylist() if 3 <= len(w) <= 40 and not lexicon_.exact(w) and lexicon_.near(w)]
+                yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["w"])
 
-        met = clean.groupBy("w").agg(F.count("*").alias("n")).select("w").mapInArrow(variants, "term string")
-        strict = {r["term"] for r in met.groupBy("term").agg(F.count("*").alias("n")).collect()}  # at most LEXICON
-        chosen = [(t, whole, whole and t not in strict) for t, whole, _ in chosen]
+        met = clean.distinct().mapInArrow(variants, "w string")
+        spared = frozenset(r["w"] for r in met.collect())  # words of at most TRAIN_ROWS texts, an edit from a term
 
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scanner = Scanner(chosen)
+            scanner = Scanner(chosen, spared)
             for batch in batches:
                 weight = pa.array(scanner.weights(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([weight, batch.column("toxic").cast(pa.int32())], names=["weight", "toxic"])
@@ -235,7 +241,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mode
         y = np.array([r["toxic"] for r in rows_], dtype=float)
         n = np.array([r["n"] for r in rows_], dtype=float)
         intercept, slope = logistic(x, y, n)
-        return Model(chosen, intercept, slope)
+        return Model(chosen, intercept, slope, spared)
     finally:
         train.unpersist()
 
@@ -263,7 +269,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model.terms)
+        scanner = Scanner(model.terms, model.spared)
         for batch in batches:
             found = scores(scanner.weights(batch.column("text")), model)
             ids = batch.column("doc_id")
@@ -278,7 +284,7 @@ def remove(documents: DataFrame, model: Model) -> DataFrame:
     """The rows below the threshold, all columns as they were."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model.terms)
+        scanner = Scanner(model.terms, model.spared)
         for batch in batches:
             yield batch.filter(pa.array(scores(scanner.weights(batch.column("text")), model) < THRESHOLD))
 

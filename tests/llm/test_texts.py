@@ -149,6 +149,26 @@ def test_toxic_documents_are_found_and_clean_ones_left(spark, tox, docs_of):
     assert {r["doc_id"] for r in toxicity.remove(docs, model).collect()} == {i for i, r in rows.items() if not r["predicted"]}
 
 
+def test_a_clean_variant_excepts_itself_alone(spark, tox, docs_of):
+    # Clean texts quote a term and hold one word an edit away from it.
+    docs, labels = tox
+    more = [i for i in range(9_000, 9_060) if zlib.crc32(str(i).encode()) % 3 != 1]
+    extra = [(i, "p1q grumblework p2q p3q", "en", "src", 1) for i in more[1:]] + [(more[0], "p1q grumblewort p4q", "en", "src", 1)]
+    docs = docs.union(spark.createDataFrame(extra, docs.schema))
+    model = toxicity.fit(docs, labels.union(spark.createDataFrame([(i, 0, 1) for i in more], labels.schema)))
+    hits = toxicity.Scanner(model.terms, model.spared)._is_hit
+    assert hits(b"grumblewort") and hits(b"grumblewrt") and hits(b"snarkfice") and not hits(b"grumblework")
+
+
+def test_edits_within_a_stem():
+    scanner = toxicity.Scanner([("snark", False, True), ("dolt", False, True), ("grumble", True, True)], frozenset({"shark"}))
+    for word, hit in {"snarking": 1, "snrking": 1, "xsnarked": 1, "xnarkish": 1, "snaark": 1, "shark": 0, "sharks": 1, "doltish": 1, "doptish": 0, "grumbel": 0, "grumbl": 1, "narky": 1}.items():
+        assert scanner._is_hit(word.encode()) == bool(hit), word
+        data = toxicity.np.frombuffer(word.encode(), dtype=toxicity.np.uint8)
+        possible = scanner.lexicon.possible(data, toxicity.np.array([0]), toxicity.np.array([len(data)]))[0]
+        assert possible or not hit, word
+
+
 def test_toxicity_odd_rows(spark, tox, odd, empty, clashing):
     model = toxicity.fit(*tox)
     assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(empty, model).count() == 0
