@@ -148,3 +148,10 @@ def id_bucket(docs: DataFrame, key: str, buckets: int) -> Column:
     bounds = docs.agg(F.percentile_approx(key, shares, 100 * buckets).alias("b")).first()["b"]
     bounds = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<bigint>")
     return F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(key))), F.lit(0))
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes in DuckDB, which has none: by its definition, bit by bit."""
+    octets = f"[('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT FOR i IN range(1, octet_length(encode({text})) + 1)]"
+    eight_bits = "list_reduce(range(8), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(c, b))"
+    return f"xor(4294967295::BIGINT, list_reduce({octets}, lambda c, b: {eight_bits}, 4294967295::BIGINT))"

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seismic_lake.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, pii, suffix_dedup, token_counts, token_files, toxicity
+from seismic_lake.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    importance,
+    license_scan,
+    near_dedup,
+    packing,
+    pii,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
+from seismic_lake.llm.common import crc32_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +154,36 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS
         for k in range(1, n + 2)], '') END)) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
+
+
+@query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_importance"] = rf"""
+WITH texts AS (
+    SELECT TRUE AS own, doc_id, row_number() OVER () AS r, text FROM documents
+    UNION ALL SELECT FALSE, NULL, -row_number() OVER (), text FROM benchmark),
+words AS (
+    SELECT own, r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+hashed AS MATERIALIZED (SELECT w, {crc32_sql("w")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM words)),
+found AS (SELECT own, r, bucket FROM words JOIN hashed USING (w)),
+counts AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM found GROUP BY bucket),
+sums AS (SELECT sum(s)::DOUBLE AS n_s, sum(t)::DOUBLE AS n_t FROM counts),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (n_s + 10000) / ((s + 1)::DOUBLE * (n_t + 10000))))::BIGINT AS gain FROM counts, sums),
+weights AS (SELECT r, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM found JOIN gains USING (bucket) WHERE own GROUP BY r),
+scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM texts LEFT JOIN weights USING (r) WHERE own),
+places AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS n_long FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n_long * 10 // 100 THEN place END AS rank FROM places
+"""
