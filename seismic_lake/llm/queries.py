@@ -12,6 +12,7 @@ from seismic_lake.llm import (
     fingerprints,
     importance,
     license_scan,
+    merkle,
     near_dedup,
     packing,
     pii,
@@ -187,3 +188,50 @@ places AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY s
     count(*) FILTER (n_features >= 20) OVER () AS n_long FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n_long * 10 // 100 THEN place END AS rank FROM places
 """
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE texts AS (
+    SELECT *, coalesce({crc32_sql("doc_id::VARCHAR")} % 3 = 0, FALSE) AS tampered FROM documents),
+given AS (
+    SELECT doc_id, lang, concat(
+        coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+        coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head, text,
+        CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed FROM texts),
+leaves AS (
+    SELECT doc_id, lang, leaf, claim, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+    FROM (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(octet_length(encode(claimed)) || ':' || claimed, '-')) AS claim FROM given)),
+nodes AS (
+    SELECT 0 AS depth, lang, i, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT depth + 1, lang, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY depth, lang, i // 8, n),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+    SELECT 0 AS depth, i, n, h FROM subroots
+    UNION ALL
+    SELECT depth + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY depth, i // 8, n),
+sides AS MATERIALIZED (
+    SELECT a.depth, a.lang, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM nodes a JOIN nodes b ON a.depth = b.depth AND a.lang IS NOT DISTINCT FROM b.lang AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY ALL),
+top_sides AS MATERIALIZED (
+    SELECT a.depth, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM tops a JOIN tops b ON a.depth = b.depth AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY ALL),
+up AS (
+    SELECT doc_id, lang, leaf, i AS j, 0 AS depth, i, claim AS h, '' AS proof FROM leaves
+    UNION ALL
+    SELECT doc_id, u.lang, leaf, j, u.depth + 1, u.i // 8, sha256(l || h || r), proof || l || r
+    FROM up u JOIN sides s ON s.depth = u.depth AND s.lang IS NOT DISTINCT FROM u.lang AND s.i = u.i),
+at_top AS (
+    SELECT doc_id, u.lang, leaf, j, s.h AS subroot, 0 AS depth, s.i, u.h, proof
+    FROM (SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY lang, j ORDER BY depth DESC) = 1) u JOIN subroots s ON s.lang IS NOT DISTINCT FROM u.lang
+    UNION ALL
+    SELECT doc_id, lang, leaf, j, subroot, u.depth + 1, u.i // 8, sha256(l || h || r), proof || l || r FROM at_top u JOIN top_sides s ON s.depth = u.depth AND s.i = u.i)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM (SELECT * FROM at_top QUALIFY row_number() OVER (PARTITION BY lang, j ORDER BY depth DESC) = 1), (SELECT h AS root FROM tops WHERE n = 1)
+"""
