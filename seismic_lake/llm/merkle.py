@@ -37,10 +37,18 @@ HEIGHT = 4  # levels between a block's leaves and its root: at most 4,096 leaves
 DIGEST = 32
 PLACE = 33  # bits that Spark gives to a row's place in its partition
 
-BLOCKS = "g string, block long, n int, height int, root binary, nodes binary"
+BLOCKS = "g string, size long, block long, n int, height int, root binary, nodes binary"
 PATHS = "g string, i long, top array<struct<left:string,right:string>>, subroot string"
 BLOCK_TYPE = pa.schema(
-    [("g", pa.string()), ("block", pa.int64()), ("n", pa.int32()), ("height", pa.int32()), ("root", pa.binary()), ("nodes", pa.binary())]
+    [
+        ("g", pa.string()),
+        ("size", pa.int64()),
+        ("block", pa.int64()),
+        ("n", pa.int32()),
+        ("height", pa.int32()),
+        ("root", pa.binary()),
+        ("nodes", pa.binary()),
+    ]
 )
 SIDES = pa.struct([("left", pa.string()), ("right", pa.string())])
 PATH_TYPE = pa.schema([("g", pa.string()), ("i", pa.int64()), ("top", pa.list_(SIDES)), ("subroot", pa.string())])
@@ -132,7 +140,7 @@ def leaf_of(columns: list[Column]) -> Column:
 
 
 def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with ``i``, their place (from 0) in ascending order of ``keys`` (NULL first) within their group ``g``.
+    """``rows`` with ``i``, their place (from 0) in ascending order of ``keys`` (NULL first) within their group ``g``, and its ``size``.
 
     Rows are dealt to ranges of (g, keys), so a group that holds most rows is many ranges; a range's
     rows are counted by group, and the counts of the ranges before it are added.
@@ -144,13 +152,14 @@ def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
     placed = dealt.sortWithinPartitions(*order).drop("row")
     placed = written(placed.withColumns({"part": F.shiftright(place, PLACE), "place": place.bitwiseAND((1 << PLACE) - 1)}), "ranges")
     counted = placed.groupBy("g", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = W.partitionBy("g").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    counted = counted.select("g", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    group = W.partitionBy("g")  # a row for each range that the group has rows in
+    before = F.sum("n").over(group.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    counted = counted.select("g", "part", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"), F.sum("n").over(group).alias("size"))
     return placed.join(counted, ["g", "part"]).withColumn("i", F.col("shift") + F.col("place")).drop("part", "place", "shift")
 
 
-def _blocks(nodes: DataFrame, sizes: DataFrame, height: int) -> DataFrame:
-    """The blocks above ``nodes`` (g, i, leaf); ``sizes`` (g, size) has the number of nodes of each group."""
+def _blocks(nodes: DataFrame, height: int) -> DataFrame:
+    """The blocks above ``nodes`` (g, size, i, leaf), ``size`` being the number of nodes of the group."""
     width = ARITY**height
 
     def block(rows: pa.Table) -> pa.Table:
@@ -158,10 +167,10 @@ def _blocks(nodes: DataFrame, sizes: DataFrame, height: int) -> DataFrame:
         leaves, size = rows.column("leaf").to_pylist(), rows.column("size")[0].as_py()
         levels = height if size > width else height_of(size)
         stored = build_block(leaves, levels)
-        row = {"g": rows.column("g")[:1].to_pylist(), "block": [rows.column("i")[0].as_py() // width], "n": [len(leaves)]}
+        row = {"g": rows.column("g")[:1].to_pylist(), "size": [size], "block": [rows.column("i")[0].as_py() // width], "n": [len(leaves)]}
         return pa.table(row | {"height": [levels], "root": [stored[:DIGEST]], "nodes": [stored]}, schema=BLOCK_TYPE)
 
-    return nodes.join(sizes, "g").groupBy("g", F.floor(F.col("i") / width)).applyInArrow(lambda rows: block(rows), BLOCKS)
+    return nodes.groupBy("g", F.floor(F.col("i") / width)).applyInArrow(lambda rows: block(rows), BLOCKS)
 
 
 def _forest(nodes: DataFrame, height: int) -> list[DataFrame]:
@@ -169,15 +178,14 @@ def _forest(nodes: DataFrame, height: int) -> list[DataFrame]:
 
     A group that fits one block ends there; the roots of the others' blocks are the next level's nodes.
     """
-    sizes = nodes.groupBy("g").agg(F.count("*").alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0] or 0
+    largest = nodes.agg(F.max("size")).first()[0] or 0
     width, levels = ARITY**height, []
     while largest:
-        levels.append(written(_blocks(nodes, sizes, height), "blocks"))
+        levels.append(written(_blocks(nodes, height), "blocks"))
         if largest <= width:
             break
-        sizes = sizes.where(F.col("size") > width).withColumn("size", F.ceil(F.col("size") / width))
-        nodes = levels[-1].select("g", F.col("block").alias("i"), F.col("root").alias("leaf")).join(sizes.select("g"), "g", "left_semi")
+        size = F.ceil(F.col("size") / width).alias("size")
+        nodes = levels[-1].where(F.col("size") > width).select("g", size, F.col("block").alias("i"), F.col("root").alias("leaf"))
         largest = -(-largest // width)
     return levels
 
@@ -215,12 +223,12 @@ def manifest(rows: DataFrame, group: str, order: list[str], leaf: Column, keep:
     columns = {"g": name, "leaf": F.unhex(leaf), **{f"kept_{n}": c for n, c in keep.items()}, **keys}
     hashed = written(rows.select(*[c.alias(n) for n, c in columns.items()]), "leaves")
     placed = written(numbered(hashed, [*keys, "leaf"]).drop(*keys), "placed")
-    groups = _forest(placed.select("g", "i", "leaf"), height)
+    groups = _forest(placed.select("g", "size", "i", "leaf"), height)
     if not groups:
         return Manifest(placed, [], None, [], height)
     tops = _roots(groups).select(F.lit("").alias("g"), F.col("g").alias("name"), F.col("root").alias("leaf"))
     tops = written(numbered(tops, ["name"]), "tops")
-    return Manifest(placed, groups, tops, _forest(tops.select("g", "i", "leaf"), height), height)
+    return Manifest(placed, groups, tops, _forest(tops.select("g", "size", "i", "leaf"), height), height)
 
 
 def _below(blocks: DataFrame, height: int) -> DataFrame:
@@ -275,7 +283,7 @@ def prove(m: Manifest, claim: str | None = None, with_path: bool = False) -> Dat
     start = spark.createDataFrame([("", [], "")], "g string, top array<struct<left:string,right:string>>, subroot string")
     tops = _below(_descend(m.over, start, m.height), m.height).select("i", "top")
     entry = m.tops.join(tops, "i").select(F.col("name").alias("g"), "top", F.lower(F.hex("leaf")).alias("subroot"))
-    blocks = _descend(m.groups, written(entry, "entry"), m.height).withColumnRenamed("block", "b")
+    blocks = _descend(m.groups, written(entry, "entry"), m.height).withColumnRenamed("block", "b").drop("size")
     width = ARITY**m.height
 
     def follow(rows: pa.Table, block: pa.Table) -> pa.Table:
