@@ -9,7 +9,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from seismic_lake.functions.geo import great_circle_km
 from seismic_lake.functions.times import MICROS
@@ -20,11 +19,6 @@ BUCKET_FACTOR = 8
 CELL_FACTOR = 4
 # Rows of one side that meet in one group of a join; a cell with more is dealt to several groups.
 BLOCK_ROWS = 2_000
-# Score digits used for ranking: far finer than any measurement, coarser than the last bits in
-# which two machines' trigonometry may differ, so ties fall the same way everywhere.
-SCORE_DIGITS = 9
-SCORE_UNIT = 10**SCORE_DIGITS
-NUMBERS = 1 << 24  # row numbers inside a group, well above any group's size
 
 
 def _bucket(value: Column, width: float) -> Column:
@@ -36,15 +30,18 @@ def in_blocks(left: DataFrame, right: DataFrame, keys: list[str], rows: int = BL
 
     A key with m * ``rows`` left rows and n * ``rows`` right rows becomes m * n groups (_x, _y): each left row is
     in one _x and every _y, each right row in one _y and every _x, so each pair meets once. Keys with
-    few rows are one group, and keys that one side lacks go. Only counts per key are needed.
+    few rows are one group; only those with more are looked up. Groups go to a fixed number of
+    partitions: a group is few bytes and much work, so they must not be merged by their bytes.
     """
     n_left = left.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias("_m"))
     n_right = right.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias("_n"))
-    groups = n_left.join(n_right, keys)
+    crowded = n_left.join(n_right, keys).where("_m > 1 OR _n > 1")
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def dealt(side: DataFrame, own: str, mine: str, other: str, all_of: str) -> DataFrame:
-        spread = side.join(groups, keys).withColumn(own, F.pmod(F.xxhash64(*side.columns), mine).cast("int"))
-        return spread.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(all_of) - 1))).drop("_m", "_n")
+        spread = side.join(crowded, keys, "left").withColumn(own, F.coalesce(F.pmod(F.xxhash64(*side.columns), mine), F.lit(0)).cast("int"))
+        others = F.sequence(F.lit(0), F.coalesce(F.col(all_of) - 1, F.lit(0)))
+        return spread.withColumn(other, F.explode(others)).drop("_m", "_n").repartition(partitions, *keys, "_x", "_y")
 
     return dealt(left, "_x", "_m", "_y", "_n"), dealt(right, "_y", "_n", "_x", "_m")
 
@@ -124,101 +121,52 @@ class Grid:
 CELL = ["_b", "_i", "_j"]
 
 
-def _own_cell(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
-    return rows.withColumns(
-        {
-            "_b": _bucket(F.col(f"{p}_t"), grid.width),
-            "_i": _bucket(F.col(f"{p}_lat"), grid.lat_step),
-            "_j": F.pmod(_bucket(F.col(f"{p}_lon"), grid.lon_step), F.lit(grid.columns)),
-        }
+def own_cell(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
+    return rows.selectExpr(
+        "*",
+        f"floor({p}_t / {grid.width!r}D) AS _b",
+        f"floor({p}_lat / {grid.lat_step!r}D) AS _i",
+        f"pmod(floor({p}_lon / {grid.lon_step!r}D), {grid.columns}L) AS _j",
     )
 
 
-def _reachable_cells(rows: DataFrame, p: str, grid: Grid) -> DataFrame:
-    """One row per grid cell within tolerance of the row (usually one to three)."""
-    t, lat, lon = F.col(f"{p}_t"), F.col(f"{p}_lat"), F.col(f"{p}_lon")
+def reachable_cells(rows: DataFrame, low: list[str], high: list[str], grid: Grid) -> DataFrame:
+    """One row per grid cell within tolerance of the row (usually one to three).
+
+    ``low`` and ``high`` are the row's bounds in time, latitude and longitude as SQL, equal for a point.
+    """
     radius = grid.tol.km / EARTH_RADIUS_KM
     reach = degrees(radius) * (1 + 1e-9)
     # Meridians converge: the longitude reach grows with latitude and is everything near a pole.
-    lon_reach = F.when(F.abs(lat) + reach >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.lit(radius)) / F.cos(F.radians(lat))))) * (1 + 1e-9)
-    )
-    low_j = _bucket(lon - lon_reach, grid.lon_step)
-    high_j = F.least(_bucket(lon + lon_reach, grid.lon_step), low_j + (grid.columns - 1))
-
-    def span(low: Column, high: Column, width: float) -> Column:
-        return F.explode(F.sequence(_bucket(low, width), _bucket(high, width)))
-
-    return (
-        rows.withColumn("_b", span(t - grid.window, t + grid.window, grid.width))
-        .withColumn("_i", span(lat - reach, lat + reach, grid.lat_step))
-        .withColumn("_j", F.explode(F.sequence(low_j, high_j)))
-        .withColumn("_j", F.pmod(F.col("_j"), F.lit(grid.columns)))
-    )
+    lat = f"greatest(abs({low[1]}), abs({high[1]}))"
+    at_lat = f"degrees(asin(least(1D, sin({radius!r}D) / cos(radians({lat}))))) * {1 + 1e-9!r}D"
+    lon_reach = f"(CASE WHEN {lat} + {reach!r}D >= 90 THEN 180D ELSE {at_lat} END)"
+    first_j = f"floor(({low[2]} - {lon_reach}) / {grid.lon_step!r}D)"
+    last_j = f"least(floor(({high[2]} + {lon_reach}) / {grid.lon_step!r}D), {first_j} + {grid.columns - 1}L)"
 
+    def span(first: str, last: str, margin: float, width: float) -> str:
+        return f"explode(sequence(floor(({first} - {margin!r}D) / {width!r}D), floor(({last} + {margin!r}D) / {width!r}D)))"
 
-def _met(a: DataFrame, b: DataFrame, tol: Tolerance, grid: Grid) -> tuple[DataFrame, DataFrame]:
-    return in_blocks(_own_cell(a, "a", grid), _reachable_cells(b, "b", grid), CELL)
+    columns = rows.columns
+    by_time = rows.selectExpr("*", f"{span(low[0], high[0], float(grid.window), grid.width)} AS _b")
+    by_lat = by_time.selectExpr("*", f"{span(low[1], high[1], reach, grid.lat_step)} AS _i")
+    by_lon = by_lat.selectExpr("*", f"explode(sequence({first_j}, {last_j})) AS _k")
+    return by_lon.selectExpr(*[f"`{c}`" for c in columns], "_b", "_i", f"pmod(_k, {grid.columns}L) AS _j")
 
 
 GROUP = [*CELL, "_x", "_y"]
 
 
-def _within(met_a: DataFrame, met_b: DataFrame, tol: Tolerance) -> DataFrame:
-    """Pairs of the groups within the tolerance, with distance and score."""
-    dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
-    km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
-    pairs = met_a.join(met_b, GROUP).where(dt <= tol.seconds).withColumn("dt", dt).withColumn("km", km)
-    return pairs.where(F.col("km") <= tol.km).withColumn("score", F.col("dt") / F.lit(float(tol.seconds)) + F.col("km") / F.lit(float(tol.km)))
-
-
 def close_pairs(a: DataFrame, b: DataFrame, tol: Tolerance) -> DataFrame:
     """(a_id, b_id, dt, km, score) for slim sides ``a`` and ``b`` within ``tol``.
 
     The score is seconds and kilometres as shares of the tolerance, 0 when equal.
     """
-    return _within(*_met(a, b, tol, Grid(tol)), tol).select("a_id", "b_id", "dt", "km", "score")
-
-
-def _first_at_spot(rows: DataFrame, p: str) -> DataFrame:
-    """Of rows at exactly the same time and place only the smallest id can be a mutual best."""
-    return rows.groupBy(f"{p}_t", f"{p}_lat", f"{p}_lon").agg(F.min(f"{p}_id").alias(f"{p}_id"))
-
-
-def _best(met_a: DataFrame, met_b: DataFrame, tol: Tolerance, side: str) -> DataFrame:
-    """(id, other, dt, km, score): the best partner of every row on ``side`` ('a' or 'b').
-
-    A group's rows on the other side are numbered by id, so a score and its tie-break are one whole
-    number and the least of them is kept by a hash aggregate inside the join's own stage: pairs are
-    neither shuffled nor sorted. What is left is a row for each row and group.
-    """
-    key, other = (f"{side}_id", "b_id" if side == "a" else "a_id")
-    numbered = F.row_number().over(W.partitionBy(*GROUP).orderBy(other)).cast("bigint")
-    sides = [met_a, met_b]
-    sides[side == "a"] = sides[side == "a"].withColumn("_no", numbered)
-    pairs = _within(*sides, tol)
-    rank = F.round(F.col("score") * SCORE_UNIT).cast("bigint")
-    least = pairs.groupBy(*GROUP, key).agg(F.min(rank * NUMBERS + F.col("_no")).alias("_best"))
-    least = least.withColumn("_no", F.pmod("_best", F.lit(NUMBERS))).withColumn("_rank", F.floor(F.col("_best") / NUMBERS))
-    named = least.join(sides[side == "a"].select(*GROUP, "_no", other), [*GROUP, "_no"])
-    return named.groupBy(key).agg(F.min(F.struct("_rank", other)).alias("m")).select(key, f"m.{other}")
-
-
-def mutual_best(left: DataFrame, right: DataFrame, tol: Tolerance | None = None) -> DataFrame:
-    """(a_id, b_id, dt, km, score): pairs in which each record is the other's best candidate.
-
-    Ties go to the smaller id of the other side. A record whose best candidate prefers another
-    stays unlinked. ``left`` and ``right`` need event_id, event_time, latitude, longitude.
-
-    One path for every density: an equality join on grid cells, cells dealt to groups of bounded size by their
-    own counts. Every pair within reach is looked at, however many stand in a cell, spread over all tasks.
-    """
-    tol = tol or Tolerance()
-    a, b = _first_at_spot(slim(left, "a"), "a"), _first_at_spot(slim(right, "b"), "b")
-    met_a, met_b = _met(a, b, tol, Grid(tol))
-    links = _best(met_a, met_b, tol, "a").join(_best(met_a, met_b, tol, "b"), ["a_id", "b_id"])
+    grid = Grid(tol)
+    place = ["b_t", "b_lat", "b_lon"]
+    met_a, met_b = in_blocks(own_cell(a, "a", grid), reachable_cells(b, place, place, grid), CELL)
     dt = F.abs(F.col("a_t") - F.col("b_t")) / F.lit(float(MICROS))
     km = great_circle_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
+    pairs = met_a.join(met_b, GROUP).where(dt <= tol.seconds).withColumn("dt", dt).withColumn("km", km)
     score = F.col("dt") / F.lit(float(tol.seconds)) + F.col("km") / F.lit(float(tol.km))
-    placed = links.join(a, "a_id").join(b, "b_id").withColumn("dt", dt).withColumn("km", km)
-    return placed.select("a_id", "b_id", "dt", "km", score.alias("score"))
+    return pairs.where(F.col("km") <= tol.km).select("a_id", "b_id", "dt", "km", score.alias("score"))

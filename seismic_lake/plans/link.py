@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismic_lake.functions.geo import in_box
-from seismic_lake.operators.proximity import Tolerance, slim, close_pairs, mutual_best
+from seismic_lake.operators.nearest import count_pairs, mutual_best
 from seismic_lake.plans.clean_jma import TABLE as JMA_TABLE
 from seismic_lake.plans.clean_usgs import TABLE as USGS_TABLE
 from seismic_lake.sources.lake import BUILT, PUBLISHED, Build, Lake, MissingInput
@@ -53,16 +53,17 @@ def link(jma: DataFrame, usgs: DataFrame) -> DataFrame:
 def link_summary(jma: DataFrame, usgs: DataFrame, matches: DataFrame) -> DataFrame:
     """One row: candidates on both sides, pairs within tolerance, links.
 
-    Pairs are counted inside the join's stage, never shuffled, and a dense cell's are spread over tasks.
+    Pairs are counted by whole blocks where that can be; none is a row.
     """
     j, u = jma_candidates(jma), usgs_candidates(usgs)
-    pairs = close_pairs(slim(j, "a"), slim(u, "b"), Tolerance())
-    parts = [("jma_candidates", j), ("usgs_candidates", u), ("pairs_considered", pairs), ("matched", matches)]
+    parts = [("jma_candidates", j), ("usgs_candidates", u), ("matched", matches)]
     counted = None
     for name, df in parts:
         one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         counted = one if counted is None else counted.unionByName(one)
-    return counted.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name, _ in parts])
+    counted = counted.unionByName(count_pairs(j, u).select(F.lit("pairs_considered").alias("name"), F.col("pairs").alias("n")))
+    names = ["jma_candidates", "usgs_candidates", "pairs_considered", "matched"]
+    return counted.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in names])
 
 
 def build(lake: Lake, build_id: str, now: datetime, event: str = BUILT) -> Build:

@@ -10,7 +10,8 @@ from samples import utc
 from pyspark.sql import functions as F
 
 from seismic_lake.operators import proximity
-from seismic_lake.operators.proximity import interval_join, mutual_best, slim
+from seismic_lake.operators.nearest import mutual_best
+from seismic_lake.operators.proximity import interval_join, slim
 from seismic_lake.plans.link import link, link_summary
 
 T0 = utc(2016, 4, 15, 16)
