@@ -382,7 +382,8 @@ def _audit_results(spark, sf):
     # Every customer has ten orders: that is the last good row count.
     baseline = table(spark, sf, "customer").count() * 10
     summary = {"raw_rows": baseline, "duplicates_removed": 0, "dropped": {"missing magnitude": baseline // 50}}
-    return audit.table_results(metrics, AUDITED, NOW_ORDERS, AUDITED.thresholds, baseline, summary)
+    results = audit.table_results(metrics, AUDITED, NOW_ORDERS, AUDITED.thresholds, baseline, summary)
+    return results.unionByName(audit.stale_results(audit.stale_issues(faulty, known, AUDITED)))
 
 
 @query
