@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seismic_lake.functions.geo import in_box
@@ -161,7 +162,9 @@ def published_share(runs: DataFrame) -> DataFrame:
 
 
 def newest_first(daily: DataFrame) -> DataFrame:
-    return daily.orderBy(F.col("day").desc())
+    """Days in the order a table shows them, with their ``place``: 1 for the newest. One row a day of the period."""
+    newest = F.row_number().over(W.orderBy(F.col("day").desc()))
+    return daily.withColumn("place", newest.cast("bigint")).orderBy("place")
 
 
 def largest_shown(quakes: DataFrame) -> DataFrame:

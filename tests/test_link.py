@@ -9,7 +9,7 @@ from samples import utc
 
 from pyspark.sql import functions as F
 
-from seismic_lake.operators import proximity
+from seismic_lake.operators import nearest, proximity
 from seismic_lake.operators.nearest import mutual_best
 from seismic_lake.operators.proximity import interval_join, slim
 from seismic_lake.plans.link import link, link_summary
@@ -146,6 +146,50 @@ def test_a_steady_offset_between_agencies_in_a_swarm(spark):
     assert found(mutual_best(events(spark, a), events(spark, b))) == brute_force(a, b)
 
 
+def count_within(left, right):
+    return sum(abs(round(a[1] * 1e6) - round(b[1] * 1e6)) <= 16_000_000 and km(a, b) <= 100 for a in left for b in right)
+
+
+@pytest.mark.parametrize("block,blocks", [(4, 3), (16, 2), (32, 1024)])
+@pytest.mark.parametrize("seconds,degrees,offset", [(4, 0.01, 0), (4, 0.3, 3), (40, 2, 0), (2000, 3, 1)])
+def test_swarms_however_they_are_cut_into_blocks(spark, monkeypatch, block, blocks, seconds, degrees, offset):
+    """Small blocks and groups: a cell is many blocks, and is dealt to several groups."""
+    monkeypatch.setattr(nearest, "BLOCK", block)
+    monkeypatch.setattr(nearest, "BLOCKS", blocks)
+    a, b = swarm(7, 150, seconds, degrees, "a"), swarm(8, 130, seconds, degrees, "b")
+    b = [(i, t + offset, lat + offset * 0.06, lon) for i, t, lat, lon in b] + [(f"{r[0]}x", *r[1:]) for r in b[:20]]
+    left, right = events(spark, a), events(spark, b)
+    assert found(mutual_best(left, right)) == brute_force(a, b)
+    assert nearest.count_pairs(left, right).first()["pairs"] == count_within(a, b)
+
+
+def test_whole_blocks_are_counted_without_their_pairs(spark, monkeypatch):
+    """No pair of spots is looked at where all are within reach of each other."""
+    looked_at = spark.sparkContext.accumulator(0)
+    spot_pairs = nearest._spot_pairs
+
+    def counted(a, b, x, y, tol):
+        looked_at.add(len(x))
+        return spot_pairs(a, b, x, y, tol)
+
+    monkeypatch.setattr(nearest, "_spot_pairs", counted)
+    a, b = events(spark, swarm(1, 2000, 4, 0.01, "a")), events(spark, swarm(2, 1500, 4, 0.01, "b"))
+    assert nearest.count_pairs(a, b).first()["pairs"] == 2000 * 1500
+    assert looked_at.value == 0
+    far = events(spark, swarm(2, 1500, 30, 0.01, "b"))
+    assert nearest.count_pairs(a, far).first()["pairs"] == count_within(swarm(1, 2000, 4, 0.01, "a"), swarm(2, 1500, 30, 0.01, "b"))
+    assert looked_at.value > 0
+
+
+def test_crowded_keys_go_to_a_fixed_number_of_partitions(spark):
+    """Groups are few bytes and much work: they are not merged by their bytes, so each task has some."""
+    a, b = slim(events(spark, swarm(1, 800, 4, 0.01, "a")), "a"), slim(events(spark, swarm(2, 800, 4, 0.01, "b")), "b")
+    left, right = proximity.in_blocks(a.withColumn("k", F.lit(1)), b.withColumn("k", F.lit(1)), ["k"], rows=50)
+    met = left.join(right, ["k", "_x", "_y"]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(met) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in met) < 2 * 800 * 800 / len(met)
+
+
 def test_interval_join_equals_the_naive_join(spark):
     a, b = events(spark, swarm(3, 300, 2000, 1, "a")), events(spark, swarm(4, 300, 2000, 1, "b"))
     left = a.select(F.col("event_id").alias("x"), F.col("event_time").alias("tx"))

@@ -245,6 +245,27 @@ DENSE_B = {
     "year": "CAST(2024 AS INT)",
 }
 
+# Two swarms of four seconds in a fifth of a degree; in the second one the agencies are 3 s and 20 km apart.
+_SWARM_US = "1704067200000000 + (event_id % 2) * 86400000000 + ((event_id * 7919) % 401) * 10000"
+
+
+def _thousandths(n: str) -> str:
+    return f"CAST({n} AS DOUBLE) / CAST(1000 AS DOUBLE)"
+
+
+SWARM_A = {
+    "event_id": "'a-' || event_id",
+    "event_time": f"AT({_SWARM_US})",
+    "latitude": _thousandths("35000 + (event_id * 104729) % 199"),
+    "longitude": _thousandths("140000 + (event_id * 1299709) % 211"),
+}
+SWARM_B = {
+    "event_id": "'b-' || event_id",
+    "event_time": f"AT({_SWARM_US} + (event_id % 2) * 3000000 + ((event_id * 7) % 41 - 20) * 10000)",
+    "latitude": _thousandths("35000 + (event_id * 104729) % 199 + (event_id % 2) * 180 + (event_id * 13) % 5 - 2"),
+    "longitude": _thousandths("140000 + (event_id * 1299709) % 211 + (event_id * 17) % 5 - 2"),
+}
+
 # Orders as a clean table with faults for the audit to find.
 FAULTY = {
     "event_id": "'us' || (CASE WHEN o_orderkey % 1000 = 9 THEN o_orderkey - 1 ELSE o_orderkey END)",
@@ -301,6 +322,8 @@ INPUTS: dict[str, tuple[str, dict[str, str]]] = {
     "jma": ("orders", JMA),
     "dense_a": ("events", DENSE_A),
     "dense_b": ("events", DENSE_B),
+    "swarm_a": ("events", SWARM_A),
+    "swarm_b": ("events", SWARM_B),
     "faulty": ("orders", FAULTY),
     "known": ("supplier", KNOWN),
     "dq": ("events", DQ),

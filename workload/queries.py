@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seismic_lake.functions import fixed_width, geo, labels, text, times
-from seismic_lake.operators import calendar, incremental, lines, neighbours, proximity, revisions, stitch, validation
+from seismic_lake.operators import calendar, incremental, lines, nearest, neighbours, proximity, revisions, stitch, validation
 from seismic_lake.plans import analytics, audit, clean_jma, clean_usgs, gold, link
 from seismic_lake.sources import catalog, daily_pages, feed, raw_events
 from workload.inputs import spark_input, table
@@ -320,6 +320,19 @@ def mutual_best_links(spark, sf):
     )
 
 
+@query
+def swarm_links(spark, sf):
+    """Links where all records stand in two spots, half of them with a steady offset between the agencies."""
+    links = nearest.mutual_best(spark_input(spark, sf, "swarm_a"), spark_input(spark, sf, "swarm_b"))
+    return links.select("a_id", "b_id", F.round("dt", 2).alias("dt"), F.round("km", 3).alias("km"), F.round("score", 6).alias("score"))
+
+
+@query
+def swarm_pairs(spark, sf):
+    """How many pairs those are, none of which is a row."""
+    return nearest.count_pairs(spark_input(spark, sf, "swarm_a"), spark_input(spark, sf, "swarm_b"))
+
+
 @query
 def link_summary(spark, sf):
     a, b = spark_input(spark, sf, "dense_a"), spark_input(spark, sf, "dense_b")
@@ -506,6 +519,12 @@ def daily_counts(spark, sf):
     return gold.daily_counts(_usgs(spark, sf), NOW_ORDERS)
 
 
+@query
+def newest_first(spark, sf):
+    """The days as a table lists them, newest first."""
+    return analytics.newest_first(gold.daily_counts(_usgs(spark, sf), NOW_ORDERS))
+
+
 @query
 def strongest_this_year(spark, sf):
     return gold.strongest_this_year(_usgs(spark, sf), NOW_ORDERS)
