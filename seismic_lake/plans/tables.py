@@ -28,7 +28,12 @@ def _columns(schema: T.StructType) -> str:
 
 
 def register(lake: Lake, event: str = PUBLISHED, database: str = DATABASE) -> list[str]:
-    """Create the tables, or point existing ones at the newest published build."""
+    """Create the tables, or point existing ones at the newest published build.
+
+    A table's folder is all the catalog knows of its files: years are read off the folder names when a query is
+    planned, and pruned as declared partitions are. So moving a table to another build is one change of its
+    location, before which a reader sees the old build and after which the new one, whole.
+    """
     spark = lake.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     made = []
@@ -37,17 +42,13 @@ def register(lake: Lake, event: str = PUBLISHED, database: str = DATABASE) -> li
         if build is None or not path_exists(spark, build.location):
             continue
         full = f"{database}.{name}"
+        if spark.catalog.tableExists(full) and any(c.isPartition for c in spark.catalog.listColumns(full)):
+            spark.sql(f"DROP TABLE {full}")  # made by an earlier version, with its years listed in the catalog; the files stay
         if spark.catalog.tableExists(full):
-            if yearly:
-                for row in spark.sql(f"SHOW PARTITIONS {full}").collect():
-                    spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({row['partition']})")
             spark.sql(f"ALTER TABLE {full} SET LOCATION '{build.location}'")
         else:
             columns = _columns(schema) + (", year int" if yearly else "")
-            by = "PARTITIONED BY (year)" if yearly else ""
-            spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {by} LOCATION '{build.location}'")
-        if yearly:
-            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{build.location}'")
         spark.catalog.refreshTable(full)
         made.append(full)
     history = lake.path(HISTORY)

@@ -126,6 +126,51 @@ def test_a_document_is_one_text_at_any_size(lake, tmp_path):
         assert page["rows"] == [[r["id"], r["name"]] for r in df.collect()] and page["days"] == 30
 
 
+def test_a_set_of_gold_tables_is_of_one_run(lake, tmp_path):
+    def tables_of(n):
+        return {name: gold.GoldTable(lake.spark.range(n).withColumn("run", F.lit(n)), {}) for name in ("one", "two", "three")}
+
+    def seen():
+        return {(name, r["run"]) for name, df in gold_files.read(lake).items() for r in df.select("run").distinct().collect()}
+
+    assert gold_files.read(lake) == {}
+    gold_files.write(tables_of(2), lake, NOW, str(tmp_path / "site"))
+    old = gold_files.read(lake)  # a reader that looked before the next run
+    assert seen() == {("one", 2), ("two", 2), ("three", 2)}
+    half = tables_of(3)
+    half["three"] = gold.GoldTable(lake.spark.range(1).select(F.raise_error(F.lit("stopped")).alias("run")), {})
+    with pytest.raises(Exception, match="stopped"):
+        gold_files.write(half, lake, NOW + days(1), str(tmp_path / "site"))
+    assert seen() == {("one", 2), ("two", 2), ("three", 2)}
+    assert lake.spark.read.parquet(lake.path("gold/one")).count() == 2
+    gold_files.write(tables_of(3), lake, NOW + days(2))
+    assert seen() == {("one", 3), ("two", 3), ("three", 3)} and old["two"].count() == 2
+
+
+def test_moving_a_table_to_the_next_build_is_one_change(lake, monkeypatch):
+    """Between any two statements a reader sees one build, whole, and years are pruned by folder."""
+    spark = lake.spark
+    write_raw(lake, "x", [quake(f"a{i}", days(400 * i)) for i in range(3)])
+    clean_usgs.build(lake, "one", NOW)
+    tables.register(lake, BUILT, "seismic_move")
+    write_raw(lake, "y", [quake(f"b{i}", days(400 * i)) for i in range(4)])
+    clean_usgs.build(lake, "two", NOW + days(1))
+    seen, sql = [], spark.sql
+
+    def watched(text, *args, **more):
+        done = sql(text, *args, **more)
+        seen.append(sql("SELECT count(*) FROM seismic_move.usgs_events").first()[0])
+        return done
+
+    monkeypatch.setattr(spark, "sql", watched)
+    tables.register(lake, BUILT, "seismic_move")
+    monkeypatch.undo()
+    assert set(seen) == {3, 7} and seen == sorted(seen)
+    plan = spark.sql("SELECT mag FROM seismic_move.usgs_events WHERE year >= 2020")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    spark.sql("DROP TABLE seismic_move.usgs_events")
+
+
 def test_no_clean_table_is_an_error(lake):
     with pytest.raises(MissingInput):
         gold.build_tables(lake, NOW)
