@@ -299,3 +299,50 @@ def test_a_new_checkpoint_does_not_overwrite_an_older_log(lake):
         revision_log.stream_events(lake.spark, lake.path("raw/usgs"), lake.path("log"), lake.path(folder)).awaitTermination(120)
     assert lake.spark.read.option("recursiveFileLookup", True).parquet(lake.path("log/revisions")).count() == 6
     assert run_stream(lake).count() == 2
+
+
+def compact_log(lake):
+    return revision_log.compact(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revisions.event_order())
+
+
+def test_reading_the_log_costs_the_base_and_the_batches_after_it(lake):
+    from seismic_lake.sources.raw_events import read_raw_events, type_events
+
+    def files(df):
+        return sorted(f.split("/log/")[1].split("/part-")[0] for f in df.inputFiles())
+
+    for n in range(4):
+        write_raw(lake, f"r{n}", [raw_event(id=i, mag=str(n), updated=iso(utc(2021, 9, 1 + n))) for i in ("a", f"only{n}")] + [raw_event(id="")])
+        got = run_stream(lake)
+        if n in (1, 2):
+            base = compact_log(lake)
+            got = revision_log.current(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revisions.event_order())
+            assert files(got) == [f"base/builds/{base.number}"] and list(base.upto.values()) == [n]
+        rebuilt = revisions.newest_revision(type_events(read_raw_events(lake.spark, lake.path("raw/usgs"))))
+        assert got.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(got).isEmpty()
+        assert revision_log.rejected(lake.spark, lake.path("log")) == n + 1
+    assert [f.split("/")[0] for f in files(got)] == ["base", "revisions"]  # one open batch, of four
+    assert revision_log.drop_folded(lake.spark, lake.path("log")) == 2 * 3 + 1
+    after = revision_log.current(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revisions.event_order())
+    assert after.exceptAll(rebuilt).isEmpty() and after.count() == 5
+
+
+def test_a_folded_batch_that_runs_again_is_not_read_twice(lake):
+    write_raw(lake, "r1", [raw_event(id="a", mag="1"), raw_event(id="")])
+    run_stream(lake)
+    base = compact_log(lake)
+    [(query, batch)] = base.upto.items()
+    again = lake.spark.read.parquet(f"{base.location}")
+    for part, rows in (("revisions", again), ("rejects", lake.spark.range(1).selectExpr("1L AS rejected"))):
+        rows.write.mode("overwrite").parquet(lake.path(f"log/{part}/query={query}/batch={batch}"))
+    assert revision_log.rejected(lake.spark, lake.path("log")) == 1
+    # A batch whose rejects are not written yet is read, but not folded in.
+    again.write.parquet(lake.path(f"log/revisions/query={query}/batch={batch + 1}"))
+    got = revision_log.current(lake.spark, lake.path("log"), USGS_SCHEMA, ["event_id"], revisions.event_order())
+    assert got.count() == 1 and len({f.rsplit("/", 1)[0] for f in got.inputFiles()}) == 2
+    assert compact_log(lake).upto == base.upto
+
+
+def test_an_empty_log_is_an_empty_table(lake):
+    assert revision_log.current(lake.spark, lake.path("none"), USGS_SCHEMA, ["event_id"], revisions.event_order()).count() == 0
+    assert revision_log.rejected(lake.spark, lake.path("none")) == 0
