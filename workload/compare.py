@@ -45,7 +45,6 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
 def main(sf_dir: str, names: list[str]) -> int:
     spark, con = local_session(8), connect(sf_dir)
     spark.sparkContext.setLogLevel("ERROR")
-    spark.sparkContext.setCheckpointDir("/tmp/seismic_lake_checkpoints")
     bad = 0
     for name in names or list(QUERIES):
         try:
