@@ -8,14 +8,13 @@ A document is its set of distinct word shingles; sets with 100 * intersection >=
 2. Documents with one and the same set stand behind one representative.
 3. Bands of ``ROWS`` registers put likely partners into buckets; a pair of likeness 0.8 shares none of the
    ``BANDS`` bands with a chance of 1e-5.
-4. In a bucket every member is held against a hub first, not against every other: the hub most of its
-   buckets name. Where members stay in different components, other hubs follow while that saves work. Then
-   buckets with at most ``WORTH`` members outside their largest component have all pairs between components
-   looked at. The members of the others, say texts of one template, meet by exact prefixes instead: with
-   shingles in one order, common ones last, two linked sets share one of their first few. What still is a
-   large group is dealt to blocks. No candidate is dropped but by the likelihood of its registers (1e-7 odds
-   against a likeness of 0.8) or by its exact sets.
-5. Components come from alternating star joins on the verified links.
+4. Every member is held against one hub: of the members that meet most others, the one most of its buckets
+   name, as a rule the base that its copies were made from.
+5. Members of buckets that still hold several components meet by exact prefixes: with shingles in one order,
+   common ones last, two linked sets share one of their first few, with enough of both sets left from there on
+   to be linked. Large groups of a prefix are dealt to blocks. No candidate is dropped but by the likelihood of
+   its registers (1e-7 odds against a likeness of 0.8) or by its exact sets.
+6. Components come from alternating star joins on the verified links.
 
 Words, shingles and links follow the caller's number of words. NULL and blank texts have the empty set and
 are linked with nothing. Rows that repeat a doc_id share its component; rows without doc_id have none
@@ -48,8 +47,6 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 LIKENESS = 80  # percent
 DOUBT = 14.0  # log likelihood a likeness of 0.8 may lie under the best one
-HUB_ROUNDS = 3
-WORTH = 40  # pairs still open for each member of a bucket, over which another hub saves work
 BLOCK = 512  # members of a group on each side of a block
 CELLS, ORDER_ROWS = 1 << 20, 20_000  # counts that put common shingles last, and about how many sets are counted
 MULTIPLY = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -174,21 +171,22 @@ def _size_classes() -> np.ndarray:
 SIZE_CLASSES = _size_classes()
 
 
-def prefix_keys(shingles: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set and its sides there: any two sets of likeness 0.8 or more have a key in common.
+def prefix_keys(shingles: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a set, its sides there and how many of its shingles are left from each on: any two sets of likeness 0.8 or more have a key in common.
 
     Shingles are taken in one order for all sets, by the count of their cell and then by hash. Sets of n and m
     shingles that are linked share c >= 4 (n + m) / 9 of them, hence one of the first n - c + 1 and m - c + 1.
     A key is such a shingle with the classes of both sizes; the other size is taken at its class's least. Under
-    keys of two classes the smaller sets (side 1) and the greater ones (side 2) meet, else all (side 0).
+    keys of two classes the smaller sets (side 1) and the greater ones (side 2) meet, else all (side 0). At the
+    first shingle in common, c are left of both sets, which is tested with the sets' own sizes where they meet.
     """
     n = len(shingles)
     if not n:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int8)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.int64)
     shingles = shingles[np.lexsort((shingles, order[(shingles % np.uint64(CELLS)).astype(np.int64)]))]
     least, most = -(-LIKENESS * n // 100), 100 * n // LIKENESS
     own, low, high = (int(c) for c in np.searchsorted(SIZE_CLASSES, [n, least, most], side="right") - 1)
-    out, sides = [], []
+    out, sides, left = [], [], []
     with np.errstate(over="ignore"):
         for other in range(low, high + 1):
             both = n + max(least, int(SIZE_CLASSES[other]))
@@ -196,7 +194,8 @@ def prefix_keys(shingles: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np
             pair = np.uint64(min(own, other) * len(SIZE_CLASSES) + max(own, other) + 1)
             out.append(mix64(shingles[: max(n - common + 1, 0)] + mix64(np.array([pair], dtype=np.uint64))))
             sides.append(np.full(len(out[-1]), 0 if own == other else 1 if own < other else 2, dtype=np.int8))
-    return np.concatenate(out), np.concatenate(sides)
+            left.append(n - np.arange(len(out[-1]), dtype=np.int64))
+    return np.concatenate(out), np.concatenate(sides), np.concatenate(left)
 
 
 def _order(members: DataFrame, size: int) -> np.ndarray:
@@ -220,35 +219,37 @@ def _order(members: DataFrame, size: int) -> np.ndarray:
 
 
 def _prefixes(members: DataFrame, size: int) -> DataFrame:
-    """(bucket, side, rep, component) for each prefix key of the members (rep, component, text)."""
+    """(bucket, side, rep, component, size, left) for each prefix key of the members (rep, component, text)."""
     order = _order(members, size)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_blocks(batch.column("text")):
-                found = [prefix_keys(s, order) for s in shingle_hashes(data, offsets, size)]
-                row = pa.array(np.repeat(np.arange(first, end), [len(k) for k, _ in found]))
-                bucket = pa.array(np.concatenate([k for k, _ in found]).view(np.int64))
-                side = pa.array(np.concatenate([s for _, s in found]))
-                columns = [bucket, side, batch.column("rep").take(row), batch.column("component").take(row)]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "side", "rep", "component"])
+                sets = list(shingle_hashes(data, offsets, size))
+                found = [prefix_keys(s, order) for s in sets]
+                many = [len(k) for k, _, _ in found]
+                row = pa.array(np.repeat(np.arange(first, end), many))
+                bucket, side, left = (np.concatenate(parts) for parts in zip(*found, strict=True))
+                sizes = pa.array(np.repeat(np.array([len(s) for s in sets], dtype=np.int64), many))
+                columns = [pa.array(bucket.view(np.int64)), pa.array(side), batch.column("rep").take(row), batch.column("component").take(row), sizes, pa.array(left)]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "side", "rep", "component", "size", "left"])
 
-    return members.select("rep", "component", "text").mapInArrow(keys, "bucket long, side byte, rep long, component long")
+    return members.select("rep", "component", "text").mapInArrow(keys, "bucket long, side byte, rep long, component long, size long, left long")
 
 
 def _groups(members: DataFrame) -> DataFrame:
-    """Of each bucket with several components: its members (of side 1, of side 2), pairs within components, largest component, members outside it."""
+    """Of each bucket with several components: its members (of side 1, of side 2), largest component, members outside it."""
     count = lambda side: F.count_if(F.col("side") == side)
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), count(1).alias("low"), count(2).alias("high"))
     sizes = sizes.groupBy("bucket").agg(
-        F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max(F.struct("n", "component")).alias("m")
+        F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"), F.max(F.struct("n", "component")).alias("m")
     )
     met = sizes.where("m.n < n AND (low + high = 0 OR low > 0 AND high > 0)")
-    return met.select("bucket", "n", "low", "high", "own", F.col("m.component").alias("most"), (F.col("n") - F.col("m.n")).alias("few"))
+    return met.select("bucket", "n", "low", "high", F.col("m.component").alias("most"), (F.col("n") - F.col("m.n")).alias("few"))
 
 
 def _crossing(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """The pairs (a, b) of two components that meet in one of the groups.
+    """The pairs (a, b) of two components that meet in one of the groups and can be linked by what is left of both.
 
     Members outside the largest component are held against all they meet, and each group is cut into blocks on
     both sides: a row of the join is a pair of two components, but for those of the lesser components, and no
@@ -263,10 +264,11 @@ def _crossing(members: DataFrame, groups: DataFrame) -> DataFrame:
     few = lambda n: F.least(F.col("few"), F.col(n))
     other = F.when(F.col("side") == 0, 0).otherwise(3 - F.col("side")).cast("int")
     left = placed.where("component <> most").select(
-        "bucket", F.col("side").cast("int").alias("side"), "most", F.col("rep").alias("a"), F.col("component").alias("x"), part(1, few("here")).alias("i"), every(F.col("there")).alias("j")
+        "bucket", F.col("side").cast("int").alias("side"), "most", F.col("rep").alias("a"), F.col("component").alias("x"), F.col("size").alias("n_a"), F.col("left").alias("left_a"), part(1, few("here")).alias("i"), every(F.col("there")).alias("j")
     )
-    right = placed.select("bucket", other.alias("side"), F.col("rep").alias("b"), F.col("component").alias("y"), part(2, F.col("here")).alias("j"), every(few("there")).alias("i"))
-    met = left.join(right, ["bucket", "side", "i", "j"]).where("x <> y AND (y = most OR a < b)")
+    right = placed.select("bucket", other.alias("side"), F.col("rep").alias("b"), F.col("component").alias("y"), F.col("size").alias("n_b"), F.col("left").alias("left_b"), part(2, F.col("here")).alias("j"), every(few("there")).alias("i"))
+    enough = F.least("left_a", "left_b") * (100 + LIKENESS) >= (F.col("n_a") + F.col("n_b")) * LIKENESS
+    met = left.join(right, ["bucket", "side", "i", "j"]).where(F.expr("x <> y AND (y = most OR a < b)") & enough)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -336,14 +338,25 @@ def _not_stars(edges: DataFrame) -> bool:
     return bool(ends.where("hangs > 1 OR hangs > 0 AND holds > 0").limit(1).count())
 
 
-def _labelled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The buckets' members with their components, for the buckets that still hold more than one."""
-    if found is None:
-        return buckets.withColumn("component", F.col("rep"))
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """A pair (a, b) for each member and its hub: the hub most of its buckets name.
+
+    A bucket names the member that meets most others, counted over all of that member's buckets.
+    """
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"))
+    meets = buckets.join(sizes, "bucket").groupBy("rep").agg((-F.sum("n")).alias("o"))
+    hubs = buckets.join(meets, "rep").groupBy("bucket").agg(F.min(F.struct("o", F.col("rep").alias("hub"))).alias("h"))
+    votes = buckets.join(hubs.select("bucket", "h.hub"), "bucket").where("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("n"))
+    best = votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m"))
+    return best.select(F.least(-F.col("m.h"), "rep").alias("a"), F.greatest(-F.col("m.h"), "rep").alias("b")).distinct()
+
+
+def _open(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, component) of the members of buckets that still hold more than one component."""
     named = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     split = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    return named.join(split, "bucket", "left_semi")
+    return named.join(split, "bucket", "left_semi").select("rep", "component").distinct()
 
 
 def link(documents: DataFrame, size: int) -> DataFrame:
@@ -360,46 +373,17 @@ def link(documents: DataFrame, size: int) -> DataFrame:
     wanted = buckets.select("rep").distinct()
     texts = written(documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi"), "texts")
 
-    links, found, tried = None, None, None
-    for turn in range(HUB_ROUNDS + 1):
-        now = written(_labelled(buckets, found), "labelled")
-        groups = written(_groups(now.withColumn("side", F.lit(0))), "groups")
-        open_pairs, members, few = groups.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n"), F.max("few")).first()
-        if not open_pairs:
-            break
-        last = turn == HUB_ROUNDS or turn > 0 and open_pairs <= WORTH * members
-        if last:
-            pairs = _crossing(now.withColumn("side", F.lit(0)), groups.where(F.col("few") <= WORTH))
-            if few > WORTH:
-                dense = now.join(groups.where(F.col("few") > WORTH), "bucket", "left_semi").select("rep", "component").distinct()
-                keys = written(_prefixes(dense.join(texts, "rep"), size), "prefixes")
-                pairs = pairs.union(_crossing(keys, written(_groups(keys), "groups"))).distinct()
-        else:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-            hubs = now.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("rep").alias("hub"), F.col("component").alias("x"))).alias("h"))
-            held = now.join(hubs.select("bucket", "h.hub", "h.x"), "bucket").where("component <> x")
-            votes = held.groupBy("rep", "hub").agg(F.count("*").alias("n"))
-            best = votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m"))
-            pairs = best.select((-F.col("m.h")).alias("a"), F.col("rep").alias("b")) if turn == 0 else votes.select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(_likely(pairs, reps), "pairs")
-        new = written(_verified(pairs, texts, size), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        if last:
-            if new.limit(1).count():
-                found = components(links)
-            break
-        found = components(links)
-
-    named = reps.select("set_a", "set_b", "rep")
-    if found is not None:
-        named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        named = named.select("set_a", "set_b", F.coalesce("component", "rep").alias("component"))
-    else:
-        named = named.select("set_a", "set_b", F.col("rep").alias("component"))
+    tried = written(_likely(_hubs(buckets), reps), "pairs")
+    links = written(_verified(tried, texts, size), "links")
+    found = components(links)
+    keys = written(_prefixes(_open(buckets, found).join(texts, "rep"), size), "prefixes")
+    pairs = _crossing(keys, written(_groups(keys), "groups")).join(tried, ["a", "b"], "left_anti")
+    more = written(_verified(written(_likely(pairs, reps), "pairs"), texts, size), "links")
+    if more.limit(1).count():
+        found = components(links.union(more))
+
+    named = reps.select("set_a", "set_b", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("set_a", "set_b", F.coalesce("component", "rep").alias("component"))
     alone = drawn.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     linked = with_id.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"])
     rows = linked.select("doc_id", "n_shingles", F.col("component").alias("component_id")).union(alone)
