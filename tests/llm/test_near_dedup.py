@@ -85,8 +85,6 @@ def test_a_template_of_many_is_not_held_pair_by_pair(spark, docs_of, monkeypatch
     rnd.shuffle(texts)
     seen, likely = [], near_dedup._likely
     monkeypatch.setattr(near_dedup, "_likely", lambda pairs, reps: seen.append(pairs.count()) or likely(pairs, reps))
-    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 1)
-    monkeypatch.setattr(near_dedup, "WORTH", 4)
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.link(docs_of(texts), SIZE).collect()}
     assert got == components_of(texts, SIZE)
     assert seen[-1] < 100
@@ -110,6 +108,7 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     rows = [(1, 0, i, 0 if i < 10 else i // 2) for i in range(24)] + [(2, 0, 5, 0), (2, 0, 6, 0)]
     rows += [(3, 1 + i % 2, 100 + i, 100 if i < 5 else 100 + i // 3) for i in range(20)] + [(4, 1, 200 + i, 200 + i) for i in range(9)]
     members = spark.createDataFrame(rows, "bucket long, side int, rep long, component long")
+    members = members.selectExpr("*", "1L AS size", "1L AS left")  # sizes rule nothing out
     got = near_dedup._crossing(members, near_dedup._groups(members)).collect()
     meet = [(a, b) for p, s, a, x in rows for q, t, b, y in rows if p == q and a < b and x != y and (s == 0 or s + t == 3)]
     assert sorted((r["a"], r["b"]) for r in got) == sorted(meet)
