@@ -1,7 +1,8 @@
 """Document fingerprints by one-permutation MinHash, in DataFrame functions alone.
 
 A text's shingles of five words are hashed once; the top seven bits of a hash choose one of 128 bins, and a
-bin keeps its least hash. An empty bin takes the value of a full one drawn by a hash of both bin numbers
+bin keeps its least hash. The last value of each bin is sorted in with the hashes, so every bin begins somewhere
+and is empty if that value is its least one (a hash of that value counts as none). An empty bin takes the value of a full one drawn by a hash of both bin numbers
 (the first full bin along a random order of its own: optimal densification). The lowest eight bits of the bins, packed, are
 the fingerprint. Two fingerprints agree in a bin with chance J + (1 - J) / 256 for likeness J, which the
 estimate corrects for.
@@ -27,8 +28,16 @@ BLANK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+REST = (1 << (64 - BIN_BITS)) - 1
+LAST = [((b - BINS // 2) << (64 - BIN_BITS)) + REST for b in range(BINS)]  # of each bin, in the order of signed numbers
+
+
 def _bin(value: Column) -> Column:
-    return F.shiftrightunsigned(value, 64 - BIN_BITS).cast("int")
+    return F.shiftright(value, 64 - BIN_BITS)
+
+
+def _full(value: Column) -> Column:
+    return value.bitwiseAND(F.lit(REST)) != REST
 
 
 def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -40,18 +49,22 @@ def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
         F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0))),
         lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)]),
     )
-    df = df.withColumn("_hashes", F.sort_array(F.when(F.size(words) > 0, hashes)))  # by bin, least first
+    # Each column below is used more than once by the next: Spark then keeps it a column of its own. One that is used
+    # once inside a lambda would be computed anew for each element.
+    hashes = F.when(F.size(words) > 0, F.concat(hashes, F.array(*[F.lit(v) for v in LAST])))
+    df = df.withColumn("_hashes", F.sort_array(hashes))
     least = F.filter("_hashes", lambda h, i: (i == 0) | (_bin(h) != _bin(F.get("_hashes", i - 1))))
-    df = df.withColumn("_least", least)
-    df = df.withColumn("_full", F.map_from_arrays(F.transform("_least", _bin), "_least"))
+    df = df.withColumn("_least", least)  # of each bin
+    df = df.withColumn("_some", F.filter("_least", _full))
 
     def drawn(b: Column) -> Column:
-        return F.array_min(F.transform("_least", lambda h: F.struct(F.xxhash64(b, _bin(h)).alias("o"), h.alias("h"))))["h"]
+        return F.array_min(F.transform("_some", lambda h: F.struct(F.xxhash64(b, _bin(h)).alias("o"), h.alias("h"))))["h"]
 
-    bins = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.element_at("_full", b), drawn(b)))
+    bins = F.when(F.size("_some") == BINS, F.col("_least"))
+    bins = bins.otherwise(F.transform("_least", lambda h, b: F.when(_full(h), h).otherwise(drawn(b))))
     low = F.transform(bins, lambda h: h.bitwiseAND((1 << LOW_BITS) - 1).cast("smallint"))
     df = df.withColumn(name, F.when(F.col("_least").isNotNull(), low).otherwise(F.array().cast("array<smallint>")))
-    return df.drop("_words", "_hashes", "_least", "_full")
+    return df.drop("_words", "_hashes", "_least", "_some")
 
 
 def packed(signature: Column) -> Column:
