@@ -5,8 +5,10 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from llm_samples import shingle_set, words_of
+from pyspark.sql import functions as F
 
 from seismic_lake.llm import decontaminate, fingerprints, license_scan, pii, toxicity
 
@@ -169,6 +171,81 @@ def test_edits_within_a_stem():
         assert possible or not hit, word
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_against_plain_edit_distance():
+    rnd = random.Random(8)
+
+    def some(least, most):
+        return "".join(rnd.choice("abcé") for _ in range(rnd.randint(least, most)))
+
+    terms = [(some(4, 9), rnd.random() < 0.6, rnd.random() < 0.9) for _ in range(25)]
+    lexicon = toxicity.Lexicon(terms)
+    loose = [(t, whole) for t, whole, fuzzy in terms if fuzzy and len(t) >= toxicity.FUZZY]
+    met = {some(1, 12) for _ in range(4_000)}
+    for term, _ in loose:
+        for i in range(len(term) + 1):
+            met |= {term[:i] + c + term[i:] for c in "ab"} | {term[:i] + term[i + 1 :], term[:i] + "c" + term[i + 1 :], term[:i] + "b" + term[i + 2 :] + "cab"}
+    found = 0
+    for word in met - {""}:
+        ends = range(len(word) + 1)
+        plain = any(edits(t, word) <= 1 if whole else any(edits(t, word[:k]) <= 1 for k in ends if abs(k - len(t)) < 2) for t, whole in loose)
+        assert lexicon.near(word) == plain, word
+        found += plain
+        data = toxicity.np.frombuffer(word.encode(), dtype=toxicity.np.uint8)
+        possible = lexicon.possible(data, toxicity.np.array([0]), toxicity.np.array([len(data)]))[0]
+        assert possible or not (plain or lexicon.exact(word)), word
+    assert 200 < found < len(met)
+
+
+def test_words_are_cut_at_unicode_letters_and_digits():
+    texts = ["“Grumblewort” one’s—two… „drei“ vier_fünf", None, "", "ÀÉ٣ x\u0301 हिन्दी 😀seven", "a" * 5000]
+    got = list(toxicity.word_sets(pa.array(texts)))
+    assert got[0] == {"grumblewort", "one", "s", "two", "drei", "vier", "fünf"}
+    assert got[1] == got[2] == set() and got[3] == {"àé٣", "x\u0301", "हिन्दी", "seven"} and got[4] == {"a" * 5000}
+
+
+@pytest.mark.parametrize(
+    ("text", "weight"),
+    [
+        ("you grumblewort there", 1.0),
+        ("“grumblewort” it was", toxicity.QUOTED),
+        ("a “so grumblewort” it was", toxicity.QUOTED),
+        ("„grumblewort“ it was", toxicity.QUOTED),
+        ("«grumblewort» it was", toxicity.QUOTED),
+        ('so "grumblewort" it was', toxicity.QUOTED),
+        ("“grumblewrt” it was", toxicity.QUOTED),
+        ("“unclosed grumblewort there", 1.0),
+        ("grumblewort’s fault", 1.0),
+        ("you—grumblewort—there", 1.0),
+        ("you grumblewort…", 1.0),
+        ("you grumblewrt…", 1.0),
+        ("it is ab there", 1.0),
+        ("x" * 60 + " fine", 1.0),
+        ("a fine day", 0.0),
+    ],
+)
+def test_marks_around_a_term(text, weight):
+    scanner = toxicity.Scanner([("grumblewort", True, True), ("ab", True, True), ("x" * 60, True, True)])
+    assert scanner.weights(pa.array([text])).tolist() == [weight]
+
+
+def test_a_text_labelled_twice_is_toxic(spark, docs_of):
+    docs = docs_of(["same", "same", "other"])
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = docs.withColumn("doc_id", F.element_at(F.array(*[F.lit(i) for i in ids[:3]]), (F.col("doc_id") + 1).cast("int")))
+    rows = [(ids[0], 0, 1), (ids[1], 1, 1), (ids[2], 0, 1), (ids[2], 1, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int, quality int")
+    assert {(r["text"], r["toxic"]) for r in toxicity.training(docs, labels).collect()} == {("same", 1), ("other", 1)}
+
+
 def test_toxicity_odd_rows(spark, tox, odd, empty, clashing):
     model = toxicity.fit(*tox)
     assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(empty, model).count() == 0
