@@ -181,6 +181,32 @@ def test_whole_blocks_are_counted_without_their_pairs(spark, monkeypatch):
     assert looked_at.value > 0
 
 
+def test_a_crowded_cell_is_neither_counted_nor_searched_block_by_block(spark, monkeypatch):
+    """Tiles wholly within reach are counted as a product; a tile is searched with its neighbours, not with all others."""
+    monkeypatch.setattr(nearest, "BLOCK", 8)
+    monkeypatch.setattr(nearest, "BLOCKS", 16)
+    met, looked_at = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    search, block_pairs = nearest._search, nearest._block_pairs
+
+    def searched(a, b, *rest):
+        met.add(len(a.t0) * len(b.t0))
+        return search(a, b, *rest)
+
+    def paired(a, b):
+        looked_at.add(len(a.t0) * len(b.t0))
+        return block_pairs(a, b)
+
+    monkeypatch.setattr(nearest, "_search", searched)
+    monkeypatch.setattr(nearest, "_block_pairs", paired)
+    a, b = swarm(1, 3000, 4, 0.2, "a"), swarm(2, 3000, 4, 0.2, "b")
+    left, right = events(spark, a), events(spark, b)
+    assert found(mutual_best(left, right)) == brute_force(a, b)
+    assert 0 < met.value < (3000 / 8) ** 2  # in both directions together; all with all are at least as many
+    looked_at.value = 0
+    assert nearest.count_pairs(left, right).first()["pairs"] == 3000 * 3000
+    assert looked_at.value == 0
+
+
 def test_crowded_keys_go_to_a_fixed_number_of_partitions(spark):
     """Groups are few bytes and much work: they are not merged by their bytes, so each task has some."""
     a, b = slim(events(spark, swarm(1, 800, 4, 0.01, "a")), "a"), slim(events(spark, swarm(2, 800, 4, 0.01, "b")), "b")
