@@ -77,3 +77,29 @@ def test_odd_rows(spark, odd, empty, clashing):
     texts = [r["text"] for r in odd.collect()]
     assert Counter((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == Counter(plain(texts))
     assert suffix_dedup.report(empty).count() == 0 and suffix_dedup.report(clashing).count() == 6
+
+
+def test_a_window_is_in_one_region():
+    texts = [t.encode() for t in passages(4) if t and len(t.encode()) >= LENGTH] + [b"abc" * 500]
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    for gram in suffix_dedup.GRAMS:
+        _, _, start, end = suffix_dedup.anchors(data, offsets, gram)
+        windows = [w for a, b in zip(start.tolist(), end.tolist(), strict=True) for w in range(a, b - LENGTH + 1)]
+        inside = [w for a, b in zip(offsets, offsets[1:], strict=False) for w in range(a, b - LENGTH + 1)]
+        assert windows == inside
+
+
+@pytest.mark.parametrize("unit", ["x", "ab", "Retionly "])
+def test_a_run_of_one_unit_is_told_in_its_text(spark, docs_of, unit):
+    """However long the run, it sends a few regions on."""
+    rnd = random.Random(5)
+    head, tail = sentence(rnd, 10), sentence(rnd, 10)
+    sent = {}
+    for n in (2000, 20_000):
+        docs = docs_of([f"{head} {unit * (n // len(unit))} {tail}"]).selectExpr("doc_id", "text", "unhex(md5(text)) AS text_key")
+        (row,) = suffix_dedup._from_texts(docs).collect()
+        sent[n] = len(row["anchor"])
+        ((a, b),) = zip(row["from"], row["to"], strict=True)
+        assert b - a >= n - len(unit) - 1
+    assert sent[2000] == sent[20_000] < 20
