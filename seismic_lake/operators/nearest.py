@@ -134,14 +134,17 @@ class _Met:
         self.a = _blocks(_spots(slim(left, "a"), "a"), grid)
         self.b = reachable_cells(_blocks(_spots(slim(right, "b"), "b"), grid).drop(*CELL), BOX[::2], BOX[1::2], grid)
         count = [side.groupBy(*CELL).agg(F.count("*").alias(n)) for side, n in ((self.a, "m"), (self.b, "n"))]
-        self.crowded = written(count[0].join(count[1], CELL).where(f"greatest(m, n) > {BLOCKS}").select(*CELL), "nearest/crowded")
-        self.any_crowded = not self.crowded.isEmpty()
+        # a swarm reaches into cells where the other side has nothing: they are as crowded, though nothing meets there
+        full = count[0].join(count[1], CELL, "full").where(f"greatest(m, n) > {BLOCKS}")
+        self.full = written(full.selectExpr(*CELL, "m IS NOT NULL AND n IS NOT NULL AS meet"), "nearest/crowded")
+        self.crowded = self.full.where("meet").select(*CELL)
+        self.any_full, self.any_crowded = not self.full.isEmpty(), not self.crowded.isEmpty()
 
     def groups(self) -> DataFrame:
         """(a, b): the blocks of both sides that meet in a cell, those of a cell that is not crowded."""
         block = f"struct({', '.join([*BOX, f'{UNBOUNDED}D AS u', *SPOT])}) AS block"
         a, b = (side.selectExpr(*CELL, f"{of_a} AS of_a", block) for side, of_a in ((self.a, "true"), (self.b, "false")))
-        few = a.unionByName(b).join(self.crowded, CELL, "left_anti") if self.any_crowded else a.unionByName(b)
+        few = a.unionByName(b).join(self.full, CELL, "left_anti") if self.any_full else a.unionByName(b)
         # a fixed number of partitions: groups are few bytes and much work, so they must not be merged by their bytes
         met = few.repartition(_partitions(few), *CELL).groupBy(*CELL)
         sides = met.agg(F.expr("collect_list(if(of_a, block, NULL)) AS a"), F.expr("collect_list(if(of_a, NULL, block)) AS b"))

@@ -207,6 +207,29 @@ def test_a_crowded_cell_is_neither_counted_nor_searched_block_by_block(spark, mo
     assert looked_at.value == 0
 
 
+def test_a_cell_that_only_one_side_crowds_is_not_gathered(spark, monkeypatch):
+    """A swarm on a cell's edge reaches into the next cell, where the other side has nothing: no row holds all its blocks."""
+    monkeypatch.setattr(nearest, "BLOCK", 4)
+    monkeypatch.setattr(nearest, "BLOCKS", 8)
+    gathered, partitions = [], nearest._partitions
+
+    def dealt(df):
+        if "block" in df.columns:
+            gathered.append(df)
+        return partitions(df)
+
+    monkeypatch.setattr(nearest, "_partitions", dealt)
+    edge = -(int(T0.timestamp()) % 128)  # seconds after T0 at which a cell begins
+    a = [(i, t + edge, lat, lon) for i, t, lat, lon in swarm(1, 400, 4, 0.2, "a")]
+    b = [(i, t + edge, lat, lon) for i, t, lat, lon in swarm(2, 400, 4, 0.2, "b")]
+    left, right = events(spark, a), events(spark, b)
+    assert found(mutual_best(left, right)) == brute_force(a, b)
+    assert nearest.count_pairs(left, right).first()["pairs"] == 400 * 400
+    assert nearest.count_pairs(left, events(spark, [(i, t + 3600, *at) for i, t, *at in b])).first()["pairs"] == 0
+    most = [df.groupBy(*proximity.CELL).count().agg(F.max("count")).first()[0] or 0 for df in gathered]
+    assert len(most) == 3 and max(most) <= 2 * 8
+
+
 def test_crowded_keys_go_to_a_fixed_number_of_partitions(spark):
     """Groups are few bytes and much work: they are not merged by their bytes, so each task has some."""
     a, b = slim(events(spark, swarm(1, 800, 4, 0.01, "a")), "a"), slim(events(spark, swarm(2, 800, 4, 0.01, "b")), "b")
