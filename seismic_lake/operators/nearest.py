@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismic_lake.functions.times import MICROS
@@ -34,7 +34,8 @@ BLOCK = 32  # spots of a block
 BLOCKS = 1024  # blocks of one side that meet in one group, and of a tile
 NEAR = 2  # nearest blocks that tell a block how far to look
 CURVE_BITS = 20  # of each of the curve's three coordinates: a cell is cut about a million times each way
-PAIRS = 1 << 20  # pairs looked at together in a task
+PAIRS = 1 << 16  # pairs looked at together in a task: a dozen arrays of that length are held at once
+RUN = 1 << 20  # pairs of blocks whose bounds are drawn in together
 # Scores are ranked by whole billionths: far finer than any measurement, coarser than the last bits in
 # which two machines' trigonometry may differ, so ties fall the same way everywhere.
 SCORE_UNIT = 10**9
@@ -155,16 +156,24 @@ class _Met:
         blocks = (self.a if p == "a" else self.b).join(self.crowded, CELL, "left_semi")
         return blocks.selectExpr(*CELL, f"tile AS {p}_tile", "k", *BOX, *SPOT)
 
-    def tiles(self) -> DataFrame:
-        """(cell, both tiles, their bounds and numbers of records, least and greatest seconds and km): tiles within reach of each other."""
+    def tiles(self, p: str = "", limit: DataFrame | None = None) -> DataFrame:
+        """(cell, both tiles, their bounds and numbers of records, least and greatest seconds and km): tiles within reach of each other.
+
+        ``limit`` has for tiles of side ``p`` the score (_limit) up to which others are near enough. It is known where tiles
+        are paired, so pairs beyond it, whose number grows with the square of a swarm, are neither kept nor shuffled.
+        """
 
         def of(p: str) -> DataFrame:
             bounds = [F.expr(f"{'max' if c.endswith('1') else 'min'}({c}) AS {p}_{c}") for c in BOX]
             return self.side(p).groupBy(*CELL, f"{p}_tile").agg(*bounds, F.expr(f"sum(aggregate(n, 0L, (x, y) -> x + y)) AS {p}_n"))
 
-        a, b = in_blocks(of("a"), of("b"), CELL)
+        sides = {s: of(s) for s in ("a", "b")}
+        if limit is not None:
+            sides[p] = sides[p].join(limit, [c for c in limit.columns if c != "_limit"])
+        a, b = in_blocks(sides["a"], sides["b"], CELL)
         pairs = a.join(b, [*CELL, "_x", "_y"]).selectExpr("*", *[f"{e} AS {c}" for c, e in _bounds("a_", "b_").items()])
-        return pairs.drop("_x", "_y").where(f"dt0 <= {float(self.tol.seconds)!r}D AND km0 <= {self.tol.km + SLACK!r}D")
+        within = pairs.drop("_x", "_y").where(f"dt0 <= {float(self.tol.seconds)!r}D AND km0 <= {self.tol.km + SLACK!r}D")
+        return within if limit is None else within.where(f"{self.score('dt0', 'km0')} <= _limit + {SLACK!r}D").drop("_limit")
 
     def score(self, seconds: str, km: str) -> str:
         return f"({seconds} / {float(self.tol.seconds)!r}D + {km} / {float(self.tol.km)!r}D)"
@@ -207,27 +216,42 @@ class _Side:
         ends = np.cos(np.radians(self.lat0)), np.cos(np.radians(self.lat1))
         self.cos0, self.cos1 = np.minimum(*ends), np.where((self.lat0 < 0) & (self.lat1 > 0), 1.0, np.maximum(*ends))
         self.blocks = fields["t"].offsets.to_numpy() - fields["t"].offsets[0].as_py()
+        if "n" in fields:
+            self.n = fields["n"].flatten().to_numpy(zero_copy_only=False)
         self.t, lat, lon = (fields[c].flatten().to_numpy(zero_copy_only=False) for c in ("t", "lat", "lon"))
         self.lat, self.lon, self.cos = np.radians(lat), np.radians(lon), np.cos(np.radians(lat))
         if "id" not in fields:  # where only scores are asked for
             return
-        self.id, self.n = fields["id"].flatten(), fields["n"].flatten().to_numpy(zero_copy_only=False)
+        self.id = fields["id"].flatten()
         self.order = pc.sort_indices(self.id).to_numpy()
         self.place = np.empty_like(self.order)  # of each spot in the order of ids
         self.place[self.order] = np.arange(len(self.order), dtype=self.order.dtype)
 
 
-def _crossed(n_a: np.ndarray, n_b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(which, i, j): all i < n_a[which] with all j < n_b[which], about PAIRS at a time."""
-    total = np.append(0, np.cumsum(n_a.astype(np.int64) * n_b))
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first, last): runs of ``sizes`` that are at most ``most`` together, or a single one."""
+    total = np.append(0, np.cumsum(sizes))
     first = 0
-    while first < len(n_a):
-        last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, side="right")) - 1)
-        sizes = np.diff(total[first : last + 1])
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + most, side="right")) - 1)
+        yield first, last
+        first = last
+
+
+def _crossed(n_a: np.ndarray, n_b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(which, i, j): all i < n_a[which] with all j < n_b[which], about PAIRS at a time; an i comes with all its j."""
+    pairs = n_a.astype(np.int64) * n_b
+    for first, last in _runs(pairs, PAIRS):
+        if last == first + 1:
+            n, step = int(n_b[first]), max(PAIRS // max(int(n_b[first]), 1), 1)
+            for low in range(0, int(n_a[first]), step):
+                place = np.arange(min(step, int(n_a[first]) - low) * n)
+                yield np.full(len(place), first), low + place // n, place % n
+            continue
+        sizes = pairs[first:last]
         which = np.repeat(np.arange(first, last), sizes)
-        place = np.arange(len(which)) - np.repeat(total[first:last] - total[first], sizes)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         yield which, place // n_b[which], place % n_b[which]
-        first = last
 
 
 def _km(lat: np.ndarray, lon: np.ndarray, cos_a: np.ndarray, cos_b: np.ndarray) -> np.ndarray:
@@ -237,10 +261,11 @@ def _km(lat: np.ndarray, lon: np.ndarray, cos_a: np.ndarray, cos_b: np.ndarray)
     return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
 
 
-def _block_pairs(a: _Side, b: _Side) -> Iterator[tuple[np.ndarray, ...]]:
-    """Blocks that meet (x of a, y of b), their least and greatest seconds, least and greatest kilometres."""
-    for which, i, j in _crossed(np.diff(a.groups), np.diff(b.groups)):
-        x, y = a.groups[which] + i, b.groups[which] + j
+def _block_pairs(a: _Side, b: _Side, first: int = 0, last: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks that meet (x of a, y of b) in some groups, their least and greatest seconds, least and greatest kilometres."""
+    groups_a, groups_b = (s.groups[first : None if last is None else last + 1] for s in (a, b))
+    for which, i, j in _crossed(np.diff(groups_a), np.diff(groups_b)):
+        x, y = groups_a[which] + i, groups_b[which] + j
 
         def gap(low: str, high: str) -> tuple[np.ndarray, np.ndarray]:
             one, other = getattr(a, low)[x] - getattr(b, high)[y], getattr(b, low)[y] - getattr(a, high)[x]  # noqa: B023
@@ -276,12 +301,13 @@ def _worth(a: _Side, b: _Side, x: np.ndarray, y: np.ndarray, best: np.ndarray, b
     ``bound`` has for each block of b the worst score that its own spots still ask for.
     """
     size_a, size_b, one = np.diff(a.blocks), np.diff(b.blocks), np.ones(1, dtype=np.int64)
+    lat0, lat1, lon0, lon1 = (np.radians(c) for c in (b.lat0, b.lat1, b.lon0, b.lon1))
     for which, i, _ in _crossed(size_a[x], np.broadcast_to(one, len(x))):
         p, at = a.blocks[x[which]] + i, y[which]
         dt = np.maximum(np.maximum(b.t0[at] - a.t[p], a.t[p] - b.t1[at]), 0) / MICROS
-        lat = np.maximum(np.maximum(np.radians(b.lat0)[at] - a.lat[p], a.lat[p] - np.radians(b.lat1)[at]), 0)
-        lon, lon0, lon1 = a.lon[p], np.radians(b.lon0)[at], np.radians(b.lon1)[at]
-        near, far = np.maximum(np.maximum(lon0 - lon, lon - lon1), 0), np.maximum(lon1 - lon, lon - lon0)
+        lat = np.maximum(np.maximum(lat0[at] - a.lat[p], a.lat[p] - lat1[at]), 0)
+        lon, low, high = a.lon[p], lon0[at], lon1[at]
+        near, far = np.maximum(np.maximum(low - lon, lon - high), 0), np.maximum(high - lon, lon - low)
         least = dt / tol.seconds + _km(lat, np.minimum(near, np.maximum(2 * np.pi - far, 0)), a.cos[p], b.cos0[at]) / tol.km
         known = np.where(best[p] == NONE, UNBOUNDED, (best[p] >> 32) / SCORE_UNIT)
         left = least <= np.maximum(np.minimum(known, a.u[x[which]]), bound[at]) + SLACK
@@ -318,14 +344,18 @@ def _search(a: _Side, b: _Side, tol: Tolerance, of_a: bool = True) -> Iterator[p
         ranks = np.maximum.reduceat(best, side.blocks[:-1])
         return np.where(ranks == NONE, UNBOUNDED, (ranks >> 32) / SCORE_UNIT)
 
-    for x, y, dt0, dt1, km0, km1 in _block_pairs(a, b):
-        bound_a, bound_b = a.u.copy(), b.u.copy()
-        all_within = (dt1 <= tol.seconds) & (km1 <= tol.km)
-        greatest = np.where(all_within, dt1 / tol.seconds + km1 / tol.km, UNBOUNDED)
-        np.minimum.at(bound_a, x, greatest)
-        np.minimum.at(bound_b, y, greatest)
-        least = dt0 / tol.seconds + km0 / tol.km
-        left = (dt0 <= tol.seconds) & (km0 <= tol.km + SLACK) & (least <= np.maximum(bound_a[x], bound_b[y]) + SLACK)
+    for run in _runs(np.diff(a.groups) * np.diff(b.groups), RUN):
+        bound_a, bound_b, kept = a.u.copy(), b.u.copy(), []
+        for x, y, dt0, dt1, km0, km1 in _block_pairs(a, b, *run):
+            all_within = (dt1 <= tol.seconds) & (km1 <= tol.km)
+            greatest = np.where(all_within, dt1 / tol.seconds + km1 / tol.km, UNBOUNDED)
+            np.minimum.at(bound_a, x, greatest)
+            np.minimum.at(bound_b, y, greatest)
+            least = dt0 / tol.seconds + km0 / tol.km
+            left = (dt0 <= tol.seconds) & (km0 <= tol.km + SLACK) & (least <= np.maximum(bound_a[x], bound_b[y]) + SLACK)
+            kept.append((x[left].astype(np.int32), y[left].astype(np.int32), least[left]))
+        x, y, least = map(np.concatenate, zip(*kept, strict=True)) if kept else [np.empty(0, np.int32)] * 3
+        left = least <= np.maximum(bound_a[x], bound_b[y]) + SLACK  # as the bounds are now, after all pairs
         x, y, least = x[left], y[left], least[left]
         first = np.minimum(_in_order(x, least), _in_order(y, least))
         for low, high in zip((0, *ROUNDS), (*ROUNDS, NONE), strict=True):
@@ -360,7 +390,7 @@ def _reach(a: _Side, b: _Side, tol: Tolerance) -> np.ndarray:
     return np.minimum(reach, np.maximum.reduceat(best, a.blocks[:-1]))
 
 
-def _reaches(met: _Met, tiles: DataFrame, p: str, q: str) -> DataFrame:
+def _reaches(met: _Met, p: str, q: str) -> DataFrame:
     """(tile, k, u) of side ``p``: how far the blocks in crowded cells have to look.
 
     A block meets the tile nearest to it, of which it sees the blocks that lie on the side of its own tile.
@@ -368,19 +398,21 @@ def _reaches(met: _Met, tiles: DataFrame, p: str, q: str) -> DataFrame:
     """
     own, keys, tol = [*CELL, f"{p}_tile"], [*CELL, f"{p}_tile", f"{q}_tile"], met.tol
     least, greatest = met.score("{dt0}", "{km0}"), met.score("{dt1}", "{km1}")
-    limit = F.min(F.expr(met.score("dt1", "km1"))).over(Window.partitionBy(*own))
-    near = tiles.withColumn("_limit", limit).where(f"{met.score('dt0', 'km0')} <= _limit + {SLACK!r}D")
+    limit = met.tiles().groupBy(*own).agg(F.min(F.expr(met.score("dt1", "km1"))).alias("_limit"))
+    near = written(met.tiles(p, limit), "nearest/near")
     bounds = _bounds("", f"{q}_")
     within = f"{{dt1}} <= {float(tol.seconds)!r}D AND {{km1}} <= {float(tol.km)!r}D"
     reached = f"CASE WHEN {within} THEN {greatest} ELSE {UNBOUNDED}D END"
     seen = met.side(p).select(*own, "k", *BOX).join(near, own)
-    first = F.min(F.struct(F.expr(least.format(**bounds)), F.expr(greatest.format(**bounds)), f"{q}_tile", F.expr(reached.format(**bounds)).alias("u")))
-    met_first = written(seen.groupBy(*own, "k").agg(first.alias("m")).select(*own, "k", f"m.{q}_tile", "m.u"), "nearest/first")
+    # the nearest, and of those that the block lies in the one it fills best; numbers only, so nothing is sorted for it
+    nearest = F.min_by(f"{q}_tile", F.expr(f"{least.format(**bounds)} + {greatest.format(**bounds)} / 1000"))
+    first = seen.groupBy(*own, "k").agg(nearest.alias(f"{q}_tile"), F.min(F.expr(reached.format(**bounds))).alias("u"))
+    met_first = written(first, "nearest/first")
     place = ["t", "lat", "lon"]
     mine = met.side(p).join(met_first, [*own, "k"]).select(*keys, "k", *BOX, "u", *place)
     width = met.score(*(_bounds(f"{p}_", f"{p}_")[c] for c in ("dt1", "km1")))
     margin = f"{least.format(**_bounds('', f'{p}_'))} <= {met.score('dt0', 'km0')} + {width} / 8"
-    others = met.side(q).join(tiles.join(met_first.select(*keys).distinct(), keys, "left_semi"), [*CELL, f"{q}_tile"])
+    others = met.side(q).join(near.join(met_first.select(*keys).distinct(), keys, "left_semi"), [*CELL, f"{q}_tile"])
     others = others.where(margin).select(*keys, *BOX, F.lit(UNBOUNDED).alias("u"), *place)
     schema = pa.schema([(f"{p}_tile", pa.int64()), ("k", pa.int64()), ("u", pa.float64())])
 
@@ -390,7 +422,7 @@ def _reaches(met: _Met, tiles: DataFrame, p: str, q: str) -> DataFrame:
             u = np.minimum(u, _reach(_Side(one), _Side(other), tol))
         return pa.Table.from_arrays([one.column(f"{p}_tile"), one.column("k"), pa.array(u)], schema=schema)
 
-    parts = _partitions(tiles)
+    parts = _partitions(near)
     both = mine.repartition(parts, *keys).groupBy(*keys).cogroup(others.repartition(parts, *keys).groupBy(*keys))
     found = both.applyInArrow(reach, f"{p}_tile long, k long, u double")
     # a block of b meets a in several cells, and has to look no further than in the best of them
@@ -399,8 +431,8 @@ def _reaches(met: _Met, tiles: DataFrame, p: str, q: str) -> DataFrame:
 
 def _best_in_crowded(met: _Met) -> DataFrame:
     """The best partners in crowded cells: a block goes to the tiles in which it may find better ones than are known."""
-    tiles, tol, found = met.tiles(), met.tol, []
-    least, parts = met.score("{dt0}", "{km0}"), _partitions(tiles)
+    tol, found = met.tol, []
+    least, parts, place = met.score("{dt0}", "{km0}"), _partitions(met.a), [c for c in SPOT if c != "n"]
 
     def searching(of_a: bool):
         def search(one: pa.Table, other: pa.Table) -> pa.Table:
@@ -411,16 +443,15 @@ def _best_in_crowded(met: _Met) -> DataFrame:
 
     for p, q in (("a", "b"), ("b", "a")):
         own, keys = [*CELL, f"{p}_tile"], [*CELL, f"{p}_tile", f"{q}_tile"]
-        reach = _reaches(met, tiles, p, q)
-        furthest = reach.groupBy(f"{p}_tile").agg(F.max("u").alias("_u"))
-        near = tiles.join(furthest, f"{p}_tile").where(f"{met.score('dt0', 'km0')} <= _u + {SLACK!r}D")
-        to = near.select(*keys, *[f"{q}_{c}" for c in BOX])
+        reach = _reaches(met, p, q)
+        furthest = reach.groupBy(f"{p}_tile").agg(F.max("u").alias("_limit"))
+        to = met.tiles(p, furthest).select(*keys, *[f"{q}_{c}" for c in BOX])
         going = met.side(p).join(reach, [f"{p}_tile", "k"]).join(to, own).where(f"{least.format(**_bounds('', f'{q}_'))} <= u + {SLACK!r}D")
         bounds = [F.expr(f"{'max' if c.endswith('1') else 'min'}({c}) AS g_{c}") for c in BOX]
         guests = written(going.groupBy(*keys).agg(*bounds, F.max("u").alias("g_u")), "nearest/guests")
         hosts = met.side(q).join(guests, [*CELL, f"{q}_tile"]).where(f"{least.format(**_bounds('', 'g_'))} <= g_u + {SLACK!r}D")
         one, other = (
-            side.select(*keys, *BOX, u, *SPOT).repartition(parts, *keys).groupBy(*keys)
+            side.select(*keys, *BOX, u, *place).repartition(parts, *keys).groupBy(*keys)
             for side, u in ((going, F.col("u")), (hosts, F.lit(UNASKED).alias("u")))
         )
         found.append(one.cogroup(other).applyInArrow(searching(p == "a"), BEST))

@@ -2,6 +2,7 @@ import math
 import random
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -230,6 +231,34 @@ def test_a_cell_that_only_one_side_crowds_is_not_gathered(spark, monkeypatch):
     assert len(most) == 3 and max(most) <= 2 * 8
 
 
+def one_spot_blocks(rows):
+    columns = list(zip(*[(i, round(t * 1e6), lat, lon) for i, t, lat, lon in rows], strict=True))
+    box = {f"{c}{end}": pa.array(v) for c, v in zip(("t", "lat", "lon"), columns[1:], strict=True) for end in (0, 1)}
+    spots = {c: pa.array([[x] for x in v]) for c, v in zip(("id", "t", "lat", "lon", "n"), (*columns, [1] * len(rows)), strict=True)}
+    return nearest._Side(pa.table({**box, "u": pa.array([nearest.UNBOUNDED] * len(rows)), **spots}))
+
+
+def test_a_task_looks_at_a_bounded_number_of_pairs_together(monkeypatch):
+    """However many blocks meet in one group: the arrays of a task do not grow with a cell."""
+    monkeypatch.setattr(nearest, "PAIRS", 500)
+    looked_at, kms = [], nearest._km
+
+    def counted(lat, *rest):
+        looked_at.append(len(lat))
+        return kms(lat, *rest)
+
+    monkeypatch.setattr(nearest, "_km", counted)
+    a, b = swarm(1, 300, 30, 1, "a"), swarm(2, 200, 30, 1, "b")
+    one, other = one_spot_blocks(a), one_spot_blocks(b)
+    best = [r for batch in nearest._search(one, other, proximity.Tolerance()) for r in batch.to_pylist()]
+    links = [{(r["id"], r["other"])[:: 1 if of_a else -1] for r in best if r["of_a"] == of_a} for of_a in (True, False)]
+    assert links[0] & links[1] == brute_force(a, b)
+    reach = nearest._reach(one, other, proximity.Tolerance())
+    known = {r["id"]: r["dt"] / 16 + r["km"] / 100 for r in best if r["of_a"]}
+    assert all(known[i] <= u + nearest.SLACK for (i, *_), u in zip(a, reach, strict=True) if i in known)
+    assert max(looked_at) <= 500
+
+
 def test_crowded_keys_go_to_a_fixed_number_of_partitions(spark):
     """Groups are few bytes and much work: they are not merged by their bytes, so each task has some."""
     a, b = slim(events(spark, swarm(1, 800, 4, 0.01, "a")), "a"), slim(events(spark, swarm(2, 800, 4, 0.01, "b")), "b")
