@@ -261,9 +261,14 @@ def _km(lat: np.ndarray, lon: np.ndarray, cos_a: np.ndarray, cos_b: np.ndarray)
     return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
 
 
-def _block_pairs(a: _Side, b: _Side, first: int = 0, last: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
-    """Blocks that meet (x of a, y of b) in some groups, their least and greatest seconds, least and greatest kilometres."""
-    groups_a, groups_b = (s.groups[first : None if last is None else last + 1] for s in (a, b))
+def _block_pairs(a: _Side, b: _Side) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks that meet (x of a, y of b), their least and greatest seconds, least and greatest kilometres."""
+    return _pairs_of_groups(a, b, 0, len(a.groups) - 1)
+
+
+def _pairs_of_groups(a: _Side, b: _Side, first: int, last: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """As _block_pairs, of the groups from ``first`` to before ``last``."""
+    groups_a, groups_b = a.groups[first : last + 1], b.groups[first : last + 1]
     for which, i, j in _crossed(np.diff(groups_a), np.diff(groups_b)):
         x, y = groups_a[which] + i, groups_b[which] + j
 
@@ -346,7 +351,7 @@ def _search(a: _Side, b: _Side, tol: Tolerance, of_a: bool = True) -> Iterator[p
 
     for run in _runs(np.diff(a.groups) * np.diff(b.groups), RUN):
         bound_a, bound_b, kept = a.u.copy(), b.u.copy(), []
-        for x, y, dt0, dt1, km0, km1 in _block_pairs(a, b, *run):
+        for x, y, dt0, dt1, km0, km1 in _pairs_of_groups(a, b, *run):
             all_within = (dt1 <= tol.seconds) & (km1 <= tol.km)
             greatest = np.where(all_within, dt1 / tol.seconds + km1 / tol.km, UNBOUNDED)
             np.minimum.at(bound_a, x, greatest)
